@@ -64,5 +64,9 @@ def fold_month(mi, start) -> Column:
 
 
 def brand_no(col) -> Column:
-    """``Brand#17`` -> 17 (fixture key of a medicine)."""
-    return F.substring(_c(col), 7, 20).cast("int")
+    """``Brand#17`` -> 17 (fixture key of a medicine).
+
+    ``try_cast``: Catalyst may evaluate this on rows a later filter removes
+    (e.g. closed SCD2 versions), where an ANSI cast would raise.
+    """
+    return F.substring(_c(col), 7, 20).try_cast("int")

@@ -49,7 +49,7 @@ def modified_predictions(res: DataFrame, p: Params = DEFAULT, cutoff: DataFrame
               .withColumn("modified_y_predict_less_cons", F.when(less < 0, 0.0).otherwise(less)))
     lc = F.col("modified_y_predict_less_cons")
     if cutoff is not None:
-        out = (out.join(cutoff.select(*PAIR, "prediction_cutoff"), PAIR)
+        out = (out.join(cutoff.select(*PAIR, "max_removal", "prediction_cutoff"), PAIR)
                   .withColumn("modified_y_predict_less_cons",
                               F.when(lc > F.col("prediction_cutoff"), F.col("prediction_cutoff")).otherwise(lc)))
     else:

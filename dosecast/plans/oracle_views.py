@@ -235,6 +235,33 @@ where not (non_drug or insuli_patient or anesth_minitry or outrng_inv)""")
 
 view("removal_panel", "select * from eligible where any_expiry_removal")
 
+view("hseg", """
+select l_suppkey as tile, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey as id,
+       cast(l_orderkey % 1000 as double) as x1, cast(l_orderkey % 1000 as double) + q as x2,
+       cast(l_partkey % 200 as double) as y, l_linenumber as ln
+from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, max(l_quantity) as q from lineitem
+      group by l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
+
+view("vseg", """
+select o_custkey % (select count(*) from supplier) as tile, o_orderkey as id,
+       cast(o_orderkey % 1000 as double) as x, cast(o_custkey % 200 as double) as y1,
+       cast(o_custkey % 200 as double) + 1 + o_orderkey % 30 as y2
+from orders""")
+
+view("seg_a", "select tile, id, x as x1, y1, x + id % 3 as x2, y2 from vseg")
+
+view("seg_b", "select tile, id, x1, y as y1, x2, y + ln % 2 as y2 from hseg")
+
+view("via", """
+select user_id % (select count(*) from supplier) as tile, event_id as id, cast(event_id % 1000 as double) as x,
+       cast((user_id * 7) % 200 as double) as y
+from events""")
+
+view("pixel", """
+select vec_id as tile, cast(floor((i - 1) / 8) as integer) as r, cast((i - 1) % 8 as integer) as c,
+       cast(floor(cast(embedding[i] as double) * 1000) as bigint) as v
+from (select vec_id, embedding, generate_subscripts(embedding, 1) as i from embeddings)""")
+
 _WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 

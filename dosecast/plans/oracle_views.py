@@ -286,4 +286,10 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
         need.add(v)
         stack.extend(w for w in _WORD.findall(allv[v]) if w in allv and w != v)
     ctes = [f"{v} as ({allv[v]})" for v in order if v in need]
-    return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    if not ctes:
+        return body
+    head = body.lstrip()
+    if head.lower().startswith("with recursive"):
+        # merge the body's own recursive CTE list with the view CTEs
+        return "with recursive " + ",\n".join(ctes) + ",\n" + head[len("with recursive"):]
+    return "with " + ",\n".join(ctes) + "\n" + body

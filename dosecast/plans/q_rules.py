@@ -254,7 +254,7 @@ def q_describe(t):
     """A11 per pooled tier k = 2..5."""
     r = si(t).result(True).where(F.col("months_w_removals") <= P.own_model_min)
     lng = rp.long_metrics(r, ["months_w_removals"], ["MAE_Dashboard", "MAE_Estimator_Model"])
-    return rp.describe(lng, ["months_w_removals"])
+    return rp.describe(lng, ["months_w_removals", "metric"])
 
 
 @register("error_describe_individuals", DESC_SPEC.replace("months_w_removals:l ", ""),
@@ -264,7 +264,7 @@ def q_describe_ind(t):
     """A11 over the own-model pairs."""
     r = si(t).result(True).where(F.col("months_w_removals") > P.own_model_min)
     lng = rp.long_metrics(r, ["months_w_removals"], ["MAE_Dashboard", "MAE_Estimator_Model"])
-    return rp.describe(lng, [])
+    return rp.describe(lng, ["metric"])
 
 
 @register("box_stats", "months_w_removals:l metric:s q1:d median:d q3:d mean:d whisker_lo:d whisker_hi:d "

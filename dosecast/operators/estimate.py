@@ -35,7 +35,10 @@ class BackTest:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return pn.eligible(self.panel, self.p)
+        # consumed by pairs, training rows, test rows, profiles and the
+        # all-pair rule: computed once, read by every branch
+        from dosecast.session import materialize
+        return materialize(pn.eligible(self.panel, self.p))
 
     @cached_property
     def removal_rows(self) -> DataFrame:

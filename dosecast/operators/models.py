@@ -67,6 +67,23 @@ def sigma_step(absr, eps, sw=None, floor=SIGMA_FLOOR):
     return float(max(s[int(np.argmin(f))], floor))
 
 
+def _wls(A, y, sw):
+    r = np.sqrt(sw)
+    return np.linalg.lstsq(A * r[:, None], y * r, rcond=None)[0]
+
+
+def _lad(A, y, sw, iters: int = 60, delta: float = 1e-7):
+    """Least absolute deviations by reweighted least squares (smoothed at ``delta``)."""
+    b = _wls(A, y, sw)
+    for _ in range(iters):
+        w = sw / np.maximum(np.abs(y - A @ b), delta)
+        nb = _wls(A, y, w)
+        if np.max(np.abs(nb - b)) < 1e-10:
+            return nb
+        b = nb
+    return b
+
+
 def huber_fit(X, y, eps=1.01, alpha=1e-4, max_iter=200, tol=1e-4, sw=None):
     """Joint (coef, intercept, scale) minimiser; deterministic, starts from least squares.
 
@@ -80,8 +97,16 @@ def huber_fit(X, y, eps=1.01, alpha=1e-4, max_iter=200, tol=1e-4, sw=None):
     sw = np.ones(n) if sw is None else np.asarray(sw, dtype=float)
     A = np.hstack([X, np.ones((n, 1))])
     R = np.diag([alpha] * k + [0.0])
-    beta = np.linalg.lstsq(A * np.sqrt(sw)[:, None], y * np.sqrt(sw), rcond=None)[0]
-    sigma = sigma_step(np.abs(y - A @ beta), eps, sw)
+    # Two starts -- least squares and a smoothed least-absolute-deviations fit
+    # (at eps near 1 the optimum is LAD-like and IRLS alone can stall at a
+    # vertex); the descent continues from the better one.
+    beta = None
+    best = np.inf
+    for b0 in (_wls(A, y, sw), _lad(A, y, sw)):
+        s0 = sigma_step(np.abs(y - A @ b0), eps, sw)
+        f0 = huber_objective(A, y, b0, s0, eps, alpha, k, sw)
+        if f0 < best:
+            beta, sigma, best = b0, s0, f0
     it = 0
     for it in range(1, max_iter + 1):
         r = y - A @ beta

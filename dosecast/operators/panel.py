@@ -76,15 +76,24 @@ SNAP_COLS = KEY5 + ["inventoryquantity", "standardstockwithindispensingdevicefla
 
 
 class Inputs:
-    """The four extracts and the names of one run, built once and shared."""
+    """The four extracts and the names of one run, built once and shared.
 
-    def __init__(self, t: Tables, p: Params = DEFAULT):
+    Like the reference's extraction CTAS tables, the removal transactions,
+    monthly usage, snapshot features and latest costs are materialized once
+    in the shared checkpoint folder: each feeds several branches (removals
+    and both name tables; the panel and the test-month features).
+    ``materialize=False`` keeps everything lazy.
+    """
+
+    def __init__(self, t: Tables, p: Params = DEFAULT, materialize: bool = True):
+        from dosecast.session import materialize as mat
+        keep = mat if materialize else (lambda d: d)
         self.t, self.p = t, p
-        self.rtx = ex.removal_tx(t)
+        self.rtx = keep(ex.removal_tx(t))
         self.removals = ex.monthly_removals(self.rtx, p)
-        self.usage = usage_features(ex.monthly_usage(t))
-        self.snap = snap_features(fx.snap(t))
-        self.cost = ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost")
+        self.usage = keep(usage_features(ex.monthly_usage(t)))
+        self.snap = keep(snap_features(fx.snap(t)))
+        self.cost = keep(ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost"))
         self.med_names = latest_med_name(self.rtx)
         self.device_names = latest_device_name(self.rtx)
 

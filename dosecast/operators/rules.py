@@ -167,8 +167,11 @@ def overlay(base: DataFrame, upd: DataFrame, keys=PAIR, cols=OVERLAY_COLS) -> Da
     reference logs the error and returns the base rows unchanged, which is
     reproduced with a scalar subquery (no driver round trip).
     """
-    u = upd.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols])
-    dup = upd.groupBy(*keys).count().select(F.coalesce(F.max("count"), F.lit(0)) > 1).scalar()
+    # one row per key on the right (no fan-out of the base rows); with a
+    # duplicated key the values are ignored anyway
+    u = upd.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                               *[F.first(c).alias(f"_u_{c}") for c in cols])
+    dup = u.select(F.coalesce(F.max("_n"), F.lit(0)) > 1).scalar()
     j = base.join(u, list(keys), "left")
     return j.select(*[
         (F.when(dup, F.col(c)).otherwise(F.coalesce(F.col(f"_u_{c}"), F.col(c))).alias(c)

@@ -52,3 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for tables that several branches of one job consume (the panel,
+    the snapshot features): they are computed once instead of once per
+    branch, and the lineage is cut so an executor loss recomputes nothing
+    upstream of it.  Never a local checkpoint (lost with its executor).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

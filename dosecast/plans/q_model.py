@@ -280,3 +280,13 @@ def q_ridge(t):
 def q_scored(t):
     """M6: test rows scored by their model."""
     return bt(t).scored
+
+
+@register("grouped_rows", "skclientkey:l medid:s device_naturalkey:l month:l transactionquantity:d count:l", f"""
+select r.skclientkey, r.medid, r.device_naturalkey, r.month, r.transactionquantity, p.count
+from removal_panel r join pairs_w p using (skclientkey, medid, device_naturalkey)
+where r.month between {S} and {E}""", MV)
+def q_grouped_rows(t):
+    """J9."""
+    b = bt(t)
+    return wn.grouped_rows(b.removal_rows, b.pairs, S, P.window_months)

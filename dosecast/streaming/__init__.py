@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+The reference has no streaming input, watermark, window or stateful
+operator: every input is a finished extract.  Nothing is built here on
+purpose (see README, "Not built").  The batch jobs are incremental-friendly
+(every extract is keyed by client and month) should a stream ever feed them.
+"""

@@ -38,7 +38,7 @@ class BackTest:
         # consumed by pairs, training rows, test rows, profiles and the
         # all-pair rule: computed once, read by every branch
         from dosecast.session import materialize
-        return materialize(pn.eligible(self.panel, self.p))
+        return materialize(pn.eligible(self.panel, self.p), "eligible")
 
     @cached_property
     def removal_rows(self) -> DataFrame:

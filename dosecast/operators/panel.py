@@ -54,20 +54,25 @@ def usage_features(usage: DataFrame) -> DataFrame:
         (F.col("avgdailyusage30") * 100).cast("long").alias("usage100"))
 
 
+def _latest_values(rtx: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """value(s) at the latest transaction per key; ties kept, then distinct.
+
+    A partial ``max`` per key and an equi-join back on (key, timestamp): no
+    window holds a whole (possibly hot) key in one task.
+    """
+    ts = "transactionlocaldatetime"
+    last = rtx.groupBy(*keys).agg(F.max(ts).alias(ts))
+    return rtx.select(*keys, value, ts).join(last, [*keys, ts]).select(*keys, value).distinct()
+
+
 def latest_med_name(rtx: DataFrame) -> DataFrame:
     """name(s) at the latest transaction per client and med; ties kept."""
-    w = Window.partitionBy("skclientkey", "medid").orderBy(F.col("transactionlocaldatetime").desc())
-    return (rtx.select("skclientkey", "medid", "medfullname", "transactionlocaldatetime")
-               .withColumn("_r", F.rank().over(w)).where("_r = 1")
-               .select("skclientkey", "medid", "medfullname").distinct())
+    return _latest_values(rtx, ["skclientkey", "medid"], "medfullname")
 
 
 def latest_device_name(rtx: DataFrame) -> DataFrame:
     """Device name(s) at the latest transaction per client and device."""
-    w = Window.partitionBy("skclientkey", "device_naturalkey").orderBy(F.col("transactionlocaldatetime").desc())
-    return (rtx.select("skclientkey", "device_naturalkey", "dispensingdevicename", "transactionlocaldatetime")
-               .withColumn("_r", F.rank().over(w)).where("_r = 1")
-               .select("skclientkey", "device_naturalkey", "dispensingdevicename").distinct())
+    return _latest_values(rtx, ["skclientkey", "device_naturalkey"], "dispensingdevicename")
 
 
 SNAP_COLS = KEY5 + ["inventoryquantity", "standardstockwithindispensingdeviceflag", "dist_eed",
@@ -86,14 +91,16 @@ class Inputs:
     """
 
     def __init__(self, t: Tables, p: Params = DEFAULT, materialize: bool = True):
-        from dosecast.session import materialize as mat
-        keep = mat if materialize else (lambda d: d)
+        from dosecast.session import materialize_all
         self.t, self.p = t, p
-        self.rtx = keep(ex.removal_tx(t))
+        parts = {"rtx": ex.removal_tx(t),
+                 "usage": usage_features(ex.monthly_usage(t)),
+                 "snap": snap_features(fx.snap(t)),
+                 "cost": ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost")}
+        if materialize:
+            parts = materialize_all(parts)   # four independent jobs, run concurrently
+        self.rtx, self.usage, self.snap, self.cost = parts["rtx"], parts["usage"], parts["snap"], parts["cost"]
         self.removals = ex.monthly_removals(self.rtx, p)
-        self.usage = keep(usage_features(ex.monthly_usage(t)))
-        self.snap = keep(snap_features(fx.snap(t)))
-        self.cost = keep(ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost"))
         self.med_names = latest_med_name(self.rtx)
         self.device_names = latest_device_name(self.rtx)
 

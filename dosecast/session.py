@@ -54,13 +54,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
-    Used for tables that several branches of one job consume (the panel,
-    the snapshot features): they are computed once instead of once per
-    branch, and the lineage is cut so an executor loss recomputes nothing
-    upstream of it.  Never a local checkpoint (lost with its executor).
+    Used for tables that several branches consume (the extracts, the panel):
+    they are computed once instead of once per branch; the lineage is cut so a
+    lost executor recomputes nothing upstream; and, unlike a checkpointed RDD,
+    the read-back gets column pruning and filter pushdown.  Never a local
+    checkpoint or a machine-local folder on a cluster.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize_all(dfs: dict) -> dict:
+    """Materialize independent DataFrames as concurrent Spark jobs.
+
+    The jobs share nothing, so submitting them from driver threads lets the
+    scheduler overlap their stages instead of running them back to back.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if not dfs:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        futs = {k: pool.submit(materialize, v, k) for k, v in dfs.items()}
+        return {k: f.result() for k, f in futs.items()}

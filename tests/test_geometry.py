@@ -55,3 +55,23 @@ def test_components_shapes(spark):
     n = {r.tile: r.n for r in comp.groupBy("tile").agg({"label": "approx_count_distinct"})
          .withColumnRenamed("approx_count_distinct(label)", "n").collect()}
     assert n == {0: 1, 1: 1, 2: 1, 3: 2}
+
+
+def test_bucketed_sweep_equals_plain_sweep(spark):
+    rnd = random.Random(11)
+    rows = []
+    for t in range(3):
+        for i in range(200):
+            lo = float(rnd.randint(0, 400))
+            rows.append((t, t * 1000 + i, lo, lo + rnd.choice([0, 1, 2, 5, 30])))
+    df = spark.createDataFrame(rows, "tile int, id int, lo double, hi double")
+    got = {r.id: r.g for r in ge.sweep_islands(df, "lo", "hi", ["tile"], "g", bucket=3.0).collect()}
+    want = {}
+    for t in range(3):
+        cur, mx = 0, None
+        for _, i, lo, hi in sorted((r for r in rows if r[0] == t), key=lambda r: (r[2], r[3], r[1])):
+            if mx is None or lo > mx:
+                cur += 1
+            mx = hi if mx is None else max(mx, hi)
+            want[i] = cur
+    assert got == want

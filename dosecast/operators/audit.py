@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -38,10 +38,15 @@ def m1_violations(right: DataFrame, keys: list[str]) -> DataFrame:
     return right.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
 
 
-def keep_last(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """``drop_duplicates(keep='last')`` -- the last row per key in ``order``."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if isinstance(c, str) else c for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``drop_duplicates(keep='last')`` -- the last row per key in ``order``.
+
+    ``max`` of a struct led by the order columns is a partial aggregation, so
+    a key holding a large share of the rows is combined map-side.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_m")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in order + rest])
 
 
 def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

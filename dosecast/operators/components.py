@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosecast.session import checkpoint_dir
+from dosecast.session import checkpoint_dir, materialize
 
 # Fixed values of the fixture / reference routines.
 TILE_SIDE = 8            # pixels per tile side in the fixture
@@ -78,8 +78,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     checkpoint_dir(nodes.sparkSession)
     e = edges.select("tile", "src", "dst")
     e = e.unionByName(e.select("tile", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    e = e.checkpoint()
-    lab = nodes.select("tile", "node", F.col("node").alias("label")).checkpoint()
+    e = materialize(e, "cc_edges")
+    lab = materialize(nodes.select("tile", "node", F.col("node").alias("label")), "cc_labels")
     for _ in range(max_rounds):
         # smallest label among each node's neighbours
         m = (e.join(lab.select("tile", F.col("node").alias("dst"), F.col("label").alias("nl")), ["tile", "dst"])
@@ -92,8 +92,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
         cmp = (step.join(jump, ["tile", "label"], "left")
                    .select("tile", "node", F.least(F.col("label"), F.coalesce(F.col("ll"), F.col("label")))
                            .alias("label"), "old")
-                   .withColumn("changed", F.col("label") != F.col("old")).drop("old")
-                   .checkpoint())
+                   .withColumn("changed", F.col("label") != F.col("old")).drop("old"))
+        cmp = materialize(cmp, "cc_round")
         lab = cmp.select("tile", "node", "label")
         if not cmp.where("changed").take(1):
             break
@@ -102,8 +102,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
 
 def pixel_components(m: DataFrame, side: int = TILE_SIDE) -> DataFrame:
     """V4: 8-connected components of the set pixels."""
-    checkpoint_dir(m.sparkSession)
-    m = m.checkpoint()          # the iterative job starts from a short lineage
+    m = materialize(m, "cc_mask")   # the iterative job starts from a short lineage
     nodes = m.select("tile", (F.col("r") * side + F.col("c")).alias("node"), "r", "c")
     lab = connected_components(nodes.select("tile", "node"), pixel_edges(m, side))
     return nodes.join(lab, ["tile", "node"])
@@ -143,8 +142,7 @@ def segment_groups(seg: DataFrame, eps_primary: float = 2.0, eps_secondary: floa
     (a probes its own and the two neighbouring buckets), then an exact re-check.
     """
     from dosecast.operators.geometry import gap_islands, primary_secondary
-    checkpoint_dir(seg.sparkSession)
-    x = gap_islands(primary_secondary(seg, "y"), "pc", eps_primary).checkpoint()
+    x = materialize(gap_islands(primary_secondary(seg, "y"), "pc", eps_primary), "seg_islands")
     a = x.select("tile", "pgroup", F.col("id").alias("src"), F.col("x1").alias("ax1")) \
          .withColumn("b", F.explode(F.array(*[F.floor(F.col("ax1") / eps_secondary) + i for i in (-1, 0, 1)])))
     b = x.select("tile", "pgroup", F.col("id").alias("dst"), F.col("x2").alias("bx2")) \

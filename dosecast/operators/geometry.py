@@ -244,7 +244,8 @@ def split_vertical_at_crossings(v: DataFrame, cross: DataFrame) -> DataFrame:
         "tile", "v_id", "piece", F.col("x"), F.col("pos").alias("y_from"), "y_to")
 
 
-def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float = SPLIT_BAND) -> DataFrame:
+def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float = SPLIT_BAND,
+                    cell: float = 16.0) -> DataFrame:
     """Split horizontals (verticals) at points within ``band`` of the line, ordered along it.
 
     Points are bucketed by the perpendicular coordinate; a segment probes the
@@ -256,12 +257,16 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
     else:
         perp, along_lo, along_hi = "y1", "x1", "x2"
         pp, pa = "y", "x"
-    pb = pts.select("tile", F.col(pp).alias("pp"), F.col(pa).alias("pa")) \
-            .withColumn("b", F.floor(F.col("pp") / band))
+    # points: (perpendicular band bucket, along-axis cell); a segment probes the
+    # band buckets around its line and the along-axis cells it spans, so a
+    # segment-point pair meets only in the point's own cell
+    pb = (pts.select("tile", F.col(pp).alias("pp"), F.col(pa).alias("pa"))
+             .withColumn("b", F.floor(F.col("pp") / band)).withColumn("xc", F.floor(F.col("pa") / cell)))
     s = seg.select("tile", "id", F.col(perp).alias("sp"), F.col(along_lo).alias("lo"), F.col(along_hi).alias("hi"),
                    *[F.col(c) for c in ("x1", "y1", "x2", "y2")])
-    sb = s.withColumn("b", F.explode(_cells(F.col("sp") - band, F.col("sp") + band, band)))
-    cuts = (sb.join(pb, ["tile", "b"])
+    sb = (s.withColumn("b", F.explode(_cells(F.col("sp") - band, F.col("sp") + band, band)))
+           .withColumn("xc", F.explode(_cells(F.least("lo", "hi"), F.greatest("lo", "hi"), cell))))
+    cuts = (sb.join(pb, ["tile", "b", "xc"])
               .where((F.abs(F.col("pp") - F.col("sp")) <= band) & (F.col("lo") <= F.col("pa"))
                      & (F.col("pa") <= F.col("hi")))
               .select("tile", "id", F.col("pa").alias("pos"), F.lit(1).alias("k")))

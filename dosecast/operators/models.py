@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.params import DEFAULT, Params
+from dosecast.session import materialize
 
 MODEL_SCHEMA = ("model_key string, intercept double, coef array<double>, scale double, n_rows long, "
                 "r2 double, n_iter int, objective double")
@@ -180,7 +181,7 @@ def fit_huber(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
     fitted = small.repartition(par, "model_key").groupBy("model_key").applyInPandas(fit, MODEL_SCHEMA)
     if not has_big:
         return fitted
-    big = rows.join(big_keys, "model_key", "left_semi").checkpoint()
+    big = materialize(rows.join(big_keys, "model_key", "left_semi"), "huber_big_rows")
     return fitted.unionByName(fit_huber_distributed(big, p))
 
 
@@ -248,12 +249,10 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
     sigma^2 = sum_in r^2 / (n - eps^2 n_out); the small parameter table is
     checkpointed each round to cut lineage.  Starts from least squares.
     """
-    from dosecast.session import checkpoint_dir
     cols = _norm_cols(p)
     k = len(cols)
     eps, alpha = p.huber_epsilon, p.huber_alpha
     spark = rows.sparkSession
-    checkpoint_dir(spark)
 
     def pred(prm):
         e = F.col("b0")
@@ -278,7 +277,7 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
 
     prm_schema = "model_key string, w array<double>, b0 double, sigma double, n long"
     prm = _suff_stats(rows, cols).withColumn("sigma", F.lit(1.0)).mapInPandas(solve, prm_schema)
-    prm = prm.checkpoint()
+    prm = materialize(prm, "huber_params")
     for _ in range(iterations):
         j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key")
         r = F.abs(F.col("y") - pred(None))
@@ -290,7 +289,7 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
             F.first("sigma").alias("sigma"),
             F.sum(F.when(F.col("_in"), F.col("_r") * F.col("_r")).otherwise(0.0)).alias("b_in"),
             F.sum(F.when(F.col("_in"), 0).otherwise(1)).alias("n_out"))
-        prm = st.join(extra, "model_key").mapInPandas(solve, prm_schema).checkpoint()
+        prm = materialize(st.join(extra, "model_key").mapInPandas(solve, prm_schema), "huber_params")
     # final statistics for the model table
     j = rows.join(prm, "model_key").withColumn("_p", pred(None))
     r = F.abs(F.col("y") - F.col("_p"))

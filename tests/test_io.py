@@ -31,3 +31,18 @@ def test_partitioned_sink_and_observe(spark):
     assert obs.get["rows"] == 10
     back = spark.read.parquet(os.path.join(out, "res"))
     assert back.count() == 10 and "skclientkey" in back.columns
+
+
+def test_save_table_overwrites_and_written_panels(spark):
+    base = tempfile.mkdtemp(prefix="dosecast-ctas-")
+    io.save_table(spark.range(5), "ctas_probe", os.path.join(base, "t"))
+    io.save_table(spark.range(3), "ctas_probe", os.path.join(base, "t"))      # drop-if-exists semantics
+    assert spark.table("ctas_probe").count() == 3
+    for ck in (11923, 13535):
+        d = os.path.join(base, "panels")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, f"df_all_{ck}_before_exclusion.csv"), "w") as f:
+            f.write("medid,month\n00040,3\n00041,4\n")
+    df = io.read_written_panels(spark, os.path.join(base, "panels", "*.csv"), "medid string, month int")
+    got = sorted((r.file_client, r.medid) for r in df.collect())
+    assert got[0] == (11923, "00040") and len(got) == 4      # leading zeros kept: fixed schema, no inference

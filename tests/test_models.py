@@ -96,3 +96,11 @@ def test_distributed_path_for_big_groups(spark):
     assert set(h) == {"a", "b"}
     assert np.allclose(h["b"].coef, [1.0, 2.0, 0.0, -1.0, 0.5], atol=1e-3)
     assert h["b"].n_rows == 300
+
+
+def test_model_selector_falls_back_to_huber(spark):
+    df = _train_frame(spark)
+    ridge = {r.model_key: r.scale for r in md.fit_models(df, model="Ridge").collect()}
+    other = {r.model_key: r.scale for r in md.fit_models(df, model="MARS").collect()}
+    assert all(v is None or v != v for v in ridge.values())     # ridge has no scale
+    assert all(v is not None and v == v for v in other.values())  # unknown names run Huber

@@ -16,8 +16,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="dosecast-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dosecast-test-ckpt-"))
     yield s
 
 

@@ -266,18 +266,19 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
                    *[F.col(c) for c in ("x1", "y1", "x2", "y2")])
     sb = (s.withColumn("b", F.explode(_cells(F.col("sp") - band, F.col("sp") + band, band)))
            .withColumn("xc", F.explode(_cells(F.least("lo", "hi"), F.greatest("lo", "hi"), cell))))
+    keep = ["sp", "x1", "y1", "x2", "y2"]
     cuts = (sb.join(pb, ["tile", "b", "xc"])
               .where((F.abs(F.col("pp") - F.col("sp")) <= band) & (F.col("lo") <= F.col("pa"))
                      & (F.col("pa") <= F.col("hi")))
-              .select("tile", "id", F.col("pa").alias("pos"), F.lit(1).alias("k")))
-    base = s.select("tile", "id", F.col("lo").alias("pos"), F.lit(0).alias("k"))
-    endp = s.select("tile", "id", F.col("hi").alias("pos"), F.lit(2).alias("k"))
+              .select("tile", "id", F.col("pa").alias("pos"), F.lit(1).alias("k"), *keep))
+    # start and end rows carry the segment's columns too: no join back
+    base = s.select("tile", "id", F.col("lo").alias("pos"), F.lit(0).alias("k"), *keep)
+    endp = s.select("tile", "id", F.col("hi").alias("pos"), F.lit(2).alias("k"), *keep)
     allp = base.unionByName(cuts).unionByName(endp)
     w = Window.partitionBy("tile", "id").orderBy("k", "pos")
-    pieces = (allp.withColumn("to", F.lead("pos").over(w)).withColumn("to_k", F.lead("k").over(w))
-                  .withColumn("piece", F.row_number().over(w) - 1)
-                  .where(F.col("to").isNotNull()))
-    j = pieces.join(s.select("tile", "id", "x1", "y1", "x2", "y2", "sp"), ["tile", "id"])
+    j = (allp.withColumn("to", F.lead("pos").over(w)).withColumn("to_k", F.lead("k").over(w))
+             .withColumn("piece", F.row_number().over(w) - 1)
+             .where(F.col("to").isNotNull()))
     # inner pieces stay on the start line; the last piece ends at the segment's end point
     is_last = F.col("to_k") == 2
     if vertical:

@@ -9,11 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
-                  app: str = "dosecast") -> SparkSession:
+                  app: str = "dosecast", driver_memory: str | None = None) -> SparkSession:
     """Local or cluster session with AQE on and the UI off.
 
     On a cluster ``master`` is left to spark-submit; shuffle partitions then
-    come from the cluster config and AQE coalesces them at run time.
+    come from the cluster config and AQE coalesces them at run time.  In
+    local mode the driver JVM is the only executor, so it gets a real heap
+    (``$DOSECAST_DRIVER_MEMORY``, default 8g) instead of the 1g default.
     """
     b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
@@ -24,6 +26,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory",
+                         driver_memory or os.environ.get("DOSECAST_DRIVER_MEMORY", "8g"))
     if partitions:
         b = b.config("spark.sql.shuffle.partitions", str(partitions))
     spark = b.getOrCreate()

@@ -93,12 +93,14 @@ class Inputs:
     def __init__(self, t: Tables, p: Params = DEFAULT, materialize: bool = True):
         from dosecast.session import materialize_all
         self.t, self.p = t, p
-        parts = {"rtx": ex.removal_tx(t),
-                 "usage": usage_features(ex.monthly_usage(t)),
-                 "snap": snap_features(fx.snap(t)),
-                 "cost": ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost")}
+        parts = {"rtx": lambda: ex.removal_tx(t),
+                 "usage": lambda: usage_features(ex.monthly_usage(t)),
+                 "snap": lambda: snap_features(fx.snap(t)),
+                 "cost": lambda: ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost")}
         if materialize:
-            parts = materialize_all(parts)   # four independent jobs, run concurrently
+            parts = materialize_all(parts)   # four independent jobs, built and run concurrently
+        else:
+            parts = {k: f() for k, f in parts.items()}
         self.rtx, self.usage, self.snap, self.cost = parts["rtx"], parts["usage"], parts["snap"], parts["cost"]
         self.removals = ex.monthly_removals(self.rtx, p)
         self.med_names = latest_med_name(self.rtx)

@@ -79,10 +79,16 @@ def materialize_all(dfs: dict) -> dict:
 
     The jobs share nothing, so submitting them from driver threads lets the
     scheduler overlap their stages instead of running them back to back.
+    Values may be zero-argument builders, so plan construction (analysis on
+    the driver) overlaps as well.
     """
     from concurrent.futures import ThreadPoolExecutor
     if not dfs:
         return {}
+
+    def run(k, v):
+        return materialize(v() if callable(v) else v, k)
+
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        futs = {k: pool.submit(materialize, v, k) for k, v in dfs.items()}
+        futs = {k: pool.submit(run, k, v) for k, v in dfs.items()}
         return {k: f.result() for k, f in futs.items()}

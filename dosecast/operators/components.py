@@ -9,7 +9,7 @@ when no label changes (one scalar per round reaches the driver).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dosecast.session import checkpoint_dir, materialize
@@ -93,9 +93,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
                    .select("tile", "node", F.least(F.col("label"), F.coalesce(F.col("ll"), F.col("label")))
                            .alias("label"), "old")
                    .withColumn("changed", F.col("label") != F.col("old")).drop("old"))
-        cmp = materialize(cmp, "cc_round")
+        # the number of changed labels is observed while the round is written: no extra job
+        obs = Observation("cc_changes")
+        cmp = materialize(cmp, "cc_round", (obs, F.count_if(F.col("changed")).alias("changed")))
         lab = cmp.select("tile", "node", "label")
-        if not cmp.where("changed").take(1):
+        if obs.get["changed"] == 0:
             break
     return lab
 

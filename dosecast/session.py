@@ -46,6 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(a machine-local folder does not survive executor loss)")
         d = tempfile.mkdtemp(prefix="dosecast-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -58,7 +61,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", observe=None):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used for tables that several branches consume (the extracts, the panel):
@@ -70,6 +73,8 @@ def materialize(df, name: str = "table"):
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if observe is not None:          # (Observation, metric columns...) computed during the write
+        df = df.observe(*observe)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

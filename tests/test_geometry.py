@@ -75,3 +75,30 @@ def test_bucketed_sweep_equals_plain_sweep(spark):
             mx = hi if mx is None else max(mx, hi)
             want[i] = cur
     assert got == want
+
+
+def test_connected_components_random_graphs(spark):
+    rnd = random.Random(5)
+    nodes, edges = [], []
+    for tile in range(4):
+        ids = list(range(tile * 1000, tile * 1000 + 120))
+        rnd.shuffle(ids)
+        nodes += [(tile, i) for i in ids]
+        # a long path with shuffled ids (large diameter) plus random extra edges
+        edges += [(tile, ids[k], ids[k + 1]) for k in range(0, 59)]
+        edges += [(tile, rnd.choice(ids[60:]), rnd.choice(ids[60:])) for _ in range(40)]
+    nd = spark.createDataFrame(nodes, "tile long, node long")
+    ed = spark.createDataFrame(edges, "tile long, src long, dst long")
+    got = {(r.tile, r.node): r.label for r in cc.connected_components(nd, ed).collect()}
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for t, a, b in edges:
+        ra, rb = find((t, a)), find((t, b))
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    want = {n: find(n)[1] for n in nodes}
+    assert got == want

@@ -148,7 +148,7 @@ def blob_centres(comp: DataFrame, max_boundary: int = 12, side: int = TILE_SIDE)
 
 
 def segment_groups(seg: DataFrame, eps_primary: float = 2.0, eps_secondary: float = 3.0) -> DataFrame:
-    """V6 (``group_lines``): inside each primary island (W2), segments are linked when one's
+    """V6: inside each primary island (W2), segments are linked when one's
     start is within ``eps_secondary`` of another's end; groups are graph components.
 
     The band condition |a.x1 - b.x2| <= eps is an equi-join on buckets of width eps

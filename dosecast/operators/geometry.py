@@ -89,7 +89,7 @@ def primary_secondary(seg: DataFrame, axis: str = "y") -> DataFrame:
 
 
 def overlap_groups(seg: DataFrame, axis: str = "y", eps: float = EPS_PRIMARY) -> DataFrame:
-    """W2 + W3 (``group_lines_I``): primary islands, then overlap islands inside them."""
+    """W2 + W3: primary islands, then overlap islands inside them."""
     x = gap_islands(primary_secondary(seg, axis), "pc", eps)
     x = overlap_islands(x, "s_lo", "s_hi", ["tile", "pgroup"])
     return x.withColumn("group", F.concat_ws(":", "pgroup", "sgroup"))

@@ -42,7 +42,7 @@ def training_pairs(rows: DataFrame, start: int, months: int = 12, min_cnt: int =
 
 
 def pair_counts(rows: DataFrame, start: int, months: int) -> DataFrame:
-    """A5 (``get_pair_count``): a one-month request looks one year on and keeps count > 0."""
+    """A5, pair-count form: a one-month request looks one year on and keeps count > 0."""
     if months == 1:
         start = start + 12
     return training_pairs(rows, start, months, min(1, months - 1))
@@ -174,7 +174,7 @@ def grouped_rows(rows: DataFrame, pairs: DataFrame, start: int, months: int = 12
 def one_hot(df: DataFrame, cols=("dist_eed_120", "standardstockwithindispensingdeviceflag"),
             levels=((0, 1, 2), (0, 1))) -> DataFrame:
     """Fixed-level dummy columns, so training and test rows always have the same
-    columns (the reference's ``get_dummies`` could add or drop one between them)."""
+    columns (dummies built from the data could add or drop one between them)."""
     out = {}
     for c, lv in zip(cols, levels):
         for v in lv:

@@ -129,7 +129,7 @@ def q_training_pairs(t):
 select hdp_shardid, skclientkey, medid, device_naturalkey, count(*) as count from removal_panel
 where month = {T} group by all having count(*) > 0""")
 def q_pair_counts(t):
-    """A5 (``get_pair_count`` with one month: the month a year on, count > 0)."""
+    """A5, pair-count form with one month: the month a year on, count > 0."""
     return wn.pair_counts(bt(t).removal_rows, S, 1)
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Fixed values of the reference's input layout: the manifest file in each
+# client folder and the roles it names.
+MANIFEST_NAME = "STEinputFiles.json"
 MANIFEST_ROLES = ("df_tranx", "unitcost", "usage", "inv_eed_ssflag", "all_mednames", "all_devicenames")
 
 
@@ -46,7 +49,7 @@ def read_role(spark: SparkSession, root: str, role: str, schema: StructType, fmt
     comes from the file path, so all clients run in one job."""
     paths = []
     for _, folder in client_folders(root):
-        man = os.path.join(folder, "STEinputFiles.json")
+        man = os.path.join(folder, MANIFEST_NAME)
         if os.path.exists(man):
             paths.append(manifest_paths(man)[role])
     r = spark.read.schema(schema)

@@ -185,3 +185,20 @@ def one_hot(df: DataFrame, cols=("dist_eed_120", "standardstockwithindispensingd
 def debug_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
     """T4: a small deterministic subset of pairs for debugging runs (an option, never a default)."""
     return pairs.orderBy(*PAIR).limit(n)
+
+
+def all_window_training(rows: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """M10 + M1 + M2 for every client and window at once.
+
+    Each removal row is exploded into the (at most 12) windows containing it;
+    pairs, tiers and model keys are computed per window, and the model key
+    carries the window start, so one ``groupBy('model_key')`` fits them all.
+    """
+    e = window_rows(rows, windows, p.window_months)
+    pairs = (e.groupBy("train_start", *PAIR4).agg(F.count(F.lit(1)).alias("count"))
+              .where(F.col("count") > p.min_pair_count))
+    assign = model_assignment(pairs, p).select("train_start", *PAIR4, "model_key", "months_w_removals")
+    return e.join(assign, ["train_start", *PAIR4]).select(
+        "model_key", "train_start", *PAIR4, "month", "months_w_removals",
+        *[F.col(f).cast("double").alias(f) for f in p.features],
+        F.col("transactionquantity").alias("y"))

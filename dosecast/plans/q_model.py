@@ -290,3 +290,15 @@ def q_grouped_rows(t):
     """J9."""
     b = bt(t)
     return wn.grouped_rows(b.removal_rows, b.pairs, S, P.window_months)
+
+
+@register("all_window_models", "train_start:l " + MODEL_SPEC)
+def q_all_window_models(t):
+    """Huber models of every client and training window in one job (rows-only check)."""
+    b = bt(t)
+    windows = wn.training_months(ex.monthly_usage(t), P.window_months)
+    train = wn.all_window_training(b.removal_rows, windows, P)
+    scaled = wn.apply_scaler(train, wn.scaler(train, P), P)
+    m = md.fit_huber(scaled, P)
+    return (m.withColumn("n_coef", F.size("coef"))
+             .withColumn("train_start", F.split("model_key", r"\|").getItem(0).cast("long")))

@@ -167,6 +167,9 @@ def fit_huber(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
     eps, alpha, mi, tol = p.huber_epsilon, p.huber_alpha, p.huber_max_iter, p.huber_tol
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Spark does not order rows inside a group: sort them so the fit is a
+        # function of the group's rows only
+        pdf = pdf.sort_values([*cols, "y"], kind="mergesort")
         X = pdf[cols].to_numpy(dtype=float)
         y = pdf["y"].to_numpy(dtype=float)
         coef, b0, sigma, it, obj = huber_fit(X, y, eps, alpha, mi, tol)

@@ -104,3 +104,14 @@ def test_model_selector_falls_back_to_huber(spark):
     other = {r.model_key: r.scale for r in md.fit_models(df, model="MARS").collect()}
     assert all(v is None or v != v for v in ridge.values())     # ridge has no scale
     assert all(v is not None and v == v for v in other.values())  # unknown names run Huber
+
+
+def test_fit_does_not_depend_on_row_order(spark):
+    rng = np.random.default_rng(9)
+    X = rng.random((40, 5))
+    y = np.floor(rng.random(40) * 15)
+    cols = [f"{f}_norm" for f in Params().features]
+    pdf = pd.DataFrame(X, columns=cols).assign(model_key="k", y=y)
+    a = md.fit_huber(spark.createDataFrame(pdf)).first()
+    b = md.fit_huber(spark.createDataFrame(pdf.iloc[::-1].reset_index(drop=True))).first()
+    assert a.coef == b.coef and a.intercept == b.intercept

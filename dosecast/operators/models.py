@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dosecast.params import DEFAULT, Params
@@ -250,7 +250,9 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
     Every iteration is one partial aggregation of weighted sufficient
     statistics (majorised IRLS step) plus the scale fixed point
     sigma^2 = sum_in r^2 / (n - eps^2 n_out); the small parameter table is
-    checkpointed each round to cut lineage.  Starts from least squares.
+    written to the shared folder each round (cuts lineage), and the loop
+    stops once the largest relative parameter change, observed during that
+    write, is below ``huber_tol``.  Starts from least squares.
     """
     cols = _norm_cols(p)
     k = len(cols)
@@ -271,16 +273,24 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
                 sig = r["sigma"] if "sigma" in r and r["sigma"] == r["sigma"] else 1.0
                 R = np.diag([alpha] * k + [0.0]) * sig
                 beta = np.linalg.lstsq(M + R, rhs, rcond=None)[0]
+                old_sig = sig
                 if "b_in" in r:
                     a = r["n"] - eps * eps * r["n_out"]
                     sig = float(np.sqrt(r["b_in"] / a)) if a > 0 and r["b_in"] > 0 else \
                         (sig * 2 if a <= 0 else SIGMA_FLOOR)
-                out.append((r["model_key"], beta[:k].tolist(), float(beta[k]), max(sig, SIGMA_FLOOR), int(r["n"])))
-            yield pd.DataFrame(out, columns=["model_key", "w", "b0", "sigma", "n"])
-
-    prm_schema = "model_key string, w array<double>, b0 double, sigma double, n long"
+                sig = max(sig, SIGMA_FLOOR)
+                delta = float("inf")
+                if "w_old" in r and r["w_old"] is not None:
+                    old = np.concatenate([np.asarray(r["w_old"], float), [r["b0_old"]]])
+                    delta = max(float(np.max(np.abs(beta - old))) / max(1.0, float(np.max(np.abs(old)))),
+                                abs(sig - old_sig) / max(1.0, old_sig))
+                out.append((r["model_key"], beta[:k].tolist(), float(beta[k]), sig, int(r["n"]), delta))
+            yield pd.DataFrame(out, columns=["model_key", "w", "b0", "sigma", "n", "delta"])
+
+    prm_schema = "model_key string, w array<double>, b0 double, sigma double, n long, delta double"
     prm = _suff_stats(rows, cols).withColumn("sigma", F.lit(1.0)).mapInPandas(solve, prm_schema)
     prm = materialize(prm, "huber_params")
+    done = 0
     for _ in range(iterations):
         j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key")
         r = F.abs(F.col("y") - pred(None))
@@ -289,12 +299,19 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
         j = j.withColumn("_v", v).withColumn("_r", r).withColumn("_in", inl)
         st = _suff_stats(j, cols, F.col("_v"))
         extra = j.groupBy("model_key").agg(
-            F.first("sigma").alias("sigma"),
+            F.first("sigma").alias("sigma"), F.first("w").alias("w_old"), F.first("b0").alias("b0_old"),
             F.sum(F.when(F.col("_in"), F.col("_r") * F.col("_r")).otherwise(0.0)).alias("b_in"),
             F.sum(F.when(F.col("_in"), 0).otherwise(1)).alias("n_out"))
-        prm = materialize(st.join(extra, "model_key").mapInPandas(solve, prm_schema), "huber_params")
+        # the largest parameter change is observed while the round is written
+        obs = Observation("huber_delta")
+        prm = materialize(st.join(extra, "model_key").mapInPandas(solve, prm_schema), "huber_params",
+                          (obs, F.max("delta").alias("d")))
+        done += 1
+        d = obs.get["d"]
+        if d is not None and d <= p.huber_tol:
+            break
     # final statistics for the model table
-    j = rows.join(prm, "model_key").withColumn("_p", pred(None))
+    j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key").withColumn("_p", pred(None))
     r = F.abs(F.col("y") - F.col("_p"))
     s = F.col("sigma")
     rho = F.when(r <= eps * s, r * r / s).otherwise(2 * eps * r - eps * eps * s)
@@ -309,7 +326,7 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
         "model_key", "intercept", "coef", "scale", "n_rows",
         F.when(ss_tot <= 1e-12, F.when(F.col("_ssr") <= 1e-9, 1.0).otherwise(0.0))
          .otherwise(1 - F.col("_ssr") / ss_tot).alias("r2"),
-        F.lit(iterations).alias("n_iter"),
+        F.lit(done).alias("n_iter"),
         (F.col("_obj") + F.lit(alpha) * F.aggregate("coef", F.lit(0.0), lambda a, x: a + x * x)).alias("objective"))
 
 

@@ -23,10 +23,12 @@ from dosecast.functions.months import brand_no
 
 
 class BackTest:
-    def __init__(self, t: Tables, p: Params = DEFAULT, model: str = "LR", predictions: str = "model"):
+    def __init__(self, t: Tables, p: Params = DEFAULT, model: str = "LR", predictions: str = "model",
+                 grouped: bool = True):
         """``predictions='stand_in'`` replaces model scores by the fixture's
-        deterministic stand-in so the rule stages can be checked exactly."""
-        self.t, self.p, self.model, self.predictions = t, p, model, predictions
+        deterministic stand-in so the rule stages can be checked exactly;
+        ``grouped=False`` gives every pair its own model (M9)."""
+        self.t, self.p, self.model, self.predictions, self.grouped = t, p, model, predictions, grouped
         self.inputs = pn.Inputs(t, p)
 
     @cached_property
@@ -51,7 +53,7 @@ class BackTest:
 
     @cached_property
     def assignment(self) -> DataFrame:
-        return wn.model_assignment(self.pairs, self.p)
+        return wn.model_assignment(self.pairs, self.p, grouped=self.grouped)
 
     @cached_property
     def train(self) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dosecast.plans.oracle_views import with_views
 from dosecast.plans.spec import final_sql, finalize
+from dosecast.session import ship_package
 from dosecast.sources.tables import Tables
 
 
@@ -44,6 +45,7 @@ def _load_all() -> None:
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     _load_all()
     e = REGISTRY[name]
+    ship_package(spark)
     return finalize(e.build(Tables(spark, sf_dir)), e.spec)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,24 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give every executor this package (once a session): Python workers import its modules by name,
+    wherever the driver was started.  The archive is handed out by the driver, not read from a shared path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_dosecast_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="dosecast-zip-"), "dosecast.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("dosecast", os.path.relpath(path, here)))
+    sc.addPyFile(archive)
+    sc._dosecast_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dosecast.llm import decontaminate, mixing, quality, records, simhash, token_counts
-from dosecast.llm.common import read_table
+from dosecast.llm import chat, decontaminate, langid, line_dedup, mixing, pii, quality, records, simhash, token_counts
+from dosecast.llm.common import need, read_table
 from dosecast.session import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +19,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(token_counts.prefix_table(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -30,6 +35,10 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.digest(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(read_table(spark, sf_dir, "documents")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(read_table(spark, sf_dir, "documents")))
 
@@ -38,12 +47,27 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read_table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = r"\### Assistant: </turn> ok"
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    rows = need(read_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").unionByName(added)
+    messages = rows.withColumn("parts", chat.text_part(F.col("text")))
+    return chat.digest(chat.format_conversations(messages))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.matches(read_table(spark, sf_dir, "documents"),
                                                       read_table(spark, sf_dir, "benchmark")))
 
 
-_QUERIES = [op2_token_counts, op3_quality_rules, op4_binary_records, op6_simhash, op7_mixing, op10_decontamination]
+_QUERIES = [op1_line_dedup, op2_token_counts, op3_quality_rules, op4_binary_records, op5_pii, op6_simhash, op7_mixing,
+            op8_chat_format, op9_language_id, op10_decontamination]
 
 
 def _shipped(fn):

@@ -6,8 +6,9 @@ replaced turns one into the other (``MAX_EDITS`` = 1; lines of fewer than
 an earlier line, by (doc_id, line number), is equal to or near it; the earliest
 of a neighbourhood stays.
 
-1. Equal lines are brought together by two 64-bit hashes of their words; the
-   first occurrence stands for them.
+1. Equal lines are brought together by two 64-bit hashes of their text; the
+   first occurrence stands for them.  (Lines of ``MIN_WORDS`` words that differ
+   in white space only are near.)
 2. A line with a near line agrees with it on its first or its second half of
    words.  Lines that share no half with another line have no near line and
    leave the search; this loses nothing and keeps the variants few.
@@ -20,6 +21,8 @@ of a neighbourhood stays.
    all pairs of a group.
 4. The pair's edit distance is verified on the words themselves.
 
+Both sides of every join grow with the input, so none is a broadcast.
+
 DataFrame functions only.  Defined cases: a null or empty text and blank lines
 have no words and are never removed nor counted; a null id orders before all
 others; rows that share an id count as one document, whose lines are told
@@ -48,39 +51,38 @@ def order_of(doc_id: Column, pos: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, words of every line that has a word."""
-    return (need(docs, "doc_id", "text")
-            .select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-            .select("doc_id", "pos", word_list(F.col("line")).alias("words")).where(F.size("words") > 0))
+    """doc_id, pos, line."""
+    return need(docs, "doc_id", "text").select(
+        "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
 
 
 def _halves(words: Column, n: Column) -> Column:
-    """Hashes of the first and last m words, for m = n div 2 and (n - 1) div 2."""
+    """Hashes of the first and last m words, for m = n div 2 and (the same for an odd n) (n - 1) div 2."""
     def of(m: Column) -> list[Column]:
         return [F.xxhash64(F.lit(0), m, F.slice(words, F.lit(1), m)), F.xxhash64(F.lit(1), m, F.slice(words, n - m + 1, m))]
-    m1, m2 = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    return F.array_distinct(F.array(*of(m1), *of(m2)))
+    m = F.floor(n / 2).cast("int")
+    return F.when(n % 2 == 1, F.array(*of(m))).otherwise(F.array(*of(m), *of(m - 1)))
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """h1, h2, ord (of the first occurrence), doc_id, pos, n, halves (none for short lines)."""
-    x = lines(docs).withColumn("n", F.size("words"))
-    x = x.select("doc_id", order_of(F.col("doc_id"), F.col("pos")).alias("ord"), "n",
-                 F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
+    """h1, h2, ord (of the first occurrence), doc_id, pos, halves (none for short lines) of the lines with a word."""
+    x = lines(docs).withColumn("words", word_list(F.col("line"))).withColumn("n", F.size("words")).where(F.col("n") > 0)
+    x = x.select("doc_id", order_of(F.col("doc_id"), F.col("pos")).alias("ord"),
+                 F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
                  F.when(F.col("n") >= min_words, _halves(F.col("words"), F.col("n"))).alias("halves"))
     g = x.groupBy("h1", "h2").agg(
         F.min("ord").alias("ord"), F.min("doc_id").alias("id"), F.max(F.col("doc_id").isNull()).alias("no_id"),
-        F.any_value("n").alias("n"), F.any_value("halves").alias("halves"))
+        F.any_value("halves").alias("halves"))
     g = g.withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
     pos = F.col("ord") - order_of(F.col("doc_id"), F.lit(0))
-    return g.select("h1", "h2", "ord", "doc_id", pos.cast("int").alias("pos"), "n", "halves")
+    return g.select("h1", "h2", "ord", "doc_id", pos.cast("int").alias("pos"), "halves")
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
     """Lines that share a half with another one: ord."""
     keys = distinct.where(F.col("halves").isNotNull()).select("ord", F.explode("halves").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select("key")
-    return keys.join(shared, "key", "left_semi").select("ord").distinct()
+    return keys.join(shared.hint("merge"), "key", "left_semi").select("ord").distinct()
 
 
 def variants(cand: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def earlier_pairs(v: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("role") != 2, F.col("ord"))).alias("cut"),
         F.min(F.when(F.col("role") == 2, F.col("ord"))).alias("whole")).where(F.col("rows") > 1)
     other = F.when(F.col("role") == 1, F.col("whole")).otherwise(F.col("cut"))
-    return (v.join(shared, "key").select("ord", other.alias("earlier"))
+    return (v.join(shared.hint("merge"), "key").select("ord", other.alias("earlier"))
             .where(F.col("earlier") < F.col("ord")).distinct())
 
 
@@ -126,18 +128,20 @@ def within_one(a: Column, b: Column) -> Column:
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """ord of the distinct lines that have a near earlier line."""
     want = materialize(candidates(distinct), "line_candidates")
-    text = lines(docs).select(order_of(F.col("doc_id"), F.col("pos")).alias("ord"), "words")
-    cand = materialize(text.join(want, "ord", "left_semi").withColumn("n", F.size("words")), "line_words")
+    text = lines(docs).select(order_of(F.col("doc_id"), F.col("pos")).alias("ord"), "line")
+    cand = text.join(want.hint("merge"), "ord", "left_semi").select("ord", word_list(F.col("line")).alias("words"))
+    cand = materialize(cand.withColumn("n", F.size("words")), "line_words")
     pairs = earlier_pairs(materialize(variants(cand), "line_variants"))
     a = cand.select("ord", F.col("words").alias("a"))
     b = cand.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
-    return pairs.join(a, "ord").join(b, "earlier").where(within_one(F.col("a"), F.col("b"))).select("ord").distinct()
+    return (pairs.join(a.hint("merge"), "ord").join(b.hint("merge"), "earlier")
+            .where(within_one(F.col("a"), F.col("b"))).select("ord").distinct())
 
 
 def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, kept (numbers of the lines that stay, ascending); documents of which no line stays are missing."""
     distinct = materialize(distinct_lines(docs, min_words), "line_distinct")
-    kept = distinct.join(near_lines(docs, distinct), "ord", "left_anti")
+    kept = distinct.join(near_lines(docs, distinct).hint("merge"), "ord", "left_anti")
     return kept.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("kept"))
 
 
@@ -154,7 +158,7 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (with a word), n_kept, kept_lines (numbers, comma-joined)."""
     d = need(docs, "doc_id", "text")
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
-    k = kept_lines(d).select(F.col("doc_id").alias("_id"), "kept")
+    k = kept_lines(d).select(F.col("doc_id").alias("_id"), "kept").hint("merge")
     return (d.select("doc_id", n.alias("n_lines")).join(k, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
             .select("doc_id", "n_lines", F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
                     F.coalesce(F.concat_ws(",", F.col("kept").cast("array<string>")), F.lit("")).alias("kept_lines")))

@@ -24,14 +24,22 @@ _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Letters and digits of ASCII and Latin-1.
 _PLAIN_END = frozenset(c for c in map(chr, range(0x100)) if c.isalpha() or c.isascii() and c.isdigit())
-# Stand for a full stop and a comma between units; texts that hold them take the general rule.
-_STOP, _COMMA = "\x02", "\x03"
-_STOP_UNIT, _COMMA_UNIT, _MARKS = f" {_STOP} ", f" {_COMMA} ", (_STOP, _COMMA)
-MAX_UNITS = 700_000
+# Marks for ``segment``: a full stop, a comma, a line's and the text's beginning.  Texts that hold
+# them take the general rule.
+_STOP, _COMMA, _LINE, _FIRST = "\x02", "\x03", "\x04", "\x05"
+_MARKS, _BEGINS = frozenset((_STOP, _COMMA, _LINE, _FIRST)), (_LINE, _FIRST)
+_NEW_LINE, _STOP_UNIT, _COMMA_UNIT = f" {_LINE}", f" {_STOP} ", f" {_COMMA} "
+_STOP_LINE, _COMMA_LINE = f" {_STOP} {_LINE}", f" {_COMMA} {_LINE}"
+MAX_UNITS = 500_000
 
 _LOADED: dict = {}
 
 
+def _one_piece(word: str) -> bool:
+    """Letters only, of the blocks up to Latin Extended-B."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 def load(spec: str):
     """The worker's one ``UnitTokenizer`` for a tokenizer definition (the JSON text)."""
     key = hash(spec)
@@ -67,7 +75,7 @@ class UnitTokenizer:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.spaced = np.zeros(self.size, bool)
         self.spaced[[i for t, i in self.lib.get_vocab().items() if t[0] == "\u0120"]] = True
-        self.after_space: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.others: dict[str, bytes] = {}
         self.odd: set[str] = set()          # stored words that end in neither a letter nor a digit
 
@@ -80,7 +88,7 @@ class UnitTokenizer:
     def after_a_space(self, words: list[str]) -> list[bytes]:
         """Values of the units ``' ' + word``.  Words of letters only are one piece each, so they are
         encoded as one text and told apart by the tokens that begin with the space."""
-        one = [w for w in words if w.isascii() and w.isalpha()]
+        one = [w for w in words if _one_piece(w)]
         known = {}
         if one:
             e = self.lib.encode_batch_fast([" " + " ".join(one)], add_special_tokens=False)[0]
@@ -100,18 +108,23 @@ class UnitTokenizer:
         return self.whole(text)
 
     def _learn(self, words: set[str]) -> None:
-        """Store the values of the units ``' ' + word``.  A full store keeps its older half, in which
-        the frequent units are."""
-        known = self.after_space
-        if len(known) + len(words) > MAX_UNITS:
-            for w in list(known)[MAX_UNITS // 2:]:
-                del known[w]
-            self.odd.clear()
-            self.odd.update(w for w in known if w[-1] not in _PLAIN_END)
-        new = [w for w in words if w not in known]
-        known.update(zip(new, self.after_a_space(new)))
+        """Store the values of words: units ``' ' + word``, or those that a mark says begin a line or the
+        text.  A full store keeps its older half, in which the frequent units are."""
+        if len(self.known) + len(words) > MAX_UNITS:
+            for w in list(self.known)[MAX_UNITS // 2:]:
+                del self.known[w]
+            self.odd.intersection_update(self.known)
+        new = [w for w in words if w not in self.known]
+        inner = [w for w in new if w[0] not in _BEGINS]
+        begin = [w for w in new if w[0] in _BEGINS]
+        self.known.update(zip(inner, self.after_a_space(inner)))
+        self.known.update(zip(begin, self.values(["\n" + w[1:] if w[0] == _LINE else w[1:] for w in begin])))
+        self.known.update(self.fixed())
         self.odd.update(w for w in new if w[-1] not in _PLAIN_END)
 
+    def fixed(self) -> dict[str, bytes]:
+        return {_STOP: self.other("."), _COMMA: self.other(",")}
+
     def other(self, unit: str) -> bytes:
         got = self.others.get(unit)
         if got is None:
@@ -131,47 +144,35 @@ class UnitTokenizer:
         return self.segment(text)
 
     def segment(self, text: str) -> bytes:
-        """The common case: single spaces and line breaks between words.  A full stop or comma that
-        follows a letter or digit and stands before white space is a unit's last piece; it is looked up
-        by itself, so that a word is stored once."""
-        if _STOP in text or _COMMA in text:
-            return self.irregular(text)
-        out, value = [], self.after_space.__getitem__
-        stop, comma = self.other("."), self.other(",")
-        for i, line in enumerate(text.split("\n")):
-            last = None
-            if line[-1:] == "." or line[-1:] == ",":
-                last, line = (stop if line[-1] == "." else comma), line[:-1]
-                if line[-1:] not in _PLAIN_END:
-                    return self.irregular(text)
-            if not line or line[-1] in SPACES:
-                return self.irregular(text)
-            words = line.replace(". ", _STOP_UNIT).replace(", ", _COMMA_UNIT).split(" ")
-            head = words[0]
-            words[0] = _STOP
-            self.after_space[_STOP], self.after_space[_COMMA] = stop, comma
-            try:
-                vals = list(map(value, words))
-            except KeyError:
-                new = {w for w in words if w not in self.after_space}
-                if "" in new or any(w[-1] in SPACES for w in new):
-                    return self.irregular(text)
-                if len(self.after_space) + len(new) > MAX_UNITS:
-                    new = set(words)
-                self._learn(new - {_STOP, _COMMA})
-                self.after_space[_STOP], self.after_space[_COMMA] = stop, comma
-                vals = list(map(value, words))
-            if not head or head[-1] in SPACES:
-                return self.irregular(text)
-            vals[0] = self.other("\n" + head if i else head)
-            words[0] = head
-            if not self.odd.isdisjoint(words) or head[-1] not in _PLAIN_END:
-                if any(b in _MARKS and a[-1] not in _PLAIN_END for a, b in zip(words, words[1:])):
-                    return self.irregular(text)
-            out += vals
-            if last is not None:
-                out.append(last)
-        return b"".join(out)
+        """The common case: single spaces and line breaks between words.  Marks are put in for the places
+        that matter, so that one split gives all units: a full stop or comma that follows a letter or digit
+        and stands before white space is a piece of its own; a word after a line break, or at the text's
+        beginning, has no space before it."""
+        last = text[-1]
+        if last == "." or last == ",":
+            text = text[:-1]
+        else:
+            last = ""
+        if not text or text[-1] in SPACES or last and text[-1] not in _PLAIN_END or any(m in text for m in _MARKS):
+            return self.irregular(text + last)
+        words = (_FIRST + text.replace(".\n", _STOP_LINE).replace(",\n", _COMMA_LINE).replace("\n", _NEW_LINE)
+                 .replace(". ", _STOP_UNIT).replace(", ", _COMMA_UNIT)).split(" ")
+        try:
+            vals = list(map(self.known.__getitem__, words))
+        except KeyError:
+            new = {w for w in words if w not in self.known}
+            if "" in new or _LINE in new or _FIRST in new or any(w[-1] in SPACES for w in new):
+                return self.irregular(text + last)
+            if len(self.known) + len(new) > MAX_UNITS:
+                new = set(words)
+            self._learn(new - {_STOP, _COMMA})
+            vals = list(map(self.known.__getitem__, words))
+        if not self.odd.isdisjoint(words):
+            if any(b in (_STOP, _COMMA) and a[-1] not in _PLAIN_END for a, b in zip(words, words[1:])):
+                return self.irregular(text + last)
+        if last:
+            vals.append(self.other(last))
+        return b"".join(vals)
 
     def irregular(self, text: str) -> bytes:
         """Any text, cut into units by the general rule."""

@@ -35,7 +35,7 @@ from dosecast.llm.common import need
 WINDOW = 10
 SAMPLE = 32
 BLOCK_CHARS = 16 << 20        # benchmark text in one block
-SHARD_CHARS = 24 << 20        # document text in one shard
+SHARD_CHARS = 4 << 20         # document text in one shard
 SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<first:int,last:int>>"
 
 # Bytes outside words: 00-2F, 3A-60, 7B-7F (after lower-casing A-Z).

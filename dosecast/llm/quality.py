@@ -132,9 +132,10 @@ def prior(n: int, failed: int, squares: float, hosts: int) -> tuple[float, float
 
 
 def judge(measured_docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``measured_docs`` with ``host_rate``, ``host_rejected`` and ``kept``."""
-    v = host_verdicts(measured_docs, host, max_rate).select(
-        F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"), F.col("rejected").alias("host_rejected"))
+    """``measured_docs`` with ``host_rate``, ``host_rejected`` and ``kept``.  The verdicts are a written table,
+    so Spark knows their size when it chooses the join."""
+    v = materialize(host_verdicts(measured_docs, host, max_rate).select(
+        F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"), F.col("rejected").alias("host_rejected")), "hosts")
     return (measured_docs.join(v, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
             .withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & F.col("strict_failed"))))
 

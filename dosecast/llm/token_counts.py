@@ -157,7 +157,8 @@ class PrefixCounter(bpe.UnitTokenizer):
         return [_differences(_counts_of(self, u)) for u in units]
 
     def after_a_space(self, words: list[str]) -> list[bytes]:
-        return [_differences(self.piece_counts((" " + w).encode())) if w.isascii() and w.isalpha() else self.values([" " + w])[0]
+        return [_differences(self.piece_counts((" " + w).encode())) if w.isascii() and w.isalpha()
+                else self.values([" " + w])[0]
                 for w in words]
 
     def whole(self, text: str) -> bytes:

@@ -14,9 +14,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sealed(df: DataFrame, *own: str) -> DataFrame:
+    """``df`` with its columns, but for those of ``own``, renamed by place, so that no name of the input can
+    clash with one that an operator adds.  ``unsealed`` gives the names back."""
+    names = [f"in{i}" for i in range(len(df.columns))]
+    for c in own:
+        if c in df.columns:
+            names[df.columns.index(c)] = c
+    return df.toDF(*names)
+
+
+def unsealed(df: DataFrame, like: DataFrame, *own: str) -> DataFrame:
+    """The columns of ``like``, in order and under their names, from a frame derived from ``sealed(like, *own)``."""
+    return df.select(*sealed(like, *own).columns).toDF(*like.columns)
+
+
 def need(df: DataFrame, *cols: str) -> DataFrame:
     """Only the named columns; further columns of the input, whatever their names, play no part."""
-    return df.select(*[F.col(f"`{c}`") for c in cols])
+    return sealed(df, *cols).select(*cols)
 
 
 def word_list(text: Column) -> Column:

@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need, word_list
+from dosecast.llm.common import need, sealed, unsealed, word_list
 from dosecast.session import materialize
 
 MIN_WORDS = 4
@@ -147,11 +147,12 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def remove_lines(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """``docs`` without the lines that have words and are not in ``kept``; blank lines stay."""
-    k = kept.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
-    all_lines = F.split(F.col("text"), "\n")
-    stays = lambda line, i: (F.size(word_list(line)) == 0) | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i)
-    return (docs.join(k, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-            .withColumn("text", F.array_join(F.filter(all_lines, stays), "\n")).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    own = ("doc_id", "text")
+    k = kept.select(F.col("doc_id").alias("id_"), F.col("kept").alias("kept_"))
+    stays = lambda line, i: ((F.size(word_list(line)) == 0)
+                             | F.array_contains(F.coalesce("kept_", F.array().cast("array<int>")), i))
+    d = sealed(docs, *own).join(k, F.col("doc_id").eqNullSafe(F.col("id_")), "left")
+    return unsealed(d.withColumn("text", F.array_join(F.filter(F.split("text", "\n"), stays), "\n")), docs, *own)
 
 
 def digest(docs: DataFrame) -> DataFrame:

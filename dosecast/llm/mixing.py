@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import SPACE, WORD
+from dosecast.llm.common import SPACE, WORD, need, sealed, unsealed
 from dosecast.session import materialize
 
 SLICES = 4096
@@ -98,7 +98,7 @@ def cuts(docs: DataFrame, targets: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame, seed: int = 7, **how) -> DataFrame:
     """The cuts of ``docs`` (doc_id, source, text), a row for each source, as a written table."""
-    d = materialize(sized(docs.select("doc_id", "source", "text"), seed).select("source", "_size", "_place"), "mix_sizes")
+    d = materialize(sized(need(docs, "doc_id", "source", "text"), seed).select("source", "_size", "_place"), "mix_sizes")
     sizes = d.groupBy("source").agg(F.sum("_size").alias("source_size"))
     return materialize(cuts(d, source_targets(sizes, **how)), "mix_cuts")
 
@@ -115,7 +115,7 @@ def with_plan(docs: DataFrame, cut_table: DataFrame, seed: int = 7) -> DataFrame
 
 def taken(docs: DataFrame, seed: int = 7, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken."""
-    d = docs.select("doc_id", "source", "text")
+    d = need(docs, "doc_id", "source", "text")
     return with_plan(d, plan(d, seed, **how), seed).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (F.col("_whole") * F.col("_size") + F.col("_part")).alias("taken"))
@@ -133,13 +133,13 @@ def mix(docs: DataFrame, seed: int = 7, **how) -> DataFrame:
     """The mix itself: every document as often as it is taken, a partial repetition cut after its words.
     Columns as in ``docs``; ``n_chars``, if there, is that of the new text.  Documents without words are not
     taken."""
-    cols = docs.columns
-    p = with_plan(docs, plan(docs, seed, **how), seed)
+    own = ("doc_id", "source", "text", "n_chars")
+    p = with_plan(sealed(docs, *own), plan(docs, seed, **how), seed)
     copies = F.concat(F.array_repeat(F.col("_size"), F.col("_whole").cast("int")),
                       F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<bigint>")))
     p = p.where(F.col("_size") > 0).withColumn("_take", F.explode(copies))
-    text = F.when(F.col("_take") < F.col("_size"), first_words(F.col("text"), F.col("_take"))).otherwise(F.col("text"))
-    p = p.withColumn("text", text)
-    if "n_chars" in cols:
-        p = p.withColumn("n_chars", F.when(F.col("_take") < F.col("_size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return p.select(*[F.col(f"`{c}`") for c in cols])
+    cut = F.col("_take") < F.col("_size")
+    p = p.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("_take"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        p = p.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return unsealed(p, docs, *own)

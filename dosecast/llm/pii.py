@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need
+from dosecast.llm.common import need, sealed, unsealed
 from dosecast.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -208,8 +208,9 @@ def replaced(text: str, spans: str) -> str:
 def sanitise(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``.  Rows are matched by doc_id, so
     ids must differ; of rows that share one, each is given the spans of one of them only if texts agree."""
-    spans = digest(personal_data(docs, **how)).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
+    own = ("doc_id", "text")
+    spans = digest(personal_data(docs, **how)).select(F.col("doc_id").alias("id_"), F.col("spans").alias("spans_")).dropDuplicates(["id_"])
     put = F.udf(replaced, "string")
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.coalesce(F.col("_spans"), F.lit("")) != "", put(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = sealed(docs, *own).join(spans, F.col("doc_id").eqNullSafe(F.col("id_")), "left")
+    text = F.when(F.coalesce(F.col("spans_"), F.lit("")) != "", put(F.col("text"), F.col("spans_"))).otherwise(F.col("text"))
+    return unsealed(d.withColumn("text", text), docs, *own)

@@ -90,16 +90,13 @@ def strict_failed() -> Column:
             | (100 * F.col("n_repeat_words") > STRICT_REPEATS * F.col("n_words")) | (F.col("n_dup_lines") > 0))
 
 
-def measure(docs: DataFrame, host: str = "source", carry: list[str] | None = None) -> DataFrame:
-    """doc_id, host and measures (and the columns of ``carry``) as a written table: two passes read it."""
-    cols = carry if carry is not None else ["doc_id", host]
-    names = {c: f"c{i}" for i, c in enumerate(cols)}
-    first = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col("`text`").alias("text"))
+def measure(docs: DataFrame) -> DataFrame:
+    """``docs`` with the measures, base_failed and strict_failed appended; column names as c0, c1, ..., in
+    the order of ``docs.columns``, but for ``text``."""
+    names = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    first = docs.toDF(*names)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields] + [f"{m} long" for m in MEASURES])
-    out = first.mapInArrow(measured, schema)
-    if carry is None:
-        out = out.drop("text")
-    return materialize(out.withColumn("base_failed", base_failed()).withColumn("strict_failed", strict_failed()), "quality")
+    return first.mapInArrow(measured, schema).withColumn("base_failed", base_failed()).withColumn("strict_failed", strict_failed())
 
 
 def host_verdicts(measured_docs: DataFrame, host: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -131,25 +128,30 @@ def prior(n: int, failed: int, squares: float, hosts: int) -> tuple[float, float
     return mean, max(1e-6, (v - spread) / (spread - v * r))
 
 
-def judge(measured_docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``measured_docs`` with ``host_rate``, ``host_rejected`` and ``kept``.  The verdicts are a written table,
-    so Spark knows their size when it chooses the join."""
-    v = materialize(host_verdicts(measured_docs, host, max_rate).select(
-        F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"), F.col("rejected").alias("host_rejected")), "hosts")
+def judge(measured_docs: DataFrame, host: str, verdicts: DataFrame) -> DataFrame:
+    """``measured_docs`` with ``host_rate``, ``host_rejected`` and ``kept``."""
+    v = verdicts.select(F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"), F.col("rejected").alias("host_rejected"))
     return (measured_docs.join(v, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
             .withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & F.col("strict_failed"))))
 
 
+def _measured_table(docs: DataFrame) -> DataFrame:
+    """Id, host and measures of every document as a written table (without texts): two passes read it."""
+    return materialize(measure(docs).drop("text"), "quality")
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the measures, base_failed, kept, host_rate, host_rejected."""
-    m = measure(need(docs, "doc_id", "source", "text")).withColumnRenamed("c0", "doc_id").withColumnRenamed("c1", "source")
-    return judge(m).select("doc_id", *MEASURES, "base_failed", "kept", "host_rate", "host_rejected")
+    m = _measured_table(need(docs, "doc_id", "source", "text")).withColumnsRenamed({"c0": "doc_id", "c1": "source"})
+    # A written table: Spark knows its size when it chooses the join.
+    v = materialize(host_verdicts(m, "source"), "hosts")
+    return judge(m, "source", v).select("doc_id", *MEASURES, "base_failed", "kept", "host_rate", "host_rejected")
 
 
 def filter_documents(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    cols = [c for c in docs.columns if c != "text"]
-    m = measure(docs, host, cols)
-    own = {c: f"c{i}" for i, c in enumerate(cols)}
-    kept = judge(m, own[host]).where("kept")
-    return kept.select(*[F.col("text") if c == "text" else F.col(own[c]).alias(c) for c in docs.columns])
+    """The documents that are kept, with all their columns.  Texts are measured a second time for the
+    filter, which costs less than a written copy or a shuffle of them."""
+    v = materialize(host_verdicts(_measured_table(need(docs, host, "text")), "c0"), "hosts")
+    own = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    kept = judge(measure(docs), own[docs.columns.index(host)], v).where("kept")
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(own, docs.columns)])

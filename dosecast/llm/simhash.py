@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need
+from dosecast.llm.common import need, sealed, unsealed
 from dosecast.llm.graph import components
 from dosecast.session import materialize
 
@@ -155,10 +155,11 @@ def digest(classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """One document of each group: the one with the group's smallest id (of rows that share it, one).
-    A group without any id keeps one row for each distinct fingerprint."""
+    """One document of each group: the one with the group's smallest id.  Rows that share an id are one
+    document: of those with the same text, one stays.  Documents without an id are not removed, but for
+    repeats of a text."""
     classes = near_duplicates(docs, shingle, bits)
-    keep = (classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return kept.dropDuplicates(["doc_id"])
+    keep = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
+    d = sealed(docs, "doc_id", "text")
+    kept = d.join(keep, F.col("doc_id") == F.col("kept_id"), "left").where(F.col("kept_id").isNotNull() | F.col("doc_id").isNull())
+    return unsealed(kept.dropDuplicates(["doc_id", "text"]), docs, "doc_id", "text")

@@ -8,7 +8,7 @@ recorded in order with the number of tokens that each placeholder expands to.
 
 Escaping is reversible and leaves no control string in a text: a backslash is
 doubled, and one is put inside ``</turn>``, ``### `` and ``<|``; in a role also
-before a colon.  Removing one level of backslashes gives the text back.
+after a colon that a space follows.  Removing one level of backslashes gives the text back.
 
 Expanded tokens: an image one for each 14 x 14 patch begun, audio 25 for each
 second begun, a document one for each 4 characters begun; 0 where the measure
@@ -79,7 +79,7 @@ def turns(messages: DataFrame) -> DataFrame:
     files = F.transform("files", lambda p, i: F.struct(
         p["type"].alias("type"), p["ref"].alias("ref"), (F.col("files_before") + i + 1).cast("long").alias("number"),
         expanded_tokens(p).alias("tokens")))
-    m = m.select("conv_id", "n", "role", F.concat(F.lit("### "), F.replace(escape(F.col("role")), F.lit(":"), F.lit("\\:")), F.lit(": ")).alias("head"),
+    m = m.select("conv_id", "n", "role", F.concat(F.lit("### "), F.replace(escape(F.col("role")), F.lit(": "), F.lit(":\\ ")), F.lit(": ")).alias("head"),
                  F.array_join(shown, "").alias("content"), files.alias("attachments"))
     by_n = Window.partitionBy("conv_id").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     length = F.length("head") + F.length("content") + len(END)
@@ -104,7 +104,7 @@ def parsed_turns(formatted: Column) -> Column:
     turns_ = F.filter(F.split(formatted, "</turn>\n"), lambda x: x != "")
     def one(x: Column) -> Column:
         colon = F.locate(": ", x)
-        # The role's own colons are escaped, so the first free one ends it.
+        # A role holds no colon before a space, so the first one ends it.
         return F.struct(unescape(F.substring(x, F.lit(5), colon - 5)).alias("role"),
                         unescape(F.substring(x, colon + 2, F.length(x))).alias("text"))
     return F.transform(turns_, one)

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -205,12 +206,15 @@ def replaced(text: str, spans: str) -> str:
     return "".join([*out, text[at:]])
 
 
+def _replaced_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([replaced(t, s) if t and s else t for t, s in zip(texts, spans)], dtype=object)
+
+
 def sanitise(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``.  Rows are matched by doc_id, so
     ids must differ; of rows that share one, each is given the spans of one of them only if texts agree."""
     own = ("doc_id", "text")
     spans = digest(personal_data(docs, **how)).select(F.col("doc_id").alias("id_"), F.col("spans").alias("spans_")).dropDuplicates(["id_"])
-    put = F.udf(replaced, "string")
+    put = F.pandas_udf(_replaced_all, "string")
     d = sealed(docs, *own).join(spans, F.col("doc_id").eqNullSafe(F.col("id_")), "left")
-    text = F.when(F.coalesce(F.col("spans_"), F.lit("")) != "", put(F.col("text"), F.col("spans_"))).otherwise(F.col("text"))
-    return unsealed(d.withColumn("text", text), docs, *own)
+    return unsealed(d.withColumn("text", put(F.col("text"), F.col("spans_"))), docs, *own)

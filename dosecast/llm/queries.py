@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosecast.llm import chat, decontaminate, langid, line_dedup, mixing, pii, quality, records, simhash, token_counts
+from dosecast.llm import chat, decontaminate, langid, line_dedup, mixing, oracle, pii, quality, records, simhash, token_counts
 from dosecast.llm.common import need, read_table
 from dosecast.session import ship_package
 
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

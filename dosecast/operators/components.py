@@ -24,16 +24,13 @@ NEIGHBOURS_8 = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) !
 
 def _threshold_search(px: DataFrame, base: F.Column, steps: int, limit_pct: float) -> DataFrame:
     """First threshold base - 10 i (i = 0..steps-1) whose share of pixels above it exceeds
-    ``limit_pct`` percent; the last one when none does.  A bounded explode of ``steps``."""
-    b = px.groupBy("tile").agg(base.alias("base"), F.count(F.lit(1)).alias("n"))
-    x = (px.join(b, "tile")
-           .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
-           .withColumn("t", F.col("base") - STEP * F.col("i")))
-    s = x.groupBy("tile", "i", "t").agg((F.count_if(F.col("v") > F.col("t")) * 100.0 / F.count(F.lit(1)))
-                                       .alias("share"))
-    pick = s.groupBy("tile").agg(
-        F.coalesce(F.min(F.when(F.col("share") > limit_pct, F.col("i"))), F.lit(steps - 1)).alias("i"))
-    return pick.join(s, ["tile", "i"]).select("tile", F.col("t").alias("threshold"), "share", "i")
+    ``limit_pct`` percent; the last one when none does.  One conditional count for each threshold."""
+    b = px.groupBy("tile").agg(base.alias("base"))
+    above = F.array(*[F.count_if(F.col("v") > F.col("base") - STEP * i) * 100.0 / F.count(F.lit(1)) for i in range(steps)])
+    s = px.join(b, "tile").groupBy("tile", "base").agg(above.alias("shares"))
+    first = F.array_position(F.transform("shares", lambda x: x > limit_pct), True)
+    i = F.when(first == 0, steps - 1).otherwise(first - 1).cast("int")
+    return s.select("tile", (F.col("base") - STEP * i).alias("threshold"), F.element_at("shares", i + 1).alias("share"), i.alias("i"))
 
 
 def tile_threshold(px: DataFrame, limit_pct: float = 20.0) -> DataFrame:
@@ -69,7 +66,7 @@ def pixel_edges(m: DataFrame, side: int = TILE_SIDE) -> DataFrame:
     return a.join(m, ["tile", "r", "c"]).select("tile", "src", (F.col("r") * side + F.col("c")).alias("dst"))
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Components of an undirected graph partitioned by ``tile``; label = smallest node.
 
     Each round: (a) label := min(label, neighbours' labels); (b) hooking --
@@ -77,14 +74,15 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     of a node carrying that label; (c) shortcut label := label(label).
     Labels are always node ids of the same component and only decrease, so
     the fixed point is the component minimum; hooking and shortcutting
-    cut the rounds from the component diameter to about its logarithm.
+    cut the rounds from the component diameter to about its logarithm.  Labels only
+    fall, so the rounds end by themselves; there is no other limit.
     """
     checkpoint_dir(nodes.sparkSession)
     e = edges.select("tile", "src", "dst")
     e = e.unionByName(e.select("tile", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     e = materialize(e, "cc_edges")
     lab = materialize(nodes.select("tile", "node", F.col("node").alias("label")), "cc_labels")
-    for _ in range(max_rounds):
+    while True:
         lu = lab.select("tile", F.col("node").alias("src"), F.col("label").alias("pu"))
         lv = lab.select("tile", F.col("node").alias("dst"), F.col("label").alias("pv"))
         ep = e.join(lu, ["tile", "src"]).join(lv, ["tile", "dst"])

@@ -154,7 +154,7 @@ def _cells(lo, hi, size):
 
 
 def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0) -> DataFrame:
-    """Vertical x horizontal crossings, ``h.x1 <= v.x <= h.x2 and v.y1 <= h.y <= v.y2``.
+    """Vertical x horizontal crossings: v.x lies between h's ends and h.y between v's.
 
     v covers cells (cx(v.x), cy(y1)..cy(y2)); h covers (cx(x1)..cx(x2), cy(h.y)).
     A crossing pair meets in exactly one cell, (cx(v.x), cy(h.y)).
@@ -168,17 +168,18 @@ def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0) -> DataFrame:
            .withColumn("cy", F.floor(F.col("hy") / cell))
            .withColumn("cx", F.explode(_cells(F.least("hx1", "hx2"), F.greatest("hx1", "hx2"), cell))))
     j = vv.join(hh, ["tile", "cx", "cy"])
-    j = j.where((F.col("hx1") <= F.col("vx")) & (F.col("vx") <= F.col("hx2"))
-                & (F.col("vy1") <= F.col("hy")) & (F.col("hy") <= F.col("vy2")))
+    # either end of a segment may come first
+    j = j.where(F.col("vx").between(F.least("hx1", "hx2"), F.greatest("hx1", "hx2"))
+                & F.col("hy").between(F.least("vy1", "vy2"), F.greatest("vy1", "vy2")))
     return j.select("tile", "v_id", "h_id", F.col("vx").alias("x"), F.col("hy").alias("y"))
 
 
 def segment_intersections(a: DataFrame, b: DataFrame, cell: float = 16.0, tol: float = TOL) -> DataFrame:
-    """General intersections (bbox overlap, then parametric t, u in [0, 1]).
+    """General intersections (bounding boxes that overlap, then the places on both segments).
 
     Both sides explode to the cells of their bounding boxes; a pair is kept
     only in the cell holding the lower-left corner of the bbox overlap, so it
-    is tested once.  Parallel pairs (|denominator| <= tol) are skipped; the
+    is tested once.  Parallel pairs are skipped; the
     result is the distinct points per left segment.
     """
     def boxes(d, p):
@@ -192,15 +193,21 @@ def segment_intersections(a: DataFrame, b: DataFrame, cell: float = 16.0, tol: f
     j = j.where((F.col("a_minx") <= F.col("b_maxx")) & (F.col("b_minx") <= F.col("a_maxx"))
                 & (F.col("a_miny") <= F.col("b_maxy")) & (F.col("b_miny") <= F.col("a_maxy"))
                 & (F.floor(ox / cell) == F.col("cx")) & (F.floor(oy / cell) == F.col("cy")))
-    dx1, dy1 = F.col("a_x2") - F.col("a_x1"), F.col("a_y2") - F.col("a_y1")
-    dx2, dy2 = F.col("b_x2") - F.col("b_x1"), F.col("b_y2") - F.col("b_y1")
-    den = dx1 * dy2 - dy1 * dx2
-    tn = (F.col("a_x1") - F.col("b_x1")) * dy2 - (F.col("a_y1") - F.col("b_y1")) * dx2
-    un = (F.col("a_x1") - F.col("b_x1")) * dy1 - (F.col("a_y1") - F.col("b_y1")) * dx1
-    j = j.where(F.abs(den) > tol).withColumn("t", tn / -den).withColumn("u", un / -den)
-    j = j.where((F.col("t") >= -tol) & (F.col("t") <= 1 + tol) & (F.col("u") >= -tol) & (F.col("u") <= 1 + tol))
-    return (j.select("tile", F.col("a_id").alias("id"),
-                     (F.col("a_x1") + F.col("t") * dx1).alias("px"), (F.col("a_y1") + F.col("t") * dy1).alias("py"))
+    def cross(p, q):
+        return p[0] * q[1] - p[1] * q[0]
+
+    # a's start + place * its run = b's start + other * its run; crossing both sides with a run
+    # leaves one unknown each.
+    run_a = [F.col(f"a_{c}2") - F.col(f"a_{c}1") for c in "xy"]
+    run_b = [F.col(f"b_{c}2") - F.col(f"b_{c}1") for c in "xy"]
+    gap = [F.col(f"b_{c}1") - F.col(f"a_{c}1") for c in "xy"]
+    turn = cross(run_a, run_b)
+    j = (j.where(F.abs(turn) > tol)
+          .withColumn("place", cross(gap, run_b) / turn).withColumn("other", cross(gap, run_a) / turn))
+    inside = [F.col(c).between(-tol, 1 + tol) for c in ("place", "other")]
+    return (j.where(inside[0] & inside[1])
+             .select("tile", F.col("a_id").alias("id"), (F.col("a_x1") + F.col("place") * run_a[0]).alias("px"),
+                     (F.col("a_y1") + F.col("place") * run_a[1]).alias("py"))
              .distinct())
 
 

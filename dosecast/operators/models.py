@@ -173,6 +173,8 @@ def fit_huber(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
         X = pdf[cols].to_numpy(dtype=float)
         y = pdf["y"].to_numpy(dtype=float)
         coef, b0, sigma, it, obj = huber_fit(X, y, eps, alpha, mi, tol)
+        if it >= mi:
+            raise RuntimeError(f"the Huber model {pdf['model_key'].iloc[0]} has not converged after {it} steps")
         return pd.DataFrame({"model_key": [pdf["model_key"].iloc[0]], "intercept": [b0],
                              "coef": [coef.tolist()], "scale": [sigma], "n_rows": [len(y)],
                              "r2": [r2_score(y, X @ coef + b0)], "n_iter": [it], "objective": [obj]})
@@ -202,15 +204,15 @@ def _suff_stats(rows: DataFrame, cols: list[str], weight=None) -> DataFrame:
     return rows.groupBy("model_key").agg(*aggs)
 
 
-def _normal_eq(r, k):
-    """(A^T W A, A^T W y) with A = [X, 1] from a row of sufficient statistics."""
-    M = np.zeros((k + 1, k + 1))
+def _normal_eqs(pdf: pd.DataFrame, k: int):
+    """Stacks of A^T W A and A^T W y with A = [X, 1], one for each row of sufficient statistics."""
+    M = np.zeros((len(pdf), k + 1, k + 1))
     for i in range(k):
         for j in range(i, k):
-            M[i, j] = M[j, i] = r[f"sxx{i}_{j}"]
-        M[i, k] = M[k, i] = r[f"sx{i}"]
-    M[k, k] = r["sw"]
-    rhs = np.array([r[f"sxy{i}"] for i in range(k)] + [r["sy"]])
+            M[:, i, j] = M[:, j, i] = pdf[f"sxx{i}_{j}"]
+        M[:, i, k] = M[:, k, i] = pdf[f"sx{i}"]
+    M[:, k, k] = pdf["sw"]
+    rhs = np.stack([*[pdf[f"sxy{i}"].to_numpy(float) for i in range(k)], pdf["sy"].to_numpy(float)], axis=1)
     return M, rhs
 
 
@@ -223,28 +225,24 @@ def fit_ridge(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
     def solve(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                M, rhs = _normal_eq(r, k)
-                n = r["sw"]
-                xm = M[:k, k] / n
-                ym = rhs[k] / n
-                S = M[:k, :k] - n * np.outer(xm, xm) + alpha * np.eye(k)
-                w = np.linalg.solve(S, rhs[:k] - n * xm * ym)
-                b0 = ym - xm @ w
-                beta = np.concatenate([w, [b0]])
-                ss_res = r["syy"] - 2 * beta @ rhs + beta @ M @ beta
-                ss_tot = r["syy"] - n * ym * ym
-                r2 = (1.0 if abs(ss_res) < 1e-9 else 0.0) if abs(ss_tot) < 1e-12 else 1 - ss_res / ss_tot
-                out.append((r["model_key"], float(b0), w.tolist(), float("nan"), int(r["n"]), float(r2), 1,
-                            float("nan")))
-            yield pd.DataFrame(out, columns=["model_key", "intercept", "coef", "scale", "n_rows", "r2",
-                                             "n_iter", "objective"])
+            M, rhs = _normal_eqs(pdf, k)
+            n = pdf["sw"].to_numpy(float)[:, None]
+            xm, ym = M[:, :k, k] / n, rhs[:, k:] / n
+            S = M[:, :k, :k] - n[:, :, None] * xm[:, :, None] * xm[:, None, :] + alpha * np.eye(k)
+            w = np.linalg.solve(S, (rhs[:, :k] - n * xm * ym)[:, :, None])[:, :, 0]
+            beta = np.concatenate([w, ym - (xm * w).sum(1, keepdims=True)], axis=1)
+            syy = pdf["syy"].to_numpy(float)
+            ss_res = syy - 2 * (beta * rhs).sum(1) + np.einsum("ni,nij,nj->n", beta, M, beta)
+            ss_tot = syy - n[:, 0] * ym[:, 0] ** 2
+            flat = np.abs(ss_tot) < 1e-12
+            r2 = np.where(flat, (np.abs(ss_res) < 1e-9).astype(float), 1 - ss_res / np.where(flat, 1.0, ss_tot))
+            yield pd.DataFrame({"model_key": pdf["model_key"], "intercept": beta[:, k], "coef": w.tolist(), "scale": np.nan,
+                                "n_rows": pdf["n"].astype("int64"), "r2": r2, "n_iter": 1, "objective": np.nan})
 
     return stats.mapInPandas(solve, MODEL_SCHEMA)
 
 
-def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int = 40) -> DataFrame:
+def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """M4 for groups too large for one task.
 
     Every iteration is one partial aggregation of weighted sufficient
@@ -252,7 +250,9 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
     sigma^2 = sum_in r^2 / (n - eps^2 n_out); the small parameter table is
     written to the shared folder each round (cuts lineage), and the loop
     stops once the largest relative parameter change, observed during that
-    write, is below ``huber_tol``.  Starts from least squares.
+    write, is below ``huber_tol``; not getting there in ``huber_max_iter`` rounds
+    is an error, never a result.  Starts from least squares (the objective is
+    convex, so the start does not change the model).
     """
     cols = _norm_cols(p)
     k = len(cols)
@@ -267,31 +267,29 @@ def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT, iterations: int
 
     def solve(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                M, rhs = _normal_eq(r, k)
-                sig = r["sigma"] if "sigma" in r and r["sigma"] == r["sigma"] else 1.0
-                R = np.diag([alpha] * k + [0.0]) * sig
-                beta = np.linalg.lstsq(M + R, rhs, rcond=None)[0]
-                old_sig = sig
-                if "b_in" in r:
-                    a = r["n"] - eps * eps * r["n_out"]
-                    sig = float(np.sqrt(r["b_in"] / a)) if a > 0 and r["b_in"] > 0 else \
-                        (sig * 2 if a <= 0 else SIGMA_FLOOR)
-                sig = max(sig, SIGMA_FLOOR)
-                delta = float("inf")
-                if "w_old" in r and r["w_old"] is not None:
-                    old = np.concatenate([np.asarray(r["w_old"], float), [r["b0_old"]]])
-                    delta = max(float(np.max(np.abs(beta - old))) / max(1.0, float(np.max(np.abs(old)))),
-                                abs(sig - old_sig) / max(1.0, old_sig))
-                out.append((r["model_key"], beta[:k].tolist(), float(beta[k]), sig, int(r["n"]), delta))
-            yield pd.DataFrame(out, columns=["model_key", "w", "b0", "sigma", "n", "delta"])
+            M, rhs = _normal_eqs(pdf, k)
+            sig = pdf["sigma"].to_numpy(float)
+            M[:, np.arange(k), np.arange(k)] += alpha * sig[:, None]
+            # least-squares solutions of the symmetric systems, singular ones included
+            beta = (np.linalg.pinv(M, hermitian=True) @ rhs[:, :, None])[:, :, 0]
+            new, delta = sig, np.full(len(pdf), np.inf)
+            if "b_in" in pdf:
+                a, b_in = pdf["n"].to_numpy(float) - eps * eps * pdf["n_out"].to_numpy(float), pdf["b_in"].to_numpy(float)
+                new = np.where((a > 0) & (b_in > 0), np.sqrt(np.maximum(b_in, 0) / np.where(a > 0, a, 1.0)),
+                               np.where(a <= 0, 2 * sig, SIGMA_FLOOR))
+                old = np.column_stack([np.stack(pdf["w_old"].to_numpy()), pdf["b0_old"].to_numpy(float)])
+                delta = np.maximum(np.abs(beta - old).max(1) / np.maximum(1.0, np.abs(old).max(1)),
+                                   np.abs(new - sig) / np.maximum(1.0, sig))
+            yield pd.DataFrame({"model_key": pdf["model_key"], "w": beta[:, :k].tolist(), "b0": beta[:, k],
+                                "sigma": np.maximum(new, SIGMA_FLOOR), "n": pdf["n"].astype("int64"), "delta": delta})
 
     prm_schema = "model_key string, w array<double>, b0 double, sigma double, n long, delta double"
     prm = _suff_stats(rows, cols).withColumn("sigma", F.lit(1.0)).mapInPandas(solve, prm_schema)
     prm = materialize(prm, "huber_params")
     done = 0
-    for _ in range(iterations):
+    while True:
+        if done >= p.huber_max_iter:
+            raise RuntimeError(f"a Huber model has not converged after {done} rounds")
         j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key")
         r = F.abs(F.col("y") - pred(None))
         inl = r <= F.lit(eps) * F.col("sigma")

@@ -160,28 +160,34 @@ OVERLAY_COLS = ["Month_w_Removal_count", "dist_eed", "inventoryquantity", "y_df"
                 "MAE_Dashboard", "MAE_Group_Model"]
 
 
-def overlay(base: DataFrame, upd: DataFrame, keys=PAIR, cols=OVERLAY_COLS) -> DataFrame:
+def duplicated_keys(upd: DataFrame, keys=PAIR) -> DataFrame:
+    """Keys that an update holds more than once, with their number of rows."""
+    return upd.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def overlay(base: DataFrame, upd: DataFrame, keys=PAIR, cols=OVERLAY_COLS, scope=("skclientkey",)) -> DataFrame:
     """``DataFrame.update`` -- non-null values of ``upd`` replace ``base`` by key.
 
-    The update needs unique keys on the right; when they are not unique the
-    reference logs the error and returns the base rows unchanged, which is
-    reproduced with a scalar subquery (no driver round trip).
+    The update needs unique keys on the right.  Where they are not, the
+    reference logs the error and returns the base rows unchanged; it runs client
+    by client, so only the clients (``scope``) with a duplicated key keep their
+    base rows.  ``duplicated_keys`` reports them.
     """
     # one row per key on the right (no fan-out of the base rows); with a
-    # duplicated key the values are ignored anyway
+    # duplicated key the client's values are ignored anyway
     u = upd.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                *[F.first(c).alias(f"_u_{c}") for c in cols])
-    dup = u.select(F.coalesce(F.max("_n"), F.lit(0)) > 1).scalar()
-    j = base.join(u, list(keys), "left")
+    bad = duplicated_keys(upd, keys).select(*scope).distinct().withColumn("_bad", F.lit(True))
+    j = base.join(u, list(keys), "left").join(bad, list(scope), "left")
     return j.select(*[
-        (F.when(dup, F.col(c)).otherwise(F.coalesce(F.col(f"_u_{c}"), F.col(c))).alias(c)
+        (F.when(F.col("_bad"), F.col(c)).otherwise(F.coalesce(F.col(f"_u_{c}"), F.col(c))).alias(c)
          if c in cols else F.col(c)) for c in base.columns])
 
 
 def dollar_values(res: DataFrame, cost: DataFrame) -> DataFrame:
-    """Unit cost x estimate, baseline and actual."""
-    j = res.join(cost.select("skclientkey", "medid", "unitcost").dropDuplicates(["skclientkey", "medid"]),
-                 ["skclientkey", "medid"], "left")
+    """Unit cost of the shard's client x estimate, baseline and actual."""
+    key = ["hdp_shardid", "skclientkey", "medid"]
+    j = res.join(cost.select(*key, "unitcost"), key, "left")
     c = F.coalesce(F.col("unitcost"), F.lit(0.0))
     return j.select(*PAIR, "unitcost",
                     (c * F.col("modified_y_predict_less_cons")).alias("estimate_value"),

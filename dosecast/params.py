@@ -26,7 +26,7 @@ class Params:
     min_pair_count: int = 1             # training pairs need count > this
     huber_epsilon: float = 1.01
     huber_alpha: float = 1e-4
-    huber_max_iter: int = 200
+    huber_max_iter: int = 20_000
     huber_tol: float = 1e-4
     ridge_alpha: float = 0.1
     margin_percent: float = 0.0

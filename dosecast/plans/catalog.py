@@ -1,7 +1,7 @@
 """Registry of named queries: Spark builder + output spec + oracle SQL.
 
 ``register(name, spec, sql)`` decorates a builder ``(Tables) -> DataFrame``.
-Builders only declare the plan; the caller triggers execution.
+Builders may write shared tables (the extracts, iterative rounds); the caller triggers the rest.
 """
 
 from __future__ import annotations

@@ -285,11 +285,13 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
             continue
         need.add(v)
         stack.extend(w for w in _WORD.findall(allv[v]) if w in allv and w != v)
-    ctes = [f"{v} as ({allv[v]})" for v in order if v in need]
+    # materialized: each view is planned and computed once, however many others read it
+    ctes = [f"{v} as materialized ({allv[v]})" for v in order if v in need]
     if not ctes:
         return body
     head = body.lstrip()
-    if head.lower().startswith("with recursive"):
-        # merge the body's own recursive CTE list with the view CTEs
-        return "with recursive " + ",\n".join(ctes) + ",\n" + head[len("with recursive"):]
+    # a body's own list of CTEs is appended to the views'
+    for own in ("with recursive", "with"):
+        if head.lower().startswith(own):
+            return own + " " + ",\n".join(ctes) + ",\n" + head[len(own):]
     return "with " + ",\n".join(ctes) + "\n" + body

@@ -115,17 +115,17 @@ def q_crossings(t):
 
 
 @register("segment_intersections", "tile:l id:l px:d py:d", """
-select distinct tile, id, a_x1 + t * dx1 as px, a_y1 + t * dy1 as py from (
-  select *, tn / -den as t, un / -den as u from (
-    select a.tile, a.id, a.x1 as a_x1, a.y1 as a_y1, a.x2 - a.x1 as dx1, a.y2 - a.y1 as dy1,
-           (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) as den,
-           (a.x1 - b.x1) * (b.y2 - b.y1) - (a.y1 - b.y1) * (b.x2 - b.x1) as tn,
-           (a.x1 - b.x1) * (a.y2 - a.y1) - (a.y1 - b.y1) * (a.x2 - a.x1) as un
-    from seg_a a join seg_b b on a.tile = b.tile
-     and least(a.x1, a.x2) <= greatest(b.x1, b.x2) and least(b.x1, b.x2) <= greatest(a.x1, a.x2)
-     and least(a.y1, a.y2) <= greatest(b.y1, b.y2) and least(b.y1, b.y2) <= greatest(a.y1, a.y2))
-  where abs(den) > 1e-9)
-where t >= -1e-9 and t <= 1 + 1e-9 and u >= -1e-9 and u <= 1 + 1e-9""")
+with near as (
+  select l.tile, l.id, l.x1 as px, l.y1 as py, l.x2 - l.x1 as lx, l.y2 - l.y1 as ly,
+         r.x2 - r.x1 as rx, r.y2 - r.y1 as ry, r.x1 - l.x1 as gx, r.y1 - l.y1 as gy
+  from seg_a l join seg_b r on r.tile = l.tile
+  where greatest(least(l.x1, l.x2), least(r.x1, r.x2)) <= least(greatest(l.x1, l.x2), greatest(r.x1, r.x2))
+    and greatest(least(l.y1, l.y2), least(r.y1, r.y2)) <= least(greatest(l.y1, l.y2), greatest(r.y1, r.y2))),
+turned as (select *, lx * ry - ly * rx as turn from near),
+placed as (
+  select *, (gx * ry - gy * rx) / turn as place, (gx * ly - gy * lx) / turn as other from turned where abs(turn) > 1e-9)
+select distinct tile, id, px + place * lx as px, py + place * ly as py from placed
+where place between -1e-9 and 1 + 1e-9 and other between -1e-9 and 1 + 1e-9""")
 def q_intersections(t):
     """J19 (+ U6 distinct points)."""
     return ge.segment_intersections(fx.seg_a(t), fx.seg_b(t))

@@ -200,11 +200,12 @@ OV_COLS = ["Month_w_Removal_count", "dist_eed", "inventoryquantity", "y_df", "y_
 
 @register("overlay_update", FINAL_SPEC, f"""
 select b.skclientkey, b.medid, b.device_naturalkey,
-       {', '.join(f'case when d.dup then b.{c} else coalesce(u.{c}, b.{c}) end as {c}' for c in OV_COLS)}
+       {', '.join(f'case when d.skclientkey is not null then b.{c} else coalesce(u.{c}, b.{c}) end as {c}' for c in OV_COLS)}
 from one_zero_v b
 left join group_v u using (skclientkey, medid, device_naturalkey)
-cross join (select coalesce(max(n), 0) > 1 as dup
-            from (select count(*) as n from group_v group by skclientkey, medid, device_naturalkey)) d""", RV)
+left join (select distinct skclientkey from (select skclientkey, count(*) as n from group_v
+                                             group by skclientkey, medid, device_naturalkey) where n > 1) d
+  on d.skclientkey = b.skclientkey""", RV)
 def q_overlay(t):
     """J15 / P16 on the stand-in score: the group result overlays the all-pair result."""
     return si(t).final
@@ -228,7 +229,8 @@ select r.skclientkey, r.medid, r.device_naturalkey, c.unitcost,
        coalesce(c.unitcost, 0.0) * r.modified_y_predict_less_cons as estimate_value,
        coalesce(c.unitcost, 0.0) * r.dashboard_estimate as baseline_value,
        coalesce(c.unitcost, 0.0) * r.y_df as actual_value
-from res_pair r left join latest_cost c on c.skclientkey = r.skclientkey and c.medid = r.medid""", RV)
+from res_pair r left join latest_cost c on c.skclientkey = r.skclientkey and c.medid = r.medid
+  and c.hdp_shardid = r.hdp_shardid""", RV)
 def q_dollars(t):
     """P17."""
     b = si(t)

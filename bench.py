@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from dosecast.plans import catalog  # noqa: E402
-from dosecast.session import build_session  # noqa: E402
+from dosecast.session import build_session, release  # noqa: E402
 
 HEADLINE = [
     "monthly_removals", "monthly_usage", "monthly_snapshot", "latest_cost", "panel", "eligible_panel",
@@ -36,6 +36,7 @@ def main() -> None:
         t0 = time.perf_counter()
         catalog.run(n, spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
+        release(spark)
         print(f"# {n}: {times[n]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_headline_seconds", "value": round(sum(times.values()), 3),

@@ -9,6 +9,10 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+# Paths of materialized tables by application, for ``release``.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def build_session(master: str | None = None, partitions: int | None = None,
                   app: str = "dosecast", driver_memory: str | None = None) -> SparkSession:
     """Local or cluster session with AQE on and the UI off.
@@ -95,9 +99,24 @@ def materialize(df, name: str = "table", observe=None):
     if observe is not None:          # (Observation, metric columns...) computed during the write
         df = df.observe(*observe)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written in this application; how many there were.
+
+    For the job runner, once the results that read them are written: tables
+    are kept until then, because a DataFrame may still read them.
+    """
+    jvm = spark.sparkContext._jvm
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def materialize_all(dfs: dict) -> dict:
     """Materialize independent DataFrames as concurrent Spark jobs.
 

@@ -24,13 +24,14 @@ _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Letters and digits of ASCII and Latin-1.
 _PLAIN_END = frozenset(c for c in map(chr, range(0x100)) if c.isalpha() or c.isascii() and c.isdigit())
+_SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 # Marks for ``segment``: a full stop, a comma, a line's and the text's beginning.  Texts that hold
 # them take the general rule.
 _STOP, _COMMA, _LINE, _FIRST = "\x02", "\x03", "\x04", "\x05"
 _MARKS, _BEGINS = frozenset((_STOP, _COMMA, _LINE, _FIRST)), (_LINE, _FIRST)
 _NEW_LINE, _STOP_UNIT, _COMMA_UNIT = f" {_LINE}", f" {_STOP} ", f" {_COMMA} "
 _STOP_LINE, _COMMA_LINE = f" {_STOP} {_LINE}", f" {_COMMA} {_LINE}"
-MAX_UNITS = 500_000
+MAX_UNITS = 900_000
 
 _LOADED: dict = {}
 
@@ -88,14 +89,19 @@ class UnitTokenizer:
     def after_a_space(self, words: list[str]) -> list[bytes]:
         """Values of the units ``' ' + word``.  Words of letters only are one piece each, so they are
         encoded as one text and told apart by the tokens that begin with the space."""
-        one = [w for w in words if _one_piece(w)]
         known = {}
+        # Letters, then symbols: the symbols are a piece of their own.
+        base_of = {w: w.rstrip(_SYMBOLS) for w in words if w[-1] in _SYMBOLS}
+        base_of = {w: b for w, b in base_of.items() if b and _one_piece(b)}
+        one = list(dict.fromkeys([*filter(_one_piece, words), *(b for b in base_of.values() if b not in self.known)]))
         if one:
             e = self.lib.encode_batch_fast([" " + " ".join(one)], add_special_tokens=False)[0]
             ids = np.array(e.ids, self.dtype)
             raw, width = ids.tobytes(), self.dtype.itemsize
             ends = [*(np.flatnonzero(self.spaced[ids]) * width).tolist(), len(raw)]
             known = {w: raw[x:y] for w, x, y in zip(one, ends[:-1], ends[1:], strict=True)}
+        for w, base in base_of.items():
+            known[w] = (known.get(base) or self.known[base]) + self.other(w[len(base):])
         rest = [w for w in words if w not in known]
         known.update(zip(rest, self.values([" " + w for w in rest])))
         return [known[w] for w in words]
@@ -157,17 +163,16 @@ class UnitTokenizer:
             return self.irregular(text + last)
         words = (_FIRST + text.replace(".\n", _STOP_LINE).replace(",\n", _COMMA_LINE).replace("\n", _NEW_LINE)
                  .replace(". ", _STOP_UNIT).replace(", ", _COMMA_UNIT)).split(" ")
-        try:
-            vals = list(map(self.known.__getitem__, words))
-        except KeyError:
-            new = {w for w in words if w not in self.known}
+        distinct = set(words)
+        new = distinct.difference(self.known)
+        if new:
             if "" in new or _LINE in new or _FIRST in new or any(w[-1] in SPACES for w in new):
                 return self.irregular(text + last)
             if len(self.known) + len(new) > MAX_UNITS:
-                new = set(words)
+                new = distinct
             self._learn(new - {_STOP, _COMMA})
-            vals = list(map(self.known.__getitem__, words))
-        if not self.odd.isdisjoint(words):
+        vals = list(map(self.known.__getitem__, words))
+        if not self.odd.isdisjoint(distinct):
             if any(b in (_STOP, _COMMA) and a[-1] not in _PLAIN_END for a, b in zip(words, words[1:])):
                 return self.irregular(text + last)
         if last:

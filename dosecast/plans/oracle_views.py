@@ -164,7 +164,7 @@ select d.skclientkey, d.hdp_shardid,
 from (select distinct p_brand as medid, l_suppkey as s, {B} as b
       from lineitem join part on l_partkey = p_partkey) pr
 join device d on d.dispensingdevicerootkey = pr.s
-cross join range({1995 * 12}, {1997 * 12 + 12}) as m(mi)""")
+cross join (select unnest(range(min({mi('l_shipdate')}) - 1, max({mi('l_shipdate')}) + 1)) as mi from lineitem) m""")
 
 view("snap_feat", """
 select *, case when dist_eed > 120 then 0 when dist_eed < 0 then 2 else 1 end as dist_eed_120,

@@ -13,13 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.functions.months import brand_no, datekey_of, mi_first_day, mi_last_day
+from dosecast.functions.months import brand_no, datekey_of, mi_first_day, mi_last_day, mi_of
 from dosecast.sources.tables import Tables
 
-# Fixed values of the fixture (month range of the snapshot view).
-SNAP_FIRST_MI = 1995 * 12 + 0      # 1995-01
-SNAP_LAST_MI = 1997 * 12 + 11      # 1997-12
-
 
 def facility(t: Tables) -> DataFrame:
     """Clients with their shard and IDN; ismaenabled marks active ones."""
@@ -172,8 +168,13 @@ def snap(t: Tables) -> DataFrame:
     """Month-end snapshot per (brand, device) and month, FIXTURES rules.
 
     ``mi`` is the month of the snapshot; the row describes month ``mi + 1``.
-    The month axis is a fixed 36-value sequence per pair (bounded expansion).
+    The month axis runs from the month before the first transaction to the month
+    of the last one, so every month with transactions has its row; it is bounded
+    by calendar time, whatever the number of rows.
     """
+    ship = mi_of("l_shipdate")
+    first = t.lineitem.select(F.min(ship) - 1).scalar()
+    last = t.lineitem.select(F.max(ship)).scalar()
     li = t.lineitem.select("l_partkey", "l_suppkey")
     p = t.part.select("p_partkey", "p_brand")
     pairs = (li.join(p, li.l_partkey == p.p_partkey)
@@ -181,7 +182,7 @@ def snap(t: Tables) -> DataFrame:
     d = device(t).select(F.col("dispensingdevicerootkey").alias("s"), "skclientkey", "hdp_shardid",
                          "dispensingdevicename", "devicetypekey")
     x = (pairs.join(d, "s")
-         .withColumn("mi", F.explode(F.sequence(F.lit(SNAP_FIRST_MI), F.lit(SNAP_LAST_MI)))))
+         .withColumn("mi", F.explode(F.sequence(first, last))))
     s, b, mi = F.col("s"), brand_no("medid"), F.col("mi")
     inv = (s * 7 + b * 13 + mi * 5) % 60 + F.when((s + b + mi) % 23 == 0, 2000).otherwise(0)
     maxpar = 20 + (b * 3 + s) % 30

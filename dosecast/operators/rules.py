@@ -49,7 +49,8 @@ def modified_predictions(res: DataFrame, p: Params = DEFAULT, cutoff: DataFrame
               .withColumn("modified_y_predict_less_cons", F.when(less < 0, 0.0).otherwise(less)))
     lc = F.col("modified_y_predict_less_cons")
     if cutoff is not None:
-        out = (out.join(cutoff.select(*PAIR, "max_removal", "prediction_cutoff"), PAIR)
+        key = [c for c in ("train_start", *PAIR) if c in cutoff.columns]
+        out = (out.join(cutoff.select(*key, "max_removal", "prediction_cutoff"), key)
                   .withColumn("modified_y_predict_less_cons",
                               F.when(lc > F.col("prediction_cutoff"), F.col("prediction_cutoff")).otherwise(lc)))
     else:
@@ -93,20 +94,21 @@ def error_summary(res: DataFrame, keys=("skclientkey",)) -> DataFrame:
         F.max("Predicted_to_Actual").alias("Max_Error_Percentage"))
 
 
-def group_rule(profile: DataFrame, res: DataFrame, start: int, test_month: int, p: Params = DEFAULT) -> DataFrame:
+def group_rule(profile: DataFrame, res: DataFrame, start, test_month, p: Params = DEFAULT, keys=PAIR) -> DataFrame:
     """P11 + P12 (+ J13): pooled-tier rule on the profile joined to the test result.
 
     k = 2..5: 0 when dist_eed > 90 or < 0; otherwise keep the estimate only
     if frequency < f_k and the last removal is recent; k > 5 and k = 1 keep.
+    ``start`` and ``test_month`` are months, or columns of the window where ``keys`` holds it.
     """
-    j = profile.join(res.select(*PAIR, "max_par_level", "standardstockwithindispensingdeviceflag", "usage100",
+    j = profile.join(res.select(*keys, "max_par_level", "standardstockwithindispensingdeviceflag", "usage100",
                                 "inventoryquantity", "dist_eed", "y_df", "y_predict",
                                 "modified_y_predict_less_cons", "dashboard_estimate", "MSE_Dashboard",
-                                "MSE_Estimator_Model", "MAE_Estimator_Model", "MAE_Dashboard"), PAIR)
+                                "MSE_Estimator_Model", "MAE_Estimator_Model", "MAE_Dashboard"), list(keys))
     k, d = F.col("Month_w_Removal_count"), F.col("dist_eed")
     pooled = k.between(p.pool_min, p.own_model_min)
     first = F.when(pooled & ((d > p.group_days) | (d < 0)), 0.0).otherwise(F.col("modified_y_predict_less_cons"))
-    tm = fold_month(F.lit(test_month), start)
+    tm = fold_month(F.lit(test_month) if isinstance(test_month, int) else test_month, start)
     keep = (k > p.own_model_min) | (k == 1)
     freq = dict(p.freq_limits)
     rec = dict(p.recency_months)

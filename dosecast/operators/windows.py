@@ -127,9 +127,12 @@ def apply_scaler(rows: DataFrame, sc: DataFrame, p: Params = DEFAULT) -> DataFra
     return j.withColumns(out).drop(*[c for f in p.features for c in (f"{f}_min", f"{f}_max")])
 
 
-def training_profile(train: DataFrame, start: int, single: float = 1.0) -> DataFrame:
-    """Per pair first/last removal month (folded), counts, means, frequency."""
-    g = train.groupBy(*PAIR).agg(
+def training_profile(train: DataFrame, start, single: float = 1.0, keys=PAIR) -> DataFrame:
+    """Per pair first/last removal month (folded), counts, means, frequency.
+
+    ``start`` is a month, or the column of the window's start where ``keys`` holds it.
+    """
+    g = train.groupBy(*keys).agg(
         F.max("month").alias("_last"), F.min("month").alias("_first"),
         F.count("y").alias("Month_w_Removal_count"),
         F.avg("inventoryquantity").alias("_avg_inv"),
@@ -138,7 +141,7 @@ def training_profile(train: DataFrame, start: int, single: float = 1.0) -> DataF
     last, first = fold_month("_last", start), fold_month("_first", start)
     n = F.col("Month_w_Removal_count")
     return g.select(
-        *PAIR, last.alias("Last_Removal_month"), first.alias("First_Removal_month"), n,
+        *keys, last.alias("Last_Removal_month"), first.alias("First_Removal_month"), n,
         F.col("_avg_inv").cast("long").alias("Avg_Inventory_Qty_training_peroid"),
         "Min_Removal_Qty", "Max_Removal_Qty",
         F.col("_avg_y").cast("long").alias("Avg_Removal_Qty"),

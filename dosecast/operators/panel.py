@@ -46,9 +46,8 @@ def snap_features(snap: DataFrame) -> DataFrame:
 
 def usage_features(usage: DataFrame) -> DataFrame:
     """P1 on monthly usage: usage of month m is a feature of m + 1."""
-    return usage.select(
-        "hdp_shardid", F.col("clientkey").alias("skclientkey"), "medid", "device_naturalkey",
-        F.col("devicename").alias("dispensingdevicename"),
+    return usage.withColumnsRenamed({"clientkey": "skclientkey", "devicename": "dispensingdevicename"}).select(
+        "hdp_shardid", "skclientkey", "medid", "device_naturalkey", "dispensingdevicename",
         (mi_of_yyyymm("year_month") + 1).alias("month"),
         "avgdailyusage30",
         (F.col("avgdailyusage30") * 100).cast("long").alias("usage100"))
@@ -80,6 +79,9 @@ SNAP_COLS = KEY5 + ["inventoryquantity", "standardstockwithindispensingdevicefla
                     "meditemflag", "isinactive"]
 
 
+COST_COLS = ["hdp_shardid", "skclientkey", "medid", "unitcost"]
+
+
 class Inputs:
     """The four extracts and the names of one run, built once and shared.
 
@@ -91,12 +93,35 @@ class Inputs:
     """
 
     def __init__(self, t: Tables, p: Params = DEFAULT, materialize: bool = True):
+        """From the fixture views of the driver tables."""
+        self._load({"rtx": lambda: ex.removal_tx(t),
+                    "usage": lambda: usage_features(ex.monthly_usage(t)),
+                    "snap": lambda: snap_features(fx.snap(t)),
+                    "cost": lambda: ex.latest_cost(t).select(*COST_COLS)}, p, materialize)
+
+    @classmethod
+    def from_frames(cls, tx: DataFrame, usage: DataFrame, snap: DataFrame, cost: DataFrame, p: Params = DEFAULT,
+                    materialize: bool = True, med_names: DataFrame | None = None,
+                    device_names: DataFrame | None = None) -> Inputs:
+        """From the four extracts (removal transactions, monthly usage, month-end snapshots, latest costs).
+
+        ``med_names`` and ``device_names`` (S6: one name for each med or device of a client) replace the
+        names at the latest transaction where they are given.  Rows repeated in the cost extract are read once.
+        """
+        i = cls.__new__(cls)
+        i._load({"rtx": lambda: tx,
+                 "usage": lambda: usage_features(usage),
+                 "snap": lambda: snap_features(snap),
+                 "cost": lambda: cost.select(*COST_COLS).distinct()}, p, materialize)
+        if med_names is not None:
+            i.med_names = med_names.select("skclientkey", "medid", "medfullname").distinct()
+        if device_names is not None:
+            i.device_names = device_names.select("skclientkey", "device_naturalkey", "dispensingdevicename").distinct()
+        return i
+
+    def _load(self, parts: dict, p: Params, materialize: bool) -> None:
         from dosecast.session import materialize_all
-        self.t, self.p = t, p
-        parts = {"rtx": lambda: ex.removal_tx(t),
-                 "usage": lambda: usage_features(ex.monthly_usage(t)),
-                 "snap": lambda: snap_features(fx.snap(t)),
-                 "cost": lambda: ex.latest_cost(t).select("hdp_shardid", "skclientkey", "medid", "unitcost")}
+        self.p = p
         if materialize:
             parts = materialize_all(parts)   # four independent jobs, built and run concurrently
         else:
@@ -211,3 +236,8 @@ def not_unloaded(rows: DataFrame, snap: DataFrame, start: int, months: int = 12)
     st = last_month_status(snap, start, months).where(F.col("isinactive") != 1) \
         .select(*PAIR4, F.col("isinactive").alias("last_isinactive"))
     return rows.join(st, PAIR4, "inner")
+
+
+def unloaded_pairs(snap: DataFrame, start: int, months: int = 12) -> DataFrame:
+    """The audit complement of J8, pairs fully unloaded in their last month of the window."""
+    return last_month_status(snap, start, months).where(F.col("isinactive") == 1)

@@ -16,12 +16,13 @@ def training_months(usage: DataFrame, window_months: int = 12) -> DataFrame:
     The distinct months of a client are bounded by calendar time, so the
     per-client window after ``distinct`` is small whatever the data size.
     """
-    m = usage.select("clientkey", mi_of_yyyymm("year_month").alias("mi")).distinct()
-    w = Window.partitionBy("clientkey")
+    u = usage.withColumnRenamed("clientkey", "skclientkey")
+    m = u.select("skclientkey", mi_of_yyyymm("year_month").alias("mi")).distinct()
+    w = Window.partitionBy("skclientkey")
     r = (m.withColumn("n", F.count(F.lit(1)).over(w) - (window_months + 1))
           .withColumn("rk", F.row_number().over(w.orderBy(F.col("mi").desc()))))
     return (r.where(F.col("rk") <= F.col("n"))
-             .select(F.col("clientkey").alias("skclientkey"),
+             .select("skclientkey",
                      F.col("mi").alias("test_month"),
                      (F.col("mi") - window_months).alias("train_start"),
                      yyyymm_of_mi(F.col("mi")).alias("test_yyyymm"),

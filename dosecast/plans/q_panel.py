@@ -168,3 +168,10 @@ def q_not_unloaded(t):
     """Transaction panel rows of pairs not unloaded in their last training month."""
     i = pn.Inputs(t, P)
     return pn.not_unloaded(pn.tx_panel(i), i.snap, P.train_start, P.window_months)
+
+
+@register("unloaded_pairs", "hdp_shardid:l skclientkey:l medid:s device_naturalkey:l last_month:l",
+          "select * from last_status where isinactive = 1", LMS_VIEW)
+def q_unloaded(t):
+    """Pairs fully unloaded in their last training month (the complement of J8)."""
+    return pn.unloaded_pairs(pn.snap_features(fx.snap(t)), P.train_start, P.window_months)

@@ -145,24 +145,57 @@ def blob_centres(comp: DataFrame, max_boundary: int = 12, side: int = TILE_SIDE)
     return g.where(F.col("boundary") <= max_boundary)
 
 
-def segment_groups(seg: DataFrame, eps_primary: float = 2.0, eps_secondary: float = 3.0) -> DataFrame:
+def near_links(pts: DataFrame, eps: float, part=("tile", "pgroup")) -> DataFrame:
+    """Edges that connect exactly what "a start within ``eps`` of an end" connects.
+
+    ``pts`` holds (part, x, kind, id), kind 0 a start and 1 an end.  Instead of all
+    pairs, whose number is quadratic in the density, each distinct coordinate is linked to the nearest
+    one of the other kind below and above it: between a start and an end within ``eps`` the points
+    alternate in runs of one kind, and these links join each run to the next.  A point is linked
+    to its coordinate's first id when that coordinate has such a neighbour.  The neighbours are found
+    in buckets of width ``eps`` and in the summaries (first and last of each kind) of the buckets beside.
+    """
+    part = list(part)
+    d = (pts.where(F.col("x").isNotNull()).groupBy(*part, "x", "kind").agg(F.min("id").alias("rep"))
+            .withColumn("b", F.floor(F.col("x") / eps)))
+    at = F.struct("x", "rep")
+    of = [F.when(F.col("kind") == k, at) for k in (0, 1)]
+    summ = d.groupBy(*part, "b").agg(*[f(of[k]).alias(f"{n}{k}") for k in (0, 1)
+                                       for f, n in ((F.min, "first"), (F.max, "last"))])
+    below = summ.select(*part, (F.col("b") + 1).alias("b"), F.col("last0").alias("b0"), F.col("last1").alias("b1"))
+    above = summ.select(*part, (F.col("b") - 1).alias("b"), F.col("first0").alias("a0"), F.col("first1").alias("a1"))
+    w = Window.partitionBy(*part, "b").orderBy("x", "kind")
+    past, rest = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    d = d.withColumns({f"p{k}": F.last(of[k], ignorenulls=True).over(past) for k in (0, 1)}
+                      | {f"n{k}": F.first(of[k], ignorenulls=True).over(rest) for k in (0, 1)})
+    d = d.join(below, [*part, "b"], "left").join(above, [*part, "b"], "left")
+    other = lambda n, far: F.when(F.col("kind") == 0, F.coalesce(f"{n}1", f"{far}1")) \
+        .otherwise(F.coalesce(f"{n}0", f"{far}0"))
+    near = (d.select(*part, "x", "kind", "rep", F.explode(F.array(other("p", "b"), other("n", "a"))).alias("o"))
+             .where(F.col("o").isNotNull() & (F.abs(F.col("o.x") - F.col("x")) <= eps)))
+    own = near.select(*part, "x", "kind", "rep").distinct()
+    copies = pts.join(own, [*part, "x", "kind"]).select(*part, F.col("id").alias("src"), F.col("rep").alias("dst"))
+    links = near.select(*part, F.col("rep").alias("src"), F.col("o.rep").alias("dst"))
+    return links.unionByName(copies).where(F.col("src") != F.col("dst"))
+
+
+def segment_groups(seg: DataFrame, eps_primary: float = 2.0, eps_secondary: float = 3.0, axis: str = "y") -> DataFrame:
     """V6: inside each primary island (W2), segments are linked when one's
     start is within ``eps_secondary`` of another's end; groups are graph components.
 
-    The band condition |a.x1 - b.x2| <= eps is an equi-join on buckets of width eps
-    (a probes its own and the two neighbouring buckets), then an exact re-check.
+    ``axis`` is the primary one; starts and ends are taken on the other.
     """
     from dosecast.operators.geometry import gap_islands, primary_secondary
-    x = materialize(gap_islands(primary_secondary(seg, "y"), "pc", eps_primary), "seg_islands")
-    a = x.select("tile", "pgroup", F.col("id").alias("src"), F.col("x1").alias("ax1")) \
-         .withColumn("b", F.explode(F.array(*[F.floor(F.col("ax1") / eps_secondary) + i for i in (-1, 0, 1)])))
-    b = x.select("tile", "pgroup", F.col("id").alias("dst"), F.col("x2").alias("bx2")) \
-         .withColumn("b", F.floor(F.col("bx2") / eps_secondary))
-    e = (a.join(b, ["tile", "pgroup", "b"])
-          .where((F.col("src") != F.col("dst")) & (F.abs(F.col("ax1") - F.col("bx2")) <= eps_secondary))
-          .select(F.concat_ws(":", "tile", "pgroup").alias("tile"), "src", "dst"))
-    nodes = x.select(F.concat_ws(":", "tile", "pgroup").alias("tile"), F.col("id").alias("node"))
+    x = materialize(gap_islands(primary_secondary(seg, axis), "pc", eps_primary), "seg_islands")
+    first, last = ("x1", "x2") if axis == "y" else ("y1", "y2")
+    key = F.concat_ws(":", "tile", "pgroup")
+    pts = x.select("tile", "pgroup", "id", F.explode(F.array(
+        F.struct(F.col(first).cast("double").alias("x"), F.lit(0).alias("kind")),
+        F.struct(F.col(last).cast("double").alias("x"), F.lit(1).alias("kind")))).alias("p")) \
+        .select("tile", "pgroup", "id", "p.x", "p.kind")
+    e = near_links(pts, eps_secondary).select(key.alias("tile"), "src", "dst")
+    nodes = x.select(key.alias("tile"), F.col("id").alias("node"))
     lab = connected_components(nodes, e)
-    return (x.select("tile", "pgroup", "id", F.concat_ws(":", "tile", "pgroup").alias("tp"))
+    return (x.select("tile", "pgroup", "id", key.alias("tp"))
              .join(lab.withColumnRenamed("tile", "tp").withColumnRenamed("node", "id"), ["tp", "id"])
              .select("tile", "pgroup", "id", F.col("label").alias("comp")))

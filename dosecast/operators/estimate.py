@@ -1,7 +1,7 @@
-"""One back-test run: panel -> pairs -> models -> test month -> rules.
+"""One back-test run of one window: panel -> pairs -> models -> test month -> rules.
 
-Everything is lazily composed DataFrames; a run for all clients and (with
-``all_window_pairs``) all windows is one set of jobs, not a loop over pairs.
+All clients are one set of jobs, not a loop over pairs; ``backtest`` does the
+same for all windows at once.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dosecast.operators import rules as ru
 from dosecast.operators import windows as wn
 from dosecast.operators.extract import PAIR
 from dosecast.params import DEFAULT, Params
+from dosecast.session import materialize
 from dosecast.sources import fixtures as fx
 from dosecast.sources.tables import Tables
 from dosecast.functions.months import brand_no
@@ -39,7 +40,6 @@ class BackTest:
     def eligible(self) -> DataFrame:
         # consumed by pairs, training rows, test rows, profiles and the
         # all-pair rule: computed once, read by every branch
-        from dosecast.session import materialize
         return materialize(pn.eligible(self.panel, self.p), "eligible")
 
     @cached_property
@@ -70,7 +70,8 @@ class BackTest:
 
     @cached_property
     def models(self) -> DataFrame:
-        return md.fit_models(self.train_scaled, self.p, self.model)
+        # one row for each model: fitted once, read by every branch that scores
+        return materialize(md.fit_models(self.train_scaled, self.p, self.model), "models")
 
     @cached_property
     def test(self) -> DataFrame:
@@ -84,7 +85,7 @@ class BackTest:
         if self.predictions == "stand_in":
             return x.withColumn("y_predict", fx.stand_in_prediction(F.col("device_naturalkey"),
                                                                     brand_no("medid"), F.col("month")))
-        return md.score(x, self.models, self.p)
+        return materialize(md.score(x, self.models, self.p), "scored")
 
     @cached_property
     def cutoff(self) -> DataFrame:

@@ -18,6 +18,8 @@ from dosecast.sources.tables import Tables
 PAIR = ["skclientkey", "medid", "device_naturalkey"]
 PAIR4 = ["hdp_shardid", "skclientkey", "medid", "device_naturalkey"]
 
+ITEM = ["itemrootkey", "skclientkey", "hdp_shardid"]   # clients share item keys
+
 REMOVAL_TYPES = (13, 502)   # outdate, destock
 
 
@@ -44,10 +46,10 @@ def removal_tx(t: Tables, clients=None, ts_from=None, ts_to=None) -> DataFrame:
     """F1 + F2 + J1 + F6: removal transactions of current drug items on current devices."""
     x = removal_filter(fx.tx(t), clients, ts_from, ts_to)
     it = (fx.current(fx.item(t)).where(F.col("meditemflag") == 1)
-          .select("itemrootkey", F.col("itemid").alias("medid")))
+          .select(*ITEM, F.col("itemid").alias("medid")))
     dv = (fx.current(fx.device(t))
           .select(F.col("dispensingdevicerootkey"), "skclientkey", "hdp_shardid", "dispensingdevicename"))
-    j = (x.join(it, "itemrootkey")
+    j = (x.join(it, ITEM)
           .join(dv, ["dispensingdevicerootkey", "skclientkey", "hdp_shardid"]))
     return j.select(
         "itemtransactionkey", "skclientkey", "hdp_shardid", "itemrootkey", "medid",
@@ -125,11 +127,11 @@ def monthly_snapshot(t: Tables, day_from: int | None = None, day_to: int | None
     if day_to is not None:
         a = a.where(F.col("sktimekeyeffmonth") < day_to)
     iaf = fx.active_facilities(t).select("skclientkey")
-    it = fx.current(fx.item(t)).select("itemrootkey", F.col("itemid").alias("medid"), "meditemflag")
+    it = fx.current(fx.item(t)).select(*ITEM, F.col("itemid").alias("medid"), "meditemflag")
     dv = fx.current(fx.device(t)).select("dispensingdevicerootkey", "skclientkey", "hdp_shardid",
                                          "dispensingdevicename", "devicetypekey")
-    j = (a.join(F.broadcast(iaf), "skclientkey")
-          .join(it, "itemrootkey")
+    j = (a.join(iaf, "skclientkey")
+          .join(it, ITEM)
           .join(dv, ["dispensingdevicerootkey", "skclientkey", "hdp_shardid"], "left"))
     return (j.groupBy("skclientkey", "hdp_shardid", F.col("sktimekeyeffmonth").alias("lastday_of_month"),
                       "medid", "meditemflag", "dispensingdevicename", "devicetypekey",
@@ -163,7 +165,7 @@ def latest_cost(t: Tables, source_system: int = 2) -> DataFrame:
               .orderBy(F.col("lastmodifieddatetime").desc(), F.col("medkey").desc())
     r = c.withColumn("med_rank", F.row_number().over(w)).where(F.col("med_rank") <= 1)
     iaf = fx.active_facilities(t).select(F.col("skclientkey").alias("clientkey"))
-    return (r.join(F.broadcast(iaf), "clientkey")
+    return (r.join(iaf, "clientkey")
              .where(F.col("sourcesystemkey") == source_system)
              .select(F.col("clientkey").alias("skclientkey"), "medid", "lastmodifieddatetime",
                      "unitcost", "hdp_shardid", "sourcesystemkey"))

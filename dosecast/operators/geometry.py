@@ -36,33 +36,32 @@ ISLAND_BUCKET = 64.0     # width of the coordinate buckets of the island sweep
 
 def sweep_islands(df: DataFrame, lo: str, hi, part, out: str, bucket: float = ISLAND_BUCKET) -> DataFrame:
     """Islands of a sorted sweep: a row opens a new island when ``lo`` exceeds the
-    largest ``hi`` of all earlier rows (order ``lo, hi, id``); ids are 1, 2, ... per part.
-
-    Exact and skew-proof: rows are split into coordinate buckets of width
-    ``bucket``; each bucket learns the largest ``hi`` of all earlier buckets
-    from a per-bucket summary (one row per bucket), runs its own window, and
-    its island numbers are offset by the start counts of earlier buckets.  No
-    task ever holds more than one bucket of one part.
+    largest ``hi`` of all rows with a smaller ``lo``; ids are 1, 2, ... per part.
+
+    Rows with the same ``lo`` share an island, so the sweep runs over the distinct
+    coordinates with their largest ``hi`` (a partial aggregation): a coordinate that
+    holds a third of all rows is one row there, and the join back is an equi-join whose
+    skewed side AQE splits.  The coordinates are dealt into buckets of width ``bucket``;
+    each bucket takes over the largest ``hi`` and the number of islands of the earlier
+    ones from a summary with one row for each bucket.
     """
     part = list(part)
     hi_c = F.col(hi) if isinstance(hi, str) else hi
-    x = df.withColumns({"_lo": F.col(lo), "_hi": hi_c, "_b": F.floor(F.col(lo) / bucket)})
+    x = df.withColumns({"_lo": F.col(lo), "_hi": hi_c})
+    d = x.groupBy(*part, "_lo").agg(F.max("_hi").alias("_hi")).withColumn("_b", F.floor(F.col("_lo") / bucket))
     wb = Window.partitionBy(*part).orderBy("_b")
-    summ = (x.groupBy(*part, "_b").agg(F.max("_hi").alias("_bmax"))
-             .withColumn("_carry", F.max("_bmax").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-             .drop("_bmax"))
-    x = x.join(summ, [*part, "_b"])
-    wr = Window.partitionBy(*part, "_b").orderBy("_lo", "_hi", "id")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    carry = (d.groupBy(*part, "_b").agg(F.max("_hi").alias("_m"))
+              .select(*part, "_b", F.max("_m").over(before).alias("_carry")))
+    wr = Window.partitionBy(*part, "_b").orderBy("_lo")
     prev = F.greatest(F.max("_hi").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
-    x = x.withColumn("_s", F.when(prev.isNull() | (F.col("_lo") > prev), 1).otherwise(0)) \
-         .withColumn("_local", F.sum("_s").over(wr.rowsBetween(Window.unboundedPreceding, 0)))
-    offs = (x.groupBy(*part, "_b").agg(F.sum("_s").alias("_n"))
-             .withColumn("_off", F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                            F.lit(0)))
-             .drop("_n"))
-    return (x.join(offs, [*part, "_b"])
-             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-             .drop("_lo", "_hi", "_b", "_carry", "_s", "_local", "_off"))
+    d = (d.join(carry, [*part, "_b"])
+          .withColumn("_s", F.when(prev.isNull() | (F.col("_lo") > prev), 1).otherwise(0))
+          .withColumn("_local", F.sum("_s").over(wr.rowsBetween(Window.unboundedPreceding, 0))))
+    offs = (d.groupBy(*part, "_b").agg(F.sum("_s").alias("_n"))
+             .select(*part, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    ids = d.join(offs, [*part, "_b"]).select(*part, "_lo", (F.col("_off") + F.col("_local")).cast("long").alias(out))
+    return x.join(ids, [*part, "_lo"]).select(*df.columns, out)
 
 
 def gap_islands(df: DataFrame, coord: str, eps: float = EPS_PRIMARY, part=("tile",), out: str = "pgroup") -> DataFrame:

@@ -179,10 +179,11 @@ def fit_huber(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
                              "coef": [coef.tolist()], "scale": [sigma], "n_rows": [len(y)],
                              "r2": [r2_score(y, X @ coef + b0)], "n_iter": [it], "objective": [obj]})
 
-    # Fits are CPU-bound and the grouped input is tiny: pin the partition
-    # count to the cluster's parallelism so AQE does not coalesce every
-    # group into one task.
-    par = rows.sparkSession.sparkContext.defaultParallelism
+    # Fits are CPU-bound and the grouped input is small for its work: a set number
+    # of partitions, so that AQE does not coalesce every group into one task; the
+    # session's shuffle partitions where these are more.
+    spark = rows.sparkSession
+    par = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     fitted = small.repartition(par, "model_key").groupBy("model_key").applyInPandas(fit, MODEL_SCHEMA)
     if not has_big:
         return fitted

@@ -43,11 +43,16 @@ from nation join region on n_regionkey = r_regionkey""")
 view("active_facilities", "select * from facility where ismaenabled = 1")
 
 view("item", f"""
-select p_partkey as itemrootkey, p_brand as itemid, case when {B} % 10 <> 0 then 1 else 0 end as meditemflag,
-       cast(null as timestamp) as endlocaldatetime from part
+with owned as (
+  select distinct l_partkey as itemrootkey, cast(s_nationkey as bigint) as skclientkey,
+         cast(n_regionkey as bigint) as hdp_shardid, p_brand, {B} as b
+  from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+  join part on l_partkey = p_partkey)
+select itemrootkey, skclientkey, hdp_shardid, p_brand as itemid, case when b % 10 <> 0 then 1 else 0 end as meditemflag,
+       cast(null as timestamp) as endlocaldatetime from owned
 union all
-select p_partkey, 'old', case when {B} % 10 <> 0 then 1 else 0 end, timestamp '1996-01-01 00:00:00'
-from part where p_partkey % 3 = 0""")
+select itemrootkey, skclientkey, hdp_shardid, 'old', case when b % 10 <> 0 then 1 else 0 end,
+       timestamp '1996-01-01 00:00:00' from owned where itemrootkey % 3 = 0""")
 
 view("device", """
 select s_suppkey as dispensingdevicerootkey, s_name as dispensingdevicename,
@@ -77,7 +82,8 @@ select x.itemtransactionkey, x.skclientkey, x.hdp_shardid, x.itemrootkey, i.item
        x.cancelflag, x.startstoragespaceinventoryquantity, x.endstoragespaceinventoryquantity,
        x.legacytransactiontypekey, x.transactionquantity, x.actualbegincount
 from tx x
-join item i on i.itemrootkey = x.itemrootkey and i.endlocaldatetime is null and i.meditemflag = 1
+join item i on i.itemrootkey = x.itemrootkey and i.skclientkey = x.skclientkey and i.hdp_shardid = x.hdp_shardid
+     and i.endlocaldatetime is null and i.meditemflag = 1
 join device d on d.dispensingdevicerootkey = x.dispensingdevicerootkey and d.skclientkey = x.skclientkey
      and d.hdp_shardid = x.hdp_shardid and d.endlocaldatetime is null
 where x.legacytransactiontypekey in (13, 502) and x.transactionquantity > 0

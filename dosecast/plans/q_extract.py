@@ -92,11 +92,11 @@ def q_active(t):
     return fx.active_facilities(t)
 
 
-@register("scd2_current", "itemrootkey:l itemid:s meditemflag:l",
-          "select itemrootkey, itemid, meditemflag from item where endlocaldatetime is null")
+@register("scd2_current", "itemrootkey:l skclientkey:l hdp_shardid:l itemid:s meditemflag:l",
+          "select * from item where endlocaldatetime is null")
 def q_scd2(t):
     """current version of the SCD2 item dimension."""
-    return fx.current(fx.item(t)).select("itemrootkey", "itemid", "meditemflag")
+    return fx.current(fx.item(t))
 
 
 UE_SPEC = US_SPEC + """ medid:s iscontrolledmed:l isactive:l ismedexcluded:l isshortageexcluded:l
@@ -138,7 +138,7 @@ standardstockwithindispensingdeviceflag:l max_par_level:d min_par_level:d"""
 
 
 @register("monthly_snapshot", MS_SPEC, """
-with live_item as (select itemrootkey, itemid, meditemflag from item where endlocaldatetime is null),
+with live_item as (select * exclude (endlocaldatetime) from item where endlocaldatetime is null),
 live_device as (
   select dispensingdevicerootkey, skclientkey, hdp_shardid, dispensingdevicename, devicetypekey
   from device where endlocaldatetime is null),
@@ -148,7 +148,7 @@ pocket as (
     and skclientkey in (select skclientkey from active_facilities)),
 named as (
   select pocket.*, itemid, meditemflag, dispensingdevicename, devicetypekey
-  from pocket join live_item using (itemrootkey)
+  from pocket join live_item using (itemrootkey, skclientkey, hdp_shardid)
   left join live_device using (dispensingdevicerootkey, skclientkey, hdp_shardid))
 select skclientkey, hdp_shardid, sktimekeyeffmonth as lastday_of_month, itemid as medid, meditemflag, dispensingdevicename,
        devicetypekey, dispensingdevicerootkey as device_naturalkey,

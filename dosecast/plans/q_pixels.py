@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from dosecast.operators import components as cc
 from dosecast.operators import geometry as ge
 from dosecast.plans.catalog import register
@@ -117,8 +119,26 @@ from (select *, case when lag(pc) over (partition by tile order by pc, id) is nu
 def q_segment_groups(t):
     """V6: primary islands, then end-to-start components."""
     h = fx.hseg(t)
-    from pyspark.sql import functions as F
     return cc.segment_groups(h.withColumns({"y1": F.col("y"), "y2": F.col("y")}))
 
 
+@register("segment_groups_x", "tile:l pgroup:l id:l comp:l", """
+with recursive near as (
+  select tile, pgroup, a.id as one, b.id as two from xg_v a join xg_v b using (tile, pgroup)
+  where a.id <> b.id and least(abs(a.y1 - b.y2), abs(b.y1 - a.y2)) <= 3),
+seen(tile, pgroup, id, root) as (
+  select tile, pgroup, id, id from xg_v
+  union
+  select s.tile, s.pgroup, n.two, s.root from seen s join near n on n.tile = s.tile and n.pgroup = s.pgroup and n.one = s.id)
+select tile, pgroup, id, min(root) as comp from seen group by tile, pgroup, id""",
+          {"xg_v": """
+select tile, id, y1, y2, sum(opens) over (partition by tile order by x, id rows unbounded preceding) as pgroup
+from (select *, case when x - lag(x) over (partition by tile order by x, id) <= 2.0 then 0 else 1 end as opens
+      from vseg)"""})
+def q_segment_groups_x(t):
+    """V6 on the x axis: vertical segments, starts and ends on y."""
+    v = fx.vseg(t)
+    return cc.segment_groups(v.withColumns({"x1": F.col("x"), "x2": F.col("x")}), axis="x")
+
+
 del ge

@@ -33,18 +33,21 @@ def active_facilities(t: Tables) -> DataFrame:
 
 
 def item(t: Tables) -> DataFrame:
-    """SCD2 item dimension: one current version per part plus closed ones."""
-    p = t.part
-    b = brand_no("p_brand")
-    cur = p.select(F.col("p_partkey").alias("itemrootkey"),
-                   F.col("p_brand").alias("itemid"),
-                   F.when(b % 10 != 0, 1).otherwise(0).alias("meditemflag"),
-                   F.lit(None).cast("timestamp_ntz").alias("endlocaldatetime"))
-    old = (p.where(F.col("p_partkey") % 3 == 0)
-           .select(F.col("p_partkey").alias("itemrootkey"),
-                   F.lit("old").alias("itemid"),
-                   F.when(b % 10 != 0, 1).otherwise(0).alias("meditemflag"),
-                   F.lit("1996-01-01 00:00:00").cast("timestamp_ntz").alias("endlocaldatetime")))
+    """SCD2 item dimension: an item key belongs to a client of a shard, and other clients use the same
+    keys; one current version of each (part, client, shard) with transactions, plus closed ones."""
+    s, n = t.supplier.select("s_suppkey", "s_nationkey"), t.nation.select("n_nationkey", "n_regionkey")
+    sn = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    li = t.lineitem.select("l_partkey", "l_suppkey")
+    owner = (li.join(sn, li.l_suppkey == sn.s_suppkey)
+             .select("l_partkey", F.col("s_nationkey").cast("long").alias("skclientkey"),
+                     F.col("n_regionkey").cast("long").alias("hdp_shardid")).distinct())
+    p = t.part.select("p_partkey", "p_brand")
+    cur = owner.join(p, owner.l_partkey == p.p_partkey).select(
+        F.col("p_partkey").alias("itemrootkey"), "skclientkey", "hdp_shardid", F.col("p_brand").alias("itemid"),
+        F.when(brand_no("p_brand") % 10 != 0, 1).otherwise(0).alias("meditemflag"),
+        F.lit(None).cast("timestamp_ntz").alias("endlocaldatetime"))
+    old = cur.where(F.col("itemrootkey") % 3 == 0).withColumns({
+        "itemid": F.lit("old"), "endlocaldatetime": F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")})
     return cur.unionByName(old)
 
 

@@ -25,10 +25,11 @@ Both sides of every join grow with the input, so none is a broadcast.
 
 DataFrame functions only.  Defined cases: a null or empty text and blank lines
 have no words and are never removed nor counted; a null id orders before all
-others; rows that share an id count as one document, whose lines are told
-apart by number; an empty table gives an empty result; columns beyond
-``doc_id`` and ``text`` are not read (``kept_lines``) or are passed through
-(``remove_lines``).
+others; rows are told apart by two 64-bit hashes of id and text, which also
+order lines of one id and number; of rows that agree in both, one keeps its
+lines (which one is not defined); an empty table gives an empty result; columns
+beyond ``doc_id`` and ``text`` are not read (``kept_lines``) or are passed
+through (``remove_lines``).
 """
 
 from __future__ import annotations
@@ -40,20 +41,21 @@ from dosecast.llm.common import need, sealed, unsealed, word_list
 from dosecast.session import materialize
 
 MIN_WORDS = 4
-_NULL_ID = -(1 << 63) - 1
-_LINES = 1 << 31            # line numbers are below this
+ROW = ("row1", "row2")      # a row, by id and text
+PLACE = (*ROW, "pos")       # a line of it
 
 
-def order_of(doc_id: Column, pos: Column) -> Column:
-    """(doc_id, line number) as one number."""
-    return (F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(str(_NULL_ID)).cast("decimal(20,0)"))
-            * F.lit(_LINES).cast("decimal(11,0)") + pos.cast("decimal(11,0)")).cast("decimal(38,0)")
+def row_key() -> list[Column]:
+    """``ROW`` of doc_id and text."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64("doc_id", text).alias(ROW[0]), F.xxhash64(F.lit(1), "doc_id", text).alias(ROW[1])]
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, line."""
-    return need(docs, "doc_id", "text").select(
-        "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
+    """doc_id, row1, row2, pos, line."""
+    # The hashes are taken below the explode, once a row.
+    d = need(docs, "doc_id", "text").select("doc_id", *row_key(), F.split(F.coalesce("text", F.lit("")), "\n").alias("parts"))
+    return d.select("doc_id", *ROW, F.posexplode("parts").alias("pos", "line"))
 
 
 def _halves(words: Column, n: Column) -> Column:
@@ -65,24 +67,21 @@ def _halves(words: Column, n: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """h1, h2, ord (of the first occurrence), doc_id, pos, halves (none for short lines) of the lines with a word."""
+    """doc_id, pos, row1, row2 (of the first occurrence), halves (none for short lines) of the lines with a word."""
     x = lines(docs).withColumn("words", word_list(F.col("line"))).withColumn("n", F.size("words")).where(F.col("n") > 0)
-    x = x.select("doc_id", order_of(F.col("doc_id"), F.col("pos")).alias("ord"),
+    x = x.select(F.struct("doc_id", "pos", *ROW).alias("first"),
                  F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
                  F.when(F.col("n") >= min_words, _halves(F.col("words"), F.col("n"))).alias("halves"))
-    g = x.groupBy("h1", "h2").agg(
-        F.min("ord").alias("ord"), F.min("doc_id").alias("id"), F.max(F.col("doc_id").isNull()).alias("no_id"),
-        F.any_value("halves").alias("halves"))
-    g = g.withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
-    pos = F.col("ord") - order_of(F.col("doc_id"), F.lit(0))
-    return g.select("h1", "h2", "ord", "doc_id", pos.cast("int").alias("pos"), "halves")
+    g = x.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.any_value("halves").alias("halves"))
+    return g.select("first.*", "halves")
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
-    """Lines that share a half with another one: ord."""
-    keys = distinct.where(F.col("halves").isNotNull()).select("ord", F.explode("halves").alias("key"))
+    """Lines that share a half with another one: row1, row2, pos, ord (number in the order of lines, with gaps)."""
+    keys = distinct.where(F.col("halves").isNotNull()).select("doc_id", *PLACE, F.explode("halves").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select("key")
-    return keys.join(shared.hint("merge"), "key", "left_semi").select("ord").distinct()
+    found = keys.join(shared.hint("merge"), "key", "left_semi").select("doc_id", *PLACE).distinct()
+    return found.orderBy("doc_id", "pos", *ROW).select(*PLACE, F.monotonically_increasing_id().alias("ord"))
 
 
 def variants(cand: DataFrame) -> DataFrame:
@@ -126,32 +125,38 @@ def within_one(a: Column, b: Column) -> Column:
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """ord of the distinct lines that have a near earlier line."""
+    """row1, row2, pos of the distinct lines that have a near earlier line."""
     want = materialize(candidates(distinct), "line_candidates")
-    text = lines(docs).select(order_of(F.col("doc_id"), F.col("pos")).alias("ord"), "line")
-    cand = text.join(want.hint("merge"), "ord", "left_semi").select("ord", word_list(F.col("line")).alias("words"))
+    # Rows that agree in id and text give a line once.
+    text = lines(docs).select(*PLACE, "line").join(want.hint("merge"), list(PLACE)).dropDuplicates(list(PLACE))
+    cand = text.select(*PLACE, "ord", word_list(F.col("line")).alias("words"))
     cand = materialize(cand.withColumn("n", F.size("words")), "line_words")
     pairs = earlier_pairs(materialize(variants(cand), "line_variants"))
-    a = cand.select("ord", F.col("words").alias("a"))
+    a = cand.select("ord", *PLACE, F.col("words").alias("a"))
     b = cand.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
     return (pairs.join(a.hint("merge"), "ord").join(b.hint("merge"), "earlier")
-            .where(within_one(F.col("a"), F.col("b"))).select("ord").distinct())
+            .where(within_one(F.col("a"), F.col("b"))).select(*PLACE).distinct())
 
 
 def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, kept (numbers of the lines that stay, ascending); documents of which no line stays are missing."""
+    """row1, row2, kept (numbers of the lines that stay, ascending); rows of which no line stays are missing."""
     distinct = materialize(distinct_lines(docs, min_words), "line_distinct")
-    kept = distinct.join(near_lines(docs, distinct).hint("merge"), "ord", "left_anti")
-    return kept.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("kept"))
+    kept = distinct.join(near_lines(docs, distinct).hint("merge"), list(PLACE), "left_anti")
+    return kept.groupBy(*ROW).agg(F.sort_array(F.collect_list("pos")).alias("kept"))
+
+
+def _with_kept(d: DataFrame, kept: DataFrame) -> DataFrame:
+    """``d`` (with row1, row2) and kept; of rows that agree in id and text, one has lines that stay."""
+    copy = F.row_number().over(Window.partitionBy(*ROW).orderBy(F.lit(0)))
+    return d.join(kept.hint("merge"), list(ROW), "left").withColumn("kept", F.when(copy == 1, F.col("kept")))
 
 
 def remove_lines(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """``docs`` without the lines that have words and are not in ``kept``; blank lines stay."""
     own = ("doc_id", "text")
-    k = kept.select(F.col("doc_id").alias("id_"), F.col("kept").alias("kept_"))
     stays = lambda line, i: ((F.size(word_list(line)) == 0)
-                             | F.array_contains(F.coalesce("kept_", F.array().cast("array<int>")), i))
-    d = sealed(docs, *own).join(k, F.col("doc_id").eqNullSafe(F.col("id_")), "left")
+                             | F.array_contains(F.coalesce("kept", F.array().cast("array<int>")), i))
+    d = _with_kept(sealed(docs, *own).select("*", *row_key()), kept)
     return unsealed(d.withColumn("text", F.array_join(F.filter(F.split("text", "\n"), stays), "\n")), docs, *own)
 
 
@@ -159,7 +164,6 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (with a word), n_kept, kept_lines (numbers, comma-joined)."""
     d = need(docs, "doc_id", "text")
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
-    k = kept_lines(d).select(F.col("doc_id").alias("_id"), "kept").hint("merge")
-    return (d.select("doc_id", n.alias("n_lines")).join(k, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-            .select("doc_id", "n_lines", F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
-                    F.coalesce(F.concat_ws(",", F.col("kept").cast("array<string>")), F.lit("")).alias("kept_lines")))
+    return _with_kept(d.select("doc_id", n.alias("n_lines"), *row_key()), kept_lines(d)).select(
+        "doc_id", "n_lines", F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
+        F.coalesce(F.concat_ws(",", F.col("kept").cast("array<string>")), F.lit("")).alias("kept_lines"))

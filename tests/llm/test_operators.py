@@ -101,6 +101,32 @@ def test_line_dedup_text_and_empty(plain, docs, none):
     assert line_dedup.digest(none).count() == 0
 
 
+def test_line_dedup_with_repeated_and_null_ids(spark, docs):
+    """All pairs again, with rows that share an id or have none: each distinct line once, whichever row it is in."""
+    extra = [(None, "no id here\nlazy dogs lie in the warm sun\nshort"), (None, "no id here\nlazy dogs lie in the cold sun\nlong"),
+             (7, "a line of its own words\nand some other line entirely"), (7, "a line of its own words\nand yet another thing to say"),
+             (-9, "copies of a line of words\ncopies of a line of verbs"), (-9, "copies of a line of words\ncopies of a line of verbs"),
+             (900, "copies of one line of words"), (901, "words that no row had before\nand some other line here entirely")]
+    rows_ = spark.createDataFrame(extra, "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    hashed = rows_.select("doc_id", "text", *line_dedup.row_key()).collect()
+    order = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, pos, r["row1"], r["row2"]), line, r["doc_id"], r["text"])
+                   for r in hashed for pos, line in enumerate((r["text"] or "").split("\n")) if WORDS.search(line))
+    seen, want = [], collections.Counter()
+    for (_, _, pos, _, _), line, doc, text in order:
+        w = WORDS.findall(line)
+        if not any(line == a or near(b, w) for a, b in seen):
+            want[doc, text, pos] += 1
+        seen.append((line, w))
+    out = line_dedup.remove_lines(rows_, line_dedup.kept_lines(rows_)).collect()
+    left = collections.Counter(x for r in out for x in (r["text"] or "").split("\n") if WORDS.search(x))
+    assert left == collections.Counter(text.split("\n")[pos] for _, text, pos in want)
+    got = collections.Counter((r["doc_id"], r["n_lines"], r["kept_lines"]) for r in line_dedup.digest(rows_).collect() if r["n_kept"])
+    kept = collections.defaultdict(list)
+    for doc, text, pos in want:
+        kept[doc, text].append(pos)
+    assert got == collections.Counter((d, sum(1 for x in t.split("\n") if WORDS.search(x)), ",".join(map(str, sorted(p)))) for (d, t), p in kept.items())
+
+
 # -- 2 ---------------------------------------------------------------------------------------------------
 
 def test_every_prefix_count(lib):

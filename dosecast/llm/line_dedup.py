@@ -37,18 +37,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need, sealed, unsealed, word_list
+from dosecast.llm.common import ROW, need, row_key, sealed, unsealed, word_list
 from dosecast.session import materialize
 
 MIN_WORDS = 4
-ROW = ("row1", "row2")      # a row, by id and text
-PLACE = (*ROW, "pos")       # a line of it
-
-
-def row_key() -> list[Column]:
-    """``ROW`` of doc_id and text."""
-    text = F.coalesce("text", F.lit(""))
-    return [F.xxhash64("doc_id", text).alias(ROW[0]), F.xxhash64(F.lit(1), "doc_id", text).alias(ROW[1])]
+PLACE = (*ROW, "pos")       # a line of a row
 
 
 def lines(docs: DataFrame) -> DataFrame:

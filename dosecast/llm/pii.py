@@ -10,12 +10,18 @@ documents, n_e that hold e, n_t that hold t, and n_te that hold t within
 
 the share of e's information that seeing t gives (1: t occurs with e only).
 Pairs met in at least ``SUPPORT`` documents whose disclosure reaches
-``THRESHOLD`` are disclosing; the term's occurrences near the entity become
-spans of kind ``term``.  Sanitising replaces base spans by their kind,
-generalises terms that are numbers to ``#`` signs and removes other terms.
+``THRESHOLD`` are disclosing.  The window serves to find pairs only: every
+occurrence of a disclosing term outside base spans, in whichever document and
+with or without the entity, becomes a span of kind ``term``.  Sanitising
+replaces base spans by their kind, generalises terms that are numbers to ``#``
+signs and removes other terms.
 
 One pass over the texts writes base spans, context terms and term counts
-together; the rest are aggregations and equi-joins of 64-bit hashes.
+together; aggregations and equi-joins of 64-bit hashes give the disclosing
+terms.  A second pass finds their occurrences: a bit table of fixed size
+(``BITS`` places by term hash) lets every disclosing term pass and holds most
+others back, and an equi-join with the terms leaves the true ones, so the
+table's size bears on time only.
 
 Defined cases: a null text is an empty one; rows are searched one by one, so
 repeated rows and ids give a row each and each counts as a document; an empty
@@ -26,15 +32,17 @@ read (``personal_data``) or are passed through (``sanitise``).
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need, sealed, unsealed
+from dosecast.llm.common import ROW, need, row_key, sealed, unsealed
 from dosecast.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,6 +50,7 @@ REACH = 8
 SUPPORT = 2
 THRESHOLD = 0.9
 MIN_TERM = 3
+BITS = 1 << 26
 _FLUSH = 300_000
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,13 +65,15 @@ _OUTSIDE = {*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)}
 _TO_SPACE = bytes(0x20 if b in _OUTSIDE else b for b in range(256))
 _UPPER = {c: c + 32 for c in range(0x41, 0x5B)}
 
-ROW = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base", pa.string()),
+FOUND = pa.schema([
+    *[(k, pa.int64()) for k in ROW], ("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base", pa.string()),
     ("entities", pa.list_(pa.int64())),
-    ("near", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))),
+    ("near", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))),
     ("term", pa.int64()), ("n_docs", pa.int64())])
-ROW_SQL = ("row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<long>, "
-           "near array<struct<entity:long,term:long,first:int,last:int>>, term long, n_docs long")
+FOUND_SQL = ("row1 long, row2 long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<long>, "
+             "near array<struct<entity:long,term:long>>, term long, n_docs long")
+PLACES = pa.schema([*[(k, pa.int64()) for k in ROW], ("term", pa.int64()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))])
+PLACES_SQL = "row1 long, row2 long, term long, first array<int>, last array<int>"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -112,9 +123,8 @@ def _hash(kind: str, value: bytes) -> int:
 
 
 def near_terms(text: str, spans: list[tuple[str, int, int]], reach: int = REACH) -> list[dict]:
-    """Terms within ``reach`` words of an entity on its line, outside all base spans; once for each entity
-    value and occurrence."""
-    out, inside = {}, sorted((a, b) for _, a, b in spans)
+    """Terms within ``reach`` words of an entity on its line, outside all base spans; once for each entity value."""
+    out, inside = set(), sorted((a, b) for _, a, b in spans)
     low = text.translate(_UPPER)
     for kind, a, b in spans:
         entity = _hash(kind, text[a:b].lower().encode())
@@ -125,66 +135,123 @@ def near_terms(text: str, spans: list[tuple[str, int, int]], reach: int = REACH)
         after = [m.span() for m in _TERM.finditer(low, b, end)][:reach]
         for x, y in before + after:
             if y - x >= MIN_TERM and not any(p < y and x < q for p, q in inside):
-                out[(entity, x)] = {"entity": entity, "term": _hash("term", low[x:y].encode()), "first": x, "last": y}
-    return list(out.values())
+                out.add((entity, _hash("term", low[x:y].encode())))
+    return [{"entity": e, "term": t} for e, t in sorted(out)]
 
 
 def scan(batches):
     """Rows of both kinds: one for each document, and counts of documents by term."""
-    # Row numbers are unique within one attempt's output, which is what gets written.
-    number = TaskContext.get().partitionId() << 33
     counts: dict[bytes, int] = {}
 
     def term_rows():
         for k in range(0, len(counts), 50_000):
             some = list(counts.items())[k:k + 50_000]
-            yield pa.RecordBatch.from_pylist([{"term": _hash("term", w), "n_docs": n} for w, n in some], schema=ROW)
+            yield pa.RecordBatch.from_pylist([{"term": _hash("term", w), "n_docs": n} for w, n in some], schema=FOUND)
         counts.clear()
 
     for b in batches:
         for k in range(0, b.num_rows, 512):
             part, rows = b.slice(k, 512), []
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for doc, text, row1, row2 in zip(*(c.to_pylist() for c in part.columns)):
                 text = text or ""
                 spans = base_spans(text)
-                rows.append({"row": number, "doc_id": doc, **{f"n_{x}": sum(s[0] == x for s in spans) for x in KINDS},
+                rows.append({"row1": row1, "row2": row2, "doc_id": doc, **{f"n_{x}": sum(s[0] == x for s in spans) for x in KINDS},
                              "base": ",".join(f"{x}:{a}:{z}" for x, a, z in spans),
                              "entities": sorted({_hash(x, text[a:z].lower().encode()) for x, a, z in spans}),
                              "near": near_terms(text, spans) if spans else []})
-                number += 1
                 for w in set(text.encode().lower().translate(_TO_SPACE).split()):
                     counts[w] = counts.get(w, 0) + 1
-            yield pa.RecordBatch.from_pylist(rows, schema=ROW)
+            yield pa.RecordBatch.from_pylist(rows, schema=FOUND)
             if len(counts) > _FLUSH:
                 yield from term_rows()
     yield from term_rows()
 
 
+def occurrences(bits):
+    """Places, by row and term, of the terms that the bit table (a broadcast of bytes) lets pass."""
+    def run(batches):
+        table, known = bits.value, {}
+
+        def passes(w: bytes) -> int | None:
+            t = _hash("term", w)
+            return t if table[(t & (BITS - 1)) >> 3] >> (t & 7) & 1 else None
+
+        for b in batches:
+            for k in range(0, b.num_rows, 512):
+                rows = []
+                for text, row1, row2 in zip(*(c.to_pylist() for c in b.slice(k, 512).columns)):
+                    if not text:
+                        continue
+                    words = set(text.encode().lower().translate(_TO_SPACE).split())
+                    if len(known) > _FLUSH:
+                        known.clear()
+                    for w in words:
+                        if w not in known:
+                            known[w] = passes(w)
+                    want = {w.decode(): known[w] for w in words if known[w] is not None}
+                    if want:
+                        rows += [{"row1": row1, "row2": row2, "term": t, "first": [x for x, _ in at], "last": [y for _, y in at]}
+                                 for t, at in _places(text, want).items()]
+                yield pa.RecordBatch.from_pylist(rows, schema=PLACES)
+    return run
+
+
+def _places(text: str, want: dict[str, int]) -> dict[int, list[tuple[int, int]]]:
+    """Where the wanted terms stand outside base spans."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    inside = sorted((a, b) for _, a, b in base_spans(text))
+    # Spans of two kinds can overlap: the furthest end so far, by start.
+    starts, ends = [a for a, _ in inside], list(accumulate((b for _, b in inside), max))
+    for m in _TERM.finditer(text.translate(_UPPER)):
+        t = want.get(m.group())
+        if t is not None:
+            k = bisect_left(starts, m.end())
+            if not k or ends[k - 1] <= m.start():
+                out.setdefault(t, []).append(m.span())
+    return out
+
+
+def bit_table(terms: DataFrame) -> bytes:
+    """The places ``term & (BITS - 1)`` of all terms as bits; at most BITS / 64 words reach the driver."""
+    at = F.col("term").bitwiseAND(BITS - 1)
+    words = terms.groupBy(F.shiftright(at, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
+    table = np.zeros(BITS // 64, "<i8")
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table.tobytes()
+
+
 def disclosing(found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach the threshold."""
-    docs = found.where(F.col("row").isNotNull())
+    docs = found.where(F.col("row1").isNotNull())
     n = docs.count()
     n_e = docs.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     # A pair counts once a document.
-    pairs = docs.select(F.explode(F.array_distinct(F.transform(
-        "near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p")).select("p.*")
+    pairs = docs.select(F.explode("near").alias("p")).select("p.*")
     n_te = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
-    n_t = (found.where(F.col("row").isNull()).groupBy("term").agg(F.sum("n_docs").alias("n_t")))
+    n_t = (found.where(F.col("row1").isNull()).groupBy("term").agg(F.sum("n_docs").alias("n_t")))
     x = n_te.join(n_e, "entity").join(n_t, "term")
     share = F.log2(F.col("n_te") * float(n) / (F.col("n_t") * F.col("n_e"))) / F.log2(float(n) / F.col("n_e"))
     return x.where(F.col("n_e") < n).withColumn("disclosure", share).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
+def by_row(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+    """``personal_data`` with row1, row2."""
+    rows = need(docs, "doc_id", "text").select("doc_id", "text", *row_key())
+    found = materialize(rows.mapInArrow(scan, FOUND_SQL), "pii")
+    terms = materialize(disclosing(found, support, threshold).select("term").distinct(), "pii_terms")
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(terms))
+    places = rows.select("text", *ROW).mapInArrow(occurrences(bits), PLACES_SQL)
+    hit = places.join(terms.hint("merge"), "term", "left_semi").select(*ROW, F.explode(F.arrays_zip("first", "last")).alias("x"))
+    spans = hit.groupBy(*ROW).agg(F.array_sort(F.collect_set("x")).alias("t")).select(
+        *ROW, F.concat_ws(",", F.transform("t", lambda x: F.concat(F.lit("term:"), x["first"].cast("string"), F.lit(":"), x["last"].cast("string")))).alias("terms"))
+    own = found.where(F.col("row1").isNotNull()).select(*ROW, "doc_id", *[f"n_{k}" for k in KINDS], "base")
+    return own.join(spans, list(ROW), "left").withColumn("terms", F.coalesce("terms", F.lit("")))
+
+
 def personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, counts by kind, base (spans, comma-joined), terms (spans of disclosing terms, comma-joined)."""
-    found = materialize(need(docs, "doc_id", "text").mapInArrow(scan, ROW_SQL), "pii")
-    pairs = materialize(disclosing(found, support, threshold), "pii_pairs")
-    near = found.where(F.col("row").isNotNull()).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    hit = near.join(pairs.select("entity", "term"), ["entity", "term"], "left_semi").select("row", "first", "last")
-    terms = hit.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("t")).select(
-        "row", F.concat_ws(",", F.transform("t", lambda x: F.concat(F.lit("term:"), x["first"].cast("string"), F.lit(":"), x["last"].cast("string")))).alias("terms"))
-    own = found.where(F.col("row").isNotNull()).select("row", "doc_id", *[f"n_{k}" for k in KINDS], "base")
-    return own.join(terms, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.lit("")))
+    return by_row(docs, support, threshold).drop(*ROW)
 
 
 def digest(data: DataFrame) -> DataFrame:

@@ -248,6 +248,21 @@ def test_personal_data_and_disclosing_terms(docs, plain, none):
     assert pii.personal_data(docs).count() == docs.count() and pii.personal_data(none).count() == 0
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    """On the next line, far off on the line, and in documents without the entity; none inside a base span."""
+    fill = " ".join(["the cat sat"] * 20)
+    texts = ["mail a.b@example.org about the zebrafish\nZebrafish " + fill + " zebrafish", "mail a.b@example.org about the zebrafish",
+             "the zebrafish alone", "about zebrafish@example.org", None, ""] + ["mail about " + fill] * 300
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = table(pii.personal_data(d, threshold=0.8))      # of 306 documents, 4 hold the term
+    at = lambda t: ",".join(f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)zebrafish(?!@)", t or ""))
+    assert {i: r["terms"] for i, r in got.items()} == {i: at(t) for i, t in enumerate(texts)}
+    full = pii.bit_table(spark.range(64).select(F.col("id").alias("term")))
+    assert full[:8] == b"\xff" * 8 and not any(full[8:])
+    clean = table(pii.sanitise(d, threshold=0.8))
+    assert {i for i, r in clean.items() if "zebrafish" in (r["text"] or "").lower()} == set()
+
+
 # -- 6 ---------------------------------------------------------------------------------------------------
 
 def fingerprint(t):

@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -49,7 +49,6 @@ KINDS = ("email", "ip", "card", "phone")
 REACH = 8
 SUPPORT = 2
 THRESHOLD = 0.9
-MIN_TERM = 3
 BITS = 1 << 26
 _FLUSH = 300_000
 
@@ -122,19 +121,28 @@ def _hash(kind: str, value: bytes) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _inside(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts of the spans, ascending, and the furthest end up to each: spans of two kinds can overlap."""
+    inside = sorted((a, b) for _, a, b in spans)
+    return [a for a, _ in inside], list(accumulate((b for _, b in inside), max))
+
+
 def near_terms(text: str, spans: list[tuple[str, int, int]], reach: int = REACH) -> list[dict]:
     """Terms within ``reach`` words of an entity on its line, outside all base spans; once for each entity value."""
-    out, inside = set(), sorted((a, b) for _, a, b in spans)
+    out, (starts, ends) = set(), _inside(spans)
     low = text.translate(_UPPER)
+    back = low[::-1]
     for kind, a, b in spans:
         entity = _hash(kind, text[a:b].lower().encode())
         begin, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
         end = len(text) if end < 0 else end
-        begin, end = max(begin, a - 40 * reach), min(end, b + 40 * reach)
-        before = [m.span() for m in _TERM.finditer(low, begin, a)][-reach:]
-        after = [m.span() for m in _TERM.finditer(low, b, end)][:reach]
-        for x, y in before + after:
-            if y - x >= MIN_TERM and not any(p < y and x < q for p, q in inside):
+        # Outward from the entity, word by word; a word that runs into it is part of no context.
+        n, joins = len(low), [k for k in (a, b) if 0 < k < len(low) and _TERM.match(low[k - 1]) and _TERM.match(low[k])]
+        before = [(n - m.end(), n - m.start()) for m in islice(_TERM.finditer(back, n - a, n - begin), reach + (a in joins))]
+        after = [m.span() for m in islice(_TERM.finditer(low, b, end), reach + (b in joins))]
+        for x, y in before[a in joins:] + after[b in joins:]:
+            k = bisect_left(starts, y)
+            if not k or ends[k - 1] <= x:
                 out.add((entity, _hash("term", low[x:y].encode())))
     return [{"entity": e, "term": t} for e, t in sorted(out)]
 
@@ -199,9 +207,7 @@ def occurrences(bits):
 def _places(text: str, want: dict[str, int]) -> dict[int, list[tuple[int, int]]]:
     """Where the wanted terms stand outside base spans."""
     out: dict[int, list[tuple[int, int]]] = {}
-    inside = sorted((a, b) for _, a, b in base_spans(text))
-    # Spans of two kinds can overlap: the furthest end so far, by start.
-    starts, ends = [a for a, _ in inside], list(accumulate((b for _, b in inside), max))
+    starts, ends = _inside(base_spans(text))
     for m in _TERM.finditer(text.translate(_UPPER)):
         t = want.get(m.group())
         if t is not None:

@@ -263,6 +263,24 @@ def test_disclosing_terms_go_wherever_they_stand(spark):
     assert {i for i, r in clean.items() if "zebrafish" in (r["text"] or "").lower()} == set()
 
 
+def test_near_terms_are_the_nearest_words_of_any_length():
+    rng = random.Random(6)
+    unit = lambda: rng.choice(["a", "日本", "xy", "é" * 400, "k" * 350, "word", "1.2.3.4", "b@c.de", "Q", "9", "-", "\n"])
+    cases = ["".join(unit() + rng.choice([" ", " ", ", ", ""]) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    for t in ["日本 b@c.de " + "é" * 5000, "x " * 3 + "y" * 900 + " b@c.de q", *cases]:
+        spans, want = pii.base_spans(t), set()
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+        words = [m.span() for m in TERM.finditer(low)]
+        for kind, a, b in spans:
+            on_line = lambda x, y: "\n" not in t[min(y, b):max(x, a)]
+            near_ = [w for w in words if w[1] <= a and on_line(*w)][-pii.REACH:] + [w for w in words if w[0] >= b and on_line(*w)][:pii.REACH]
+            want |= {(pii._hash(kind, t[a:b].lower().encode()), pii._hash("term", low[x:y].encode())) for x, y in near_
+                     if not any(p < y and x < q for _, p, q in spans)}
+        assert {(r["entity"], r["term"]) for r in pii.near_terms(t, spans)} == want, t
+    long = "a b@c.de " + "z" * 1_000_000
+    assert len(pii.near_terms(long, pii.base_spans(long))) == 2
+
+
 # -- 6 ---------------------------------------------------------------------------------------------------
 
 def fingerprint(t):

@@ -260,9 +260,9 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = TH
     return by_row(docs, support, threshold).drop(*ROW)
 
 
-def digest(data: DataFrame) -> DataFrame:
+def digest(data: DataFrame, *more: str) -> DataFrame:
     both = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.col("terms") != "", F.col("terms")))
-    return data.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), both.alias("spans"))
+    return data.select(*more, "doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), both.alias("spans"))
 
 
 def replaced(text: str, spans: str) -> str:
@@ -284,10 +284,12 @@ def _replaced_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 
 def sanitise(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with personal data and disclosing terms replaced in ``text``.  Rows are matched by doc_id, so
-    ids must differ; of rows that share one, each is given the spans of one of them only if texts agree."""
+    """``docs`` with personal data and disclosing terms replaced in ``text``, each row by the spans of its own
+    id and text."""
     own = ("doc_id", "text")
-    spans = digest(personal_data(docs, **how)).select(F.col("doc_id").alias("id_"), F.col("spans").alias("spans_")).dropDuplicates(["id_"])
+    # Rows that agree in both have the same spans.
+    found = by_row(docs, **how).dropDuplicates(list(ROW))
+    spans = digest(found, *ROW).select(*ROW, F.col("spans").alias("spans_"))
     put = F.pandas_udf(_replaced_all, "string")
-    d = sealed(docs, *own).join(spans, F.col("doc_id").eqNullSafe(F.col("id_")), "left")
+    d = sealed(docs, *own).select("*", *row_key()).join(spans, list(ROW), "left")
     return unsealed(d.withColumn("text", put(F.col("text"), F.col("spans_"))), docs, *own)

@@ -281,6 +281,14 @@ def test_near_terms_are_the_nearest_words_of_any_length():
     assert len(pii.near_terms(long, pii.base_spans(long))) == 2
 
 
+def test_each_row_is_cleaned_by_its_own_spans(spark):
+    data = [(None, "mail a.b@example.org"), (None, "nothing to hide in this text"), (None, None), (1, "10.0.0.1 is up"),
+            (1, "up is 10.0.0.1"), (1, "up is 10.0.0.1"), (2, "nothing to hide in this text")]
+    out = pii.sanitise(spark.createDataFrame(data, "doc_id long, text string"), threshold=2.0).collect()
+    want = collections.Counter((d, t and t.replace("a.b@example.org", "<EMAIL>").replace("10.0.0.1", "<IP>")) for d, t in data)
+    assert collections.Counter((r["doc_id"], r["text"]) for r in out) == want
+
+
 # -- 6 ---------------------------------------------------------------------------------------------------
 
 def fingerprint(t):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need, sealed, unsealed
+from dosecast.llm.common import ROW, need, row_key, sealed, unsealed
 from dosecast.llm.graph import components
 from dosecast.session import materialize
 
@@ -57,16 +57,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *keys: str) -> DataFrame:
+    """doc_id, the long columns ``keys``, fp (the 64 bits as a signed long)."""
+    names = ["doc_id", *keys, "fp"]
+
     def run(batches):
         for b in batches:
             for k in range(0, b.num_rows, 1024):
                 part = b.slice(k, 1024)
                 fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(fps)], names=["doc_id", "fp"])
+                own = [part.column(0).cast(pa.int64()), *part.columns[2:]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(fps)], names=names)
 
-    return need(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return need(docs, "doc_id", "text", *keys).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _signed(x: int) -> int:
@@ -138,13 +141,18 @@ def links(nodes: DataFrame, bits: int = 3) -> DataFrame:
     return a.join(b, on).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
+def _labelled(prints: DataFrame, bits: int) -> DataFrame:
+    """fp, first_id, label (of the component) for each fingerprint."""
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_nodes")
+    comp = components(links(nodes.select("fp"), bits))
+    return (nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("label", F.coalesce("label", "fp")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """doc_id, fp, component_id for each row of ``docs``."""
     prints = materialize(fingerprints(docs, shingle), "simhash_prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_nodes")
-    comp = components(links(nodes.select("fp"), bits))
-    labelled = (nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-                .withColumn("label", F.coalesce("label", "fp")))
+    labelled = _labelled(prints, bits)
     named = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     by_print = materialize(labelled.select("fp", "label").join(named, "label").select("fp", "component_id"), "simhash_classes")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
@@ -155,11 +163,15 @@ def digest(classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """One document of each group: the one with the group's smallest id.  Rows that share an id are one
-    document: of those with the same text, one stays.  Documents without an id are not removed, but for
-    repeats of a text."""
-    classes = near_duplicates(docs, shingle, bits)
-    keep = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    d = sealed(docs, "doc_id", "text")
-    kept = d.join(keep, F.col("doc_id") == F.col("kept_id"), "left").where(F.col("kept_id").isNotNull() | F.col("doc_id").isNull())
-    return unsealed(kept.dropDuplicates(["doc_id", "text"]), docs, "doc_id", "text")
+    """One row of each group: the one with the smallest id, of rows that share it the first by the hashes of
+    id and text.  Of a group's rows without an id one stays as well, chosen by the hashes."""
+    own = ("doc_id", "text")
+    keyed = need(docs, *own).select(*own, *row_key())
+    prints = materialize(fingerprints(keyed, shingle, *ROW), "simhash_prints")
+    by_print = materialize(_labelled(prints, bits).select("fp", "label"), "simhash_classes")
+    # First by fingerprint, so that copies of a text meet the join as one row.
+    first = prints.groupBy("fp", F.col("doc_id").isNull().alias("no_id")).agg(F.min(F.struct("doc_id", *ROW)).alias("first"))
+    keep = first.join(by_print, "fp").groupBy("label", "no_id").agg(F.min("first").alias("first")).select(
+        *[F.col(f"first.{k}").alias(k) for k in ROW])
+    d = sealed(docs, *own).select("*", *row_key()).join(keep, list(ROW), "left_semi")
+    return unsealed(d.dropDuplicates(list(ROW)), docs, *own)

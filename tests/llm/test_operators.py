@@ -319,6 +319,15 @@ def test_simhash_components(docs, plain, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_chooses_by_row(spark):
+    """Two texts under one id, of which one links to a smaller id, and near copies without id."""
+    other = "nine plain words that no other row here holds"
+    assert fingerprint(EN) == fingerprint(EN + " ") and bin(fingerprint(EN) ^ fingerprint(other)).count("1") > 3
+    data = [(1, EN), (2, EN + " "), (2, DE), (3, other), (3, other + " "), (3, other), (None, EN), (None, EN + " "), (None, EN + "  ")]
+    out = [(r["doc_id"], r["text"].strip()) for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()]
+    assert collections.Counter(out) == collections.Counter([(1, EN), (2, DE), (3, other), (None, EN)])
+
+
 def test_simhash_links_of_a_dense_cluster(spark, monkeypatch):
     """Many fingerprints around one centre, with the grid in use: the same pairs as all against all."""
     monkeypatch.setattr(simhash, "DENSE", 20)

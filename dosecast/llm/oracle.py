@@ -114,4 +114,95 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (doc_id) left join items using (doc_id)"""
 
-SQL = {"op1_line_dedup": OP1, "op3_quality_rules": OP3, "op7_mixing": OP7, "op8_chat_format": OP8, "op10_decontamination": OP10}
+OP11 = f"""
+with recursive w as (select doc_id, regexp_extract_all({_LOWER.format('text')}, '{WORD}') as w from documents),
+sh as (
+  select distinct doc_id, g from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [w]
+                               else list_transform(range(1, len(w) - 2), lambda p: w[p:p + 3]) end) as g from w)),
+size as (select doc_id, count(*) as n from sh group by 1),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+link as (
+  select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join link l on l.a = r.b),
+comp as (select a, min(b) as component_id from reach group by 1),
+degree as (select a, count(*) as n_links from link group by 1)
+select d.doc_id, coalesce(size.n, 0)::bigint as n_shingles, comp.component_id, coalesce(degree.n_links, 0)::bigint as n_links
+from documents d left join size using (doc_id) left join comp on comp.a = d.doc_id left join degree on degree.a = d.doc_id"""
+
+# CRC-32 of a list of bytes, by its table.
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end))"
+_CRC = "xor(list_reduce([4294967295] || {}, lambda c, b: xor(c // 256, crc.t[(xor(c, b) % 256 + 1)::int])), 4294967295)"
+
+# 12: words near each other agree after deleting the same place, or one is the other without a place.
+OP12 = rf"""
+with recursive crc as materialized (select {_CRC_TABLE} as t),
+runs as (
+  select doc_id, r, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '[A-Za-zÀ-ÿ]+')) as r from documents) group by 1, 2),
+bytes as (
+  select r, n, list_transform(string_split(doc_id::varchar || ':', ''), lambda x: unicode(x)::bigint) || flatten(list_transform(
+    string_split(r, ''), lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] else [195, unicode(x)::bigint - 64] end)) as b from runs),
+hashed as (select r, n, {_CRC.format('b')} as h from bytes, crc),
+seen as (
+  select case when h % 97 = 0 then r[1:(h % length(r))::int] || r[(h % length(r))::int + 2:] else r end as word, n from hashed),
+words as (select word, sum(n)::bigint as n from seen where length(word) >= 5 group by 1 having sum(n) >= 3),
+cut as (select word, n, length(word) as m, p, word[1:p - 1] || word[p + 1:] as left_over from words, unnest(range(1, length(word) + 1)) u(p)),
+near as (
+  select a.word, b.word as other, b.n as other_n from cut a join cut b on a.m = b.m and a.p = b.p and a.left_over = b.left_over and a.word <> b.word
+  union select a.word, b.word, b.n from cut a join words b on b.word = a.left_over
+  union select b.word, a.word, a.n from cut a join words b on b.word = a.left_over),
+best as (
+  select word, count(*) as n_near, first(other order by other_n desc, encode(other)) as other, max(other_n) as other_n from near group by 1),
+formed as (
+  select w.word, w.n, coalesce(b.n_near, 0)::bigint as n_near, case when b.other_n >= 2 * w.n then b.other end as form,
+         case when b.other_n >= 2 * w.n then b.other_n end as form_n from words w left join best b using (word)),
+path(word, spot, step) as (
+  select word, word, 0 from formed union all select p.word, f.form, p.step + 1 from path p join formed f on f.word = p.spot where f.form is not null),
+root as (select word, max_by(spot, step) as root from path group by 1)
+select word, form, root, n, n_near, form_n from formed join root using (word)"""
+
+# 13: a source's digests as a list, halved sixteenfold by recursion; siblings by level.
+_FIELD = "case when {0} is null then '-' else strlen({0}::varchar) || ':' || {0}::varchar end"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_RUNS = "list_transform(range(0, (len({0}) + 15) // 16), lambda i: sha256(array_to_string({0}[i * 16 + 1:i * 16 + 16], '')))"
+OP13 = f"""
+with recursive crc as materialized (select {_CRC_TABLE} as t),
+leaf as (
+  select doc_id, source, {_LEAF.format('text')} as leaf, {_LEAF.format('low')} as changed, {_CRC.format('b')} % 5 = 0 as tampered
+  from (select *, {_LOWER.format('text')} as lowered, case when text is not null then lowered end as low,
+               list_transform(string_split(doc_id::varchar, ''), lambda x: unicode(x)::bigint) as b from documents), crc),
+placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place from leaf),
+low(source, k, d) as (
+  select source, 0, list(leaf order by place) from placed group by 1
+  union all select source, k + 1, {_RUNS.format('d')} from low where len(d) > 1),
+sub as (select source, max(k) as height, max_by(d, k)[1] as subroot from low group by 1),
+subs as (select *, row_number() over (order by source nulls first) - 1 as place from sub),
+high(k, d) as (
+  select 0, list(subroot order by place) from subs having count(*) > 0
+  union all select k + 1, {_RUNS.format('d')} from high where len(d) > 1),
+tree as (
+  select source, k, d from low where len(d) > 1
+  union all select source, s.height + k, d from high, subs s where len(d) > 1),
+top as (select max_by(d, k)[1] as root from high),
+levels as (
+  select p.doc_id, p.source, p.leaf, t.k, t.d,
+         case when t.k < s.height then p.place // (16 ** t.k)::bigint else s.place // (16 ** (t.k - s.height))::bigint end as spot
+  from placed p join subs s on s.source is not distinct from p.source join tree t on t.source is not distinct from p.source),
+beside as (
+  select doc_id, source, leaf, k, array_to_string(d[spot - spot % 16 + 1:spot], '') as l, array_to_string(d[spot + 2:spot - spot % 16 + 16], '') as r
+  from levels),
+proof as (select doc_id, source, leaf, string_agg(l || r, '' order by k) as siblings from beside group by 1, 2, 3),
+fold(doc_id, source, leaf, k, digest) as (
+  select doc_id, source, leaf, 0, case when tampered then changed else leaf end from leaf
+  union all
+  select f.doc_id, f.source, f.leaf, f.k + 1, sha256(b.l || f.digest || b.r) from fold f join beside b
+    on b.doc_id is not distinct from f.doc_id and b.source is not distinct from f.source and b.leaf = f.leaf and b.k = f.k),
+folded as (select doc_id, source, leaf, max_by(digest, k) as folded_root from fold group by 1, 2, 3)
+select f.doc_id, f.leaf, s.subroot, top.root, sha256(coalesce(p.siblings, '')) as proof_sha256, f.folded_root, f.folded_root = top.root as verified
+from folded f join subs s on s.source is not distinct from f.source cross join top
+left join proof p on p.doc_id is not distinct from f.doc_id and p.source is not distinct from f.source and p.leaf = f.leaf"""
+
+SQL = {"op1_line_dedup": OP1, "op3_quality_rules": OP3, "op7_mixing": OP7, "op8_chat_format": OP8, "op10_decontamination": OP10,
+       "op11_ngram_join": OP11, "op12_spelling": OP12, "op13_merkle": OP13}

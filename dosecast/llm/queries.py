@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosecast.llm import chat, decontaminate, langid, line_dedup, mixing, oracle, pii, quality, records, simhash, token_counts
+from dosecast.llm import (chat, decontaminate, langid, line_dedup, merkle, mixing, ngram_join, oracle, pii, quality, records, simhash,
+                          spelling, token_counts)
 from dosecast.llm.common import need, read_table
 from dosecast.session import ship_package
 
@@ -66,8 +67,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                       read_table(spark, sf_dir, "benchmark")))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(ngram_join.links(read_table(spark, sf_dir, "documents")))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate(F.col("text"), upper, upper.lower())
+    return merkle.digest(merkle.manifest(read_table(spark, sf_dir, "documents"), merkle.tampered(), lowered))
+
+
 _QUERIES = [op1_line_dedup, op2_token_counts, op3_quality_rules, op4_binary_records, op5_pii, op6_simhash, op7_mixing,
-            op8_chat_format, op9_language_id, op10_decontamination]
+            op8_chat_format, op9_language_id, op10_decontamination, op11_ngram_join, op12_spelling, op13_merkle]
 
 
 def _shipped(fn):

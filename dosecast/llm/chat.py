@@ -71,11 +71,18 @@ def turns(messages: DataFrame) -> DataFrame:
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumn("n", F.row_number().over(in_order)).withColumn(
         "files_before", F.coalesce(F.sum(F.size("files")).over(before), F.lit(0)))
-    # The visitor: parts in order, each attachment numbered through the conversation.
-    seen = lambda i: F.size(F.filter(F.slice("parts", F.lit(1), i + 1), _is_attachment))
-    shown = F.transform("parts", lambda p, i: F.when(
-        _is_attachment(p), F.concat(F.lit("<|"), p["type"], F.lit(":"), (F.col("files_before") + seen(i)).cast("string"), F.lit("|>")))
-        .otherwise(escape(p["text"])))
+    # The visitor: attachments numbered through the conversation, and between them runs of text parts, each
+    # joined before it is escaped, as a control string can begin in one part and end in the next.
+    m = m.withColumn("places", F.filter(F.transform("parts", lambda p, i: F.when(_is_attachment(p), i)), lambda i: i.isNotNull()))
+
+    def step(k: Column) -> Column:
+        begin = F.coalesce(F.get("places", k - 1) + 1, F.lit(0))
+        run = F.slice("parts", begin + 1, F.coalesce(F.get("places", k), F.size("parts")) - begin)
+        text = escape(F.array_join(F.transform(run, lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+        number = (F.col("files_before") + k + 1).cast("string")
+        sign = F.concat(F.lit("<|"), F.get("files", k)["type"], F.lit(":"), number, F.lit("|>"))
+        return F.concat(text, F.coalesce(sign, F.lit("")))
+    shown = F.transform(F.sequence(F.lit(0), F.size("files")), step)
     files = F.transform("files", lambda p, i: F.struct(
         p["type"].alias("type"), p["ref"].alias("ref"), (F.col("files_before") + i + 1).cast("long").alias("number"),
         expanded_tokens(p).alias("tokens")))

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm.common import need
+from dosecast.session import materialize
 
 BUCKETS = 1 << 14
 EXHAUSTIVE = 6
@@ -49,7 +50,7 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-_IS_LETTER = np.array([chr(c).isalpha() for c in range(0x10000)], bool)
+_IS_LETTER = np.array([chr(c).isalpha() for c in range(0x110000)], bool)
 
 
 def ngram_counts(text: str) -> np.ndarray:
@@ -58,7 +59,7 @@ def ngram_counts(text: str) -> np.ndarray:
     low = text.lower()
     for at in range(0, len(low), _PART):
         c = np.frombuffer((" " + low[at:at + _PART] + " ").encode("utf-32-le", "replace"), "<u4")
-        letter = _IS_LETTER[np.minimum(c, 0xFFFF)] | (c > 0xFFFF)
+        letter = _IS_LETTER[c]
         keep = letter.copy()
         keep[1:] |= letter[:-1]
         keep[0] = True
@@ -105,15 +106,20 @@ def train(docs: DataFrame, folds: int = FOLDS) -> dict:
 
     counts = (need(rows, "lang", "text").mapInArrow(gather, "lang string, gram int, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    by_lang = counts.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("grams"))      # at most BUCKETS a language
-    got = by_lang.limit(MAX_LANGUAGES + 1).collect()
-    if len(got) > MAX_LANGUAGES:
+    counts = materialize(counts, "langid_counts")
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    langs = sorted(r["lang"] for r in got)
+    got = counts.select("lang", "gram", "n").toArrow()      # at most BUCKETS rows a language
     n = np.zeros((len(langs), BUCKETS))
-    for r in got:
-        for gram, c in r["grams"]:
-            n[langs.index(r["lang"]), gram] = c
+    lang = got.column("lang").combine_chunks().dictionary_encode()
+    number = np.array([langs.index(x) for x in lang.dictionary.to_pylist()], np.int64)
+    n[number[lang.indices.to_numpy()], got.column("gram").to_numpy()] = got.column("n").to_numpy()
+    return model_of(langs, n)
+
+
+def model_of(langs: list[str], n: np.ndarray) -> dict:
+    """The classifiers of the code's bits from n-gram counts (languages x buckets)."""
     p = (n + 0.5) / (n.sum(1, keepdims=True) + 0.5 * BUCKETS)
     code = code_matrix(len(langs))
     odds = np.zeros((code.shape[1], BUCKETS), np.float32)
@@ -159,7 +165,8 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def has_letter(text: str) -> bool:
-    return _LETTER.search(text) is not None
+    # The pattern also accepts numerals that are no digits.
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
 def identify(docs: DataFrame, folds: int = FOLDS) -> DataFrame:

@@ -39,15 +39,17 @@ win as (select doc_id, p, w[p:p + 2] as g from w, unnest(range(1, len(w) - 1)) u
 again as (select doc_id, p from (select doc_id, p, count(*) over (partition by doc_id, g) as c from win) where c > 1),
 hit as (select doc_id, count(distinct p + o) as n_repeat_words from again, unnest([0, 1, 2]) u(o) group by 1),
 line as (select doc_id, unnest(string_split(t, chr(10))) as line from w),
-dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from line where regexp_matches(line, '{WORD}') group by 1),
+dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines, count(*) as n_lines from line where regexp_matches(line, '{WORD}') group by 1),
 m as (
   select w.doc_id, w.source, len(w.w)::bigint as n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::bigint as word_chars,
          length(regexp_replace(w.t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
-         coalesce(dup.n_dup_lines, 0)::bigint as n_dup_lines, coalesce(hit.n_repeat_words, 0)::bigint as n_repeat_words
+         coalesce(dup.n_dup_lines, 0)::bigint as n_dup_lines, coalesce(hit.n_repeat_words, 0)::bigint as n_repeat_words,
+         coalesce(dup.n_lines, 0)::bigint as n_lines
   from w left join dup using (doc_id) left join hit using (doc_id)),
 j as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
 s as (
-  select *, base_failed or 100 * n_symbols > 10 * word_chars or 100 * n_repeat_words > 30 * n_words or n_dup_lines > 0 as strict_failed from j),
+  select *, base_failed or 100 * n_symbols > 10 * word_chars or 100 * n_repeat_words > 30 * n_words
+         or 100 * n_dup_lines > 30 * n_lines as strict_failed from j),
 host as (select source, count(*) as n, sum(base_failed::int) as f from s group by 1),
 pop as (
   select sum(f) / sum(n)::double as mean, count(*) / sum(n)::double as r, sum(1.0 * f / n * f / n * n) / sum(n) as sq, count(*) as h from host),
@@ -56,7 +58,7 @@ prior as (
   select mean, case when h < 2 or v <= 0 or spread <= v * r then null else greatest(1e-6, (v - spread) / (spread - v * r)) end as strength from mom),
 rate as (
   select source, case when strength is null then mean else (f + mean * strength) / (n + strength) end as host_rate from host, prior)
-select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
        not base_failed and not (host_rate > 0.5 and strict_failed) as kept, host_rate, host_rate > 0.5 as host_rejected
 from s join rate on s.source is not distinct from rate.source"""
 

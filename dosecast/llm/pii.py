@@ -92,6 +92,11 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def at_most_255(digits: str) -> bool:
+    digits = digits.lstrip("0")         # of any length
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -105,7 +110,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in emails(text)] if "@" in text else []
     if _DIGITS.search(text):
         if "." in text:
-            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split("."))]
+            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(at_most_255(p) for p in m.group().split("."))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 16:
                 d = m.group().replace(" ", "").replace("-", "")
@@ -132,10 +137,12 @@ def near_terms(text: str, spans: list[tuple[str, int, int]], reach: int = REACH)
     out, (starts, ends) = set(), _inside(spans)
     low = text.translate(_UPPER)
     back = low[::-1]
+    begin, end = 0, -1                      # the line of the last span: most lines are asked for many times
     for kind, a, b in spans:
         entity = _hash(kind, text[a:b].lower().encode())
-        begin, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-        end = len(text) if end < 0 else end
+        if not begin <= a <= b <= end:
+            begin, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
+            end = len(text) if end < 0 else end
         # Outward from the entity, word by word; a word that runs into it is part of no context.
         n, joins = len(low), [k for k in (a, b) if 0 < k < len(low) and _TERM.match(low[k - 1]) and _TERM.match(low[k])]
         before = [(n - m.end(), n - m.start()) for m in islice(_TERM.finditer(back, n - a, n - begin), reach + (a in joins))]

@@ -6,7 +6,9 @@ shrunk towards the rate of all hosts by a beta prior fitted to the hosts'
 rates by moments, and the verdict on the host goes back to its documents: a
 document is kept unless it fails a base rule, or its host is rejected (the
 shrunk rate is above ``max_rate``) and the document breaks one of the stricter
-rules that hold for rejected hosts.  So a good document of a bad host stays.
+rules that hold for rejected hosts: symbols over 10 % of its word characters,
+words in repeated windows over 30 % of its words, repeated lines over 30 % of its
+lines.  So a good document of a bad host stays.
 
 Defined cases: a null text has no words and fails; a null host is a host of
 its own; rows are judged one by one, so repeated rows and ids give a row each;
@@ -24,11 +26,11 @@ from pyspark.sql import functions as F
 from dosecast.llm.common import need
 from dosecast.session import materialize
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = "#*$%&|<>"
 MAX_HOST_RATE = 0.5
 # Stricter rules for documents of a rejected host, in percent.
-STRICT_SYMBOLS, STRICT_REPEATS = 10, 30
+STRICT_SYMBOLS, STRICT_REPEATS, STRICT_LINES = 10, 30, 30
 
 
 def repeat_words(words: list[bytes], size: int = 3) -> int:
@@ -67,7 +69,7 @@ def measures(text: str | None) -> tuple[int, ...]:
         elif line.strip():
             seen.add(line)
     return (len(words), len(text) - sum(raw.count(c) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")),
-            sum(map(text.count, SYMBOLS)), dup, repeat_words(words))
+            sum(map(text.count, SYMBOLS)), dup, repeat_words(words), dup + len(seen))
 
 
 def measured(batches):
@@ -87,7 +89,8 @@ def base_failed() -> Column:
 
 def strict_failed() -> Column:
     return (base_failed() | (100 * F.col("n_symbols") > STRICT_SYMBOLS * F.col("word_chars"))
-            | (100 * F.col("n_repeat_words") > STRICT_REPEATS * F.col("n_words")) | (F.col("n_dup_lines") > 0))
+            | (100 * F.col("n_repeat_words") > STRICT_REPEATS * F.col("n_words"))
+            | (100 * F.col("n_dup_lines") > STRICT_LINES * F.col("n_lines")))
 
 
 def measure(docs: DataFrame) -> DataFrame:

@@ -70,10 +70,17 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark writes it to, for the tasks' own writers."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return "file:///" + full[5:].lstrip("/") if full.startswith("file:") else full
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Encode and write ``docs`` (doc_id, text); the committed shard table (shard, path, counts)."""
     spark = docs.sparkSession
-    folder = folder or scratch_path(spark, f"records-{uuid.uuid4().hex}")
+    folder = qualified(spark, folder or scratch_path(spark, f"records-{uuid.uuid4().hex}"))
     spec = spark.sparkContext.broadcast(bpe.read_spec(tokenizer_path))
 
     def run(batches):

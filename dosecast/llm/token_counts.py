@@ -174,7 +174,7 @@ class PrefixCounter(bpe.UnitTokenizer):
             out.append(deltas)
             total += int(np.frombuffer(deltas, "<i2").sum())
             # A prefix that ends inside the special string has its start as plain text after ``before``.
-            tail = _UNIT_TAIL.search(before).group() if before else ""
+            tail = unit_tail(before)
             settled = total - (self.unit_counts(tail)[-1] if tail else 0)
             plain = _counts_of(self, tail + m.group())[len(tail):-1]
             counts = [total, *[settled + c for c in plain], total + 1]
@@ -186,7 +186,12 @@ class PrefixCounter(bpe.UnitTokenizer):
         return b"".join(out)
 
 
-_UNIT_TAIL = regex.compile(f"[{bpe._WS}]*[^{bpe._WS}]*$")
+_TAIL_REVERSED = regex.compile(f"[^{bpe._WS}]*[{bpe._WS}]*")
+
+
+def unit_tail(text: str) -> str:
+    """The last unit of a text, found from its end, once along the unit."""
+    return _TAIL_REVERSED.match(text[::-1]).group()[::-1]
 
 
 def _differences(counts: list[int]) -> bytes:

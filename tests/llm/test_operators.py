@@ -167,7 +167,8 @@ def measures(t):
     hit = {j for i in range(len(w) - 2) if c[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
     lines = t.split("\n")
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)),
-            sum(1 for k, x in enumerate(lines) if WORDS.search(x) and x in lines[:k]), len(hit))
+            sum(1 for k, x in enumerate(lines) if WORDS.search(x) and x in lines[:k]), len(hit),
+            sum(1 for x in lines if WORDS.search(x)))
 
 
 def test_quality_measures_and_filter(docs, plain, none):

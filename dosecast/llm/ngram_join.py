@@ -20,8 +20,8 @@ size; classes link when their sets' similarity reaches the threshold.
    by.  A match is dropped when one of the two shared prefix shingles before
    it is also a match, so near copies do not meet at each shingle.  Shingles with
    more than ``DENSE`` classes are dealt out over a grid of cells.
-4. Each candidate pair is verified once, on whole sets.  Sets go to
-   *blocks* by their smallest hash, which near copies share with the
+4. Each candidate pair is verified once, on whole sets.  The sets of candidates are
+   formed anew from their texts and go to *blocks* by their smallest hash, which near copies share with the
    probability of their similarity, so a set is sent once to each pair of blocks
    in which it has candidates, not once to each pair.  Blocks hold about
    ``BLOCK`` shingles.
@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from dosecast.llm.common import ROW, need, row_key
 from dosecast.llm.dealing import dealt
 from dosecast.llm.graph import components
+from dosecast.llm.pii import BITS, bit_table
 from dosecast.session import materialize
 
 SHINGLE = 4
@@ -55,8 +56,8 @@ BUCKETS = 1 << 20
 RANGES = 32
 DENSE = 2048
 BLOCK = 1 << 20
-_KNOWN = 400_000            # word hashes that a worker keeps
-_FLUSH = 1 << 20            # shingles or words handled at once
+_KNOWN = 100_000            # word hashes that a worker keeps
+_FLUSH = 1 << 18            # shingles or words handled at once
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 
@@ -238,24 +239,24 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     cells = materialize(cells, "ngram_cells")
     to = cells.select(F.col("a").alias("node"), "cell").unionByName(cells.select(F.col("b").alias("node"), "cell")).distinct()
     to = to.groupBy("node").agg(F.collect_list("cell").alias("cells")).join(own.select("node", *ROW), "node")
+    # Sets of candidates only: a bit table of fixed size lets all of them pass and holds most other rows back.
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(own.select(F.col(ROW[0]).alias("term"))))
 
     def sets(batches):
-        known, last = _Hashes(), None
+        known, table = _Hashes(), np.frombuffer(bits.value, np.uint8)
         for b in batches:
-            for k in range(0, b.num_rows, 32):
-                for t, node, to_cells in zip(*[c.to_pylist() for c in b.slice(k, 32).columns]):
-                    if node == last:                # rows that agree in id and text lie together
-                        continue
-                    last, s = node, shingle_set(t, known, shingle).tobytes()
-                    for j in range(0, len(to_cells), 64):
-                        cell = to_cells[j:j + 64]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(cell, pa.int64()), pa.array([node] * len(cell), pa.int64()), pa.array([s] * len(cell), pa.binary())],
-                            names=["cell", "a", "members"])
-
-    texts = need(docs, "doc_id", "text").select("text", *row_key())
-    found = texts.join(to, list(ROW)).select("text", "node", "cells")
-    members = found.mapInArrow(sets, "cell long, a long, members binary")
+            at = b.column(0).to_numpy() & (BITS - 1)
+            b = b.filter(pa.array(table[at >> 3] >> (at & 7) & 1 == 1))
+            for k in range(0, b.num_rows, 64):
+                part = b.slice(k, 64)
+                members = [shingle_set(t, known, shingle).tobytes() for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(members, pa.binary())], names=[*ROW, "members"])
+
+    texts = need(docs, "doc_id", "text").select(*row_key(), "text")
+    found = texts.mapInArrow(sets, f"{ROW[0]} long, {ROW[1]} long, members binary")
+    # Rows that agree in id and text have one set.
+    members = found.join(to, list(ROW)).dropDuplicates([*ROW, "node"]).select(
+        F.explode("cells").alias("cell"), F.col("node").alias("a"), "members")
     none = F.lit(None).cast("long").alias("b")
     rows = members.select("cell", F.lit(0).alias("kind"), "a", none, "members").unionByName(
         cells.select("cell", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("members")))

@@ -4,31 +4,34 @@ Models are rows of a *model table* ``(model_key, intercept, coef, scale,
 n_rows, r2, ...)``; fitting, scoring and R-squared are joins and group-bys
 on ``model_key``, one pass for all models.
 
-* Ridge (M5) only needs per-model sums of products: a partial aggregation
-  (skew-proof, map-side combine) followed by a k x k solve per model.
+* Ridge (M5) needs per-model sums of products only: a partial aggregation
+  (skew-proof, map-side combine), then an LDL^T factorization unrolled into
+  column expressions; no row leaves the JVM.
 * Huber (M4) minimises sum(sigma + H_eps(r/sigma) * sigma) + alpha*|w|^2 with
-  a joint scale.  Groups up to ``max_rows_per_task`` rows are solved inside
-  one task by ``applyInPandas``; larger groups (a hot pool) are solved by a
-  distributed iteration whose every step is a partial aggregation.
+  a joint scale, for groups of any size by one method: ``newton``.
+* ``certificate`` bounds how far each Huber model is from the optimum.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Observation
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from dosecast.operators import newton
 from dosecast.params import DEFAULT, Params
 from dosecast.session import materialize
 
 MODEL_SCHEMA = ("model_key string, intercept double, coef array<double>, scale double, n_rows long, "
                 "r2 double, n_iter int, objective double")
 
-SIGMA_FLOOR = float(np.finfo(np.float64).eps * 10)
+SIGMA_FLOOR = newton.SIGMA_FLOOR
 
 
-# ------------------------------------------------------------ numpy solver
+# ------------------------------------------------------------ on arrays
 
 def huber_objective(A, y, beta, sigma, eps, alpha, k, sw=None):
     sw = np.ones(len(y)) if sw is None else sw
@@ -38,95 +41,15 @@ def huber_objective(A, y, beta, sigma, eps, alpha, k, sw=None):
     return float(np.sum(sw * (sigma + rho)) + alpha * np.sum(beta[:k] ** 2))
 
 
-def sigma_step(absr, eps, sw=None, floor=SIGMA_FLOOR):
-    """Exact minimiser over sigma of sum(sigma + rho_sigma(r)) for fixed residuals.
-
-    Between consecutive breakpoints |r_i|/eps the inlier set is fixed and the
-    objective is a*sigma + b/sigma + c, so each interval has a closed form.
-    """
-    sw = np.ones(len(absr)) if sw is None else sw
-    o = np.argsort(absr)
-    a_sorted, w = absr[o] / eps, sw[o]
-    r = absr[o]
-    n = len(r)
-    wtot = w.sum()
-    cw = np.concatenate([[0.0], np.cumsum(w)])                 # inlier weight, j inliers
-    cb = np.concatenate([[0.0], np.cumsum(w * r * r)])
-    ca = np.concatenate([[0.0], np.cumsum(w * r)])
-    j = np.arange(n + 1)
-    a = cw + (wtot - cw) * (1 - eps * eps)
-    b = cb
-    c = 2 * eps * (ca[-1] - ca)
-    lo = np.concatenate([[floor], np.maximum(a_sorted, floor)])
-    hi = np.concatenate([np.maximum(a_sorted, floor), [np.inf]])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.where((a > 0) & (b > 0), np.sqrt(b / a), np.where(a > 0, lo, hi))
-    s = np.clip(s, lo, hi)
-    s = np.where(np.isfinite(s), s, np.maximum(lo, 1.0))
-    f = a * s + np.where(s > 0, b / s, np.inf) + c
-    del j
-    return float(max(s[int(np.argmin(f))], floor))
-
-
-def _wls(A, y, sw):
-    r = np.sqrt(sw)
-    return np.linalg.lstsq(A * r[:, None], y * r, rcond=None)[0]
-
-
-def _lad(A, y, sw, iters: int = 60, delta: float = 1e-7):
-    """Least absolute deviations by reweighted least squares (smoothed at ``delta``)."""
-    b = _wls(A, y, sw)
-    for _ in range(iters):
-        w = sw / np.maximum(np.abs(y - A @ b), delta)
-        nb = _wls(A, y, w)
-        if np.max(np.abs(nb - b)) < 1e-10:
-            return nb
-        b = nb
-    return b
-
-
-def huber_fit(X, y, eps=1.01, alpha=1e-4, max_iter=200, tol=1e-4, sw=None):
-    """Joint (coef, intercept, scale) minimiser; deterministic, starts from least squares.
-
-    Alternates a majorised weighted least-squares step in the coefficients
-    with the exact scale step; every step lowers the convex objective.
-    Returns (coef, intercept, sigma, n_iter, objective).
-    """
+def huber_fit(X, y, eps=1.01, alpha=1e-4, max_iter=20_000):
+    """(coef, intercept, scale, steps, objective, converged) of one group's arrays."""
     X = np.asarray(X, dtype=float)
     y = np.asarray(y, dtype=float)
-    n, k = X.shape
-    sw = np.ones(n) if sw is None else np.asarray(sw, dtype=float)
-    A = np.hstack([X, np.ones((n, 1))])
-    R = np.diag([alpha] * k + [0.0])
-    # Two starts -- least squares and a smoothed least-absolute-deviations fit
-    # (at eps near 1 the optimum is LAD-like and IRLS alone can stall at a
-    # vertex); the descent continues from the better one.
-    beta = None
-    best = np.inf
-    for b0 in (_wls(A, y, sw), _lad(A, y, sw)):
-        s0 = sigma_step(np.abs(y - A @ b0), eps, sw)
-        f0 = huber_objective(A, y, b0, s0, eps, alpha, k, sw)
-        if f0 < best:
-            beta, sigma, best = b0, s0, f0
-    it = 0
-    for it in range(1, max_iter + 1):
-        r = y - A @ beta
-        absr = np.abs(r)
-        # weights scaled by sigma: inliers 1, outliers eps*sigma/|r| (< 1)
-        v = sw * np.where(absr <= eps * sigma, 1.0, eps * sigma / np.maximum(absr, SIGMA_FLOOR))
-        M = A.T @ (A * v[:, None]) + sigma * R
-        rhs = A.T @ (v * y)
-        new_beta = np.linalg.lstsq(M, rhs, rcond=None)[0]
-        new_sigma = sigma_step(np.abs(y - A @ new_beta), eps, sw)
-        if (huber_objective(A, y, new_beta, new_sigma, eps, alpha, k, sw)
-                > huber_objective(A, y, beta, sigma, eps, alpha, k, sw) + 1e-12):
-            break
-        done = (np.max(np.abs(new_beta - beta)) <= tol * max(1.0, np.max(np.abs(beta)))
-                and abs(new_sigma - sigma) <= tol * max(1.0, sigma))
-        beta, sigma = new_beta, new_sigma
-        if done:
-            break
-    return beta[:k], float(beta[k]), float(sigma), it, huber_objective(A, y, beta, sigma, eps, alpha, k, sw)
+    A = np.hstack([X, np.ones((len(y), 1))])
+    s = newton.solve([(A, y)], eps, alpha, max_iter)
+    beta, sigma = s.model()
+    k = X.shape[1]
+    return beta[:k], float(beta[k]), sigma, s.steps, huber_objective(A, y, beta, sigma, eps, alpha, k), s.converged
 
 
 def ridge_fit(X, y, alpha=0.1):
@@ -154,179 +77,268 @@ def _norm_cols(p: Params) -> list[str]:
     return [f"{f}_norm" for f in p.features]
 
 
+_POINT = pa.schema([("model_key", pa.string()), ("n_rows", pa.int64()), ("block", pa.binary()), ("state", pa.list_(pa.float64()))])
+_POINT_SQL = "model_key string, n_rows long, block binary, state array<double>"
+
+
+def _blocks(batches, width: int):
+    """(model_key, rows of the model, array) of each run of rows that agree in key and chunk."""
+    key, n, held = None, 0, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys, chunk = b.column(0).to_pylist(), b.column(1).to_numpy()
+        values = np.column_stack([b.column(3 + i).to_numpy(zero_copy_only=False) for i in range(width)])
+        at = 0
+        for k, run in groupby(zip(keys, chunk)):
+            to = at + sum(1 for _ in run)
+            if k != key:
+                if held:
+                    yield key[0], n, np.concatenate(held)
+                key, held, n = k, [], b.column(2)[at].as_py()
+            held.append(values[at:to])
+            at = to
+    if held:
+        yield key[0], n, np.concatenate(held)
+
+
+def _design(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """[X, 1] and y."""
+    return np.hstack([block[:, :-1], np.ones((len(block), 1))]), block[:, -1]
+
+
 def fit_huber(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """M4: one Huber model per ``model_key``; big groups take the distributed path."""
+    """M4: one Huber model per ``model_key``, in ``MODEL_SCHEMA`` and converged, cert (the certificate's point).
+
+    Every model is found by the same steps (``newton``) from sums over its rows.
+    A group's rows are dealt into chunks of about ``p.rows_per_chunk``.  Where a
+    group is one chunk, its task takes all steps; the others' chunks are a
+    written table, and each round one job adds up their sums and takes a step for
+    all models that are not done.  A model that does not converge is returned
+    with ``converged`` false.
+    """
     cols = _norm_cols(p)
-    rows = train.select("model_key", *cols, "y")
+    eps, alpha, most = p.huber_epsilon, p.huber_alpha, p.huber_max_iter
+    rows = train.select("model_key", *[F.col(c).cast("double").alias(c) for c in cols], F.col("y").cast("double").alias("y"))
     sizes = rows.groupBy("model_key").agg(F.count(F.lit(1)).alias("_n"))
-    big_keys = sizes.where(F.col("_n") > p.max_rows_per_task).select("model_key")
-    # One small action on the per-model sizes decides whether the
-    # distributed path is needed at all (it is an iterative job).
-    has_big = len(big_keys.take(1)) > 0
-    small = rows.join(big_keys, "model_key", "left_anti") if has_big else rows
-    eps, alpha, mi, tol = p.huber_epsilon, p.huber_alpha, p.huber_max_iter, p.huber_tol
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Spark does not order rows inside a group: sort them so the fit is a
-        # function of the group's rows only
-        pdf = pdf.sort_values([*cols, "y"], kind="mergesort")
-        X = pdf[cols].to_numpy(dtype=float)
-        y = pdf["y"].to_numpy(dtype=float)
-        coef, b0, sigma, it, obj = huber_fit(X, y, eps, alpha, mi, tol)
-        if it >= mi:
-            raise RuntimeError(f"the Huber model {pdf['model_key'].iloc[0]} has not converged after {it} steps")
-        return pd.DataFrame({"model_key": [pdf["model_key"].iloc[0]], "intercept": [b0],
-                             "coef": [coef.tolist()], "scale": [sigma], "n_rows": [len(y)],
-                             "r2": [r2_score(y, X @ coef + b0)], "n_iter": [it], "objective": [obj]})
-
-    # Fits are CPU-bound and the grouped input is small for its work: a set number
-    # of partitions, so that AQE does not coalesce every group into one task; the
-    # session's shuffle partitions where these are more.
+    chunks = F.ceil(F.col("_n") / p.rows_per_chunk)
+    dealt = rows.join(sizes, "model_key").select(
+        "model_key", F.pmod(F.xxhash64(*cols, "y"), chunks).cast("int").alias("_chunk"), "_n", *cols, "y")
+
+    def fit(batches):
+        for key, n, block in _blocks(batches, len(cols) + 1):
+            if n <= p.rows_per_chunk:
+                s = newton.solve([_design(block)], eps, alpha, most)
+                yield pa.RecordBatch.from_pylist([{"model_key": key, "n_rows": n, "block": None, "state": s.values()}], schema=_POINT)
+            else:
+                yield pa.RecordBatch.from_pylist([{"model_key": key, "n_rows": n, "block": block.tobytes(), "state": None}], schema=_POINT)
+
+    # Fits are CPU-bound and the grouped input is small for its work: a set number of partitions, so that AQE does
+    # not coalesce every group into one task.  Rows are sorted, so a fit is a function of the group's rows only.
     spark = rows.sparkSession
     par = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    fitted = small.repartition(par, "model_key").groupBy("model_key").applyInPandas(fit, MODEL_SCHEMA)
-    if not has_big:
-        return fitted
-    big = materialize(rows.join(big_keys, "model_key", "left_semi"), "huber_big_rows")
-    return fitted.unionByName(fit_huber_distributed(big, p))
-
-
-def _suff_stats(rows: DataFrame, cols: list[str], weight=None) -> DataFrame:
-    """Per model sums of (weighted) products, as one partial aggregation."""
-    wcol = F.lit(1.0) if weight is None else weight
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(wcol).alias("sw"), F.sum(wcol * F.col("y")).alias("sy"),
-            F.sum(wcol * F.col("y") * F.col("y")).alias("syy")]
+    dealt = dealt.repartition(par, "model_key", "_chunk").sortWithinPartitions("model_key", "_chunk", *cols, "y")
+    found = materialize(dealt.mapInArrow(fit, _POINT_SQL), "huber_groups")
+    blocks = found.where(F.col("block").isNotNull())
+    states = found.where(F.col("block").isNull()).select("model_key", "n_rows", "state")
+    if not blocks.isEmpty():
+        states = states.unionByName(_rounds(blocks.select("model_key", "n_rows", "block"), len(cols) + 1, p))
+    return _model_table(rows, states, p)
+
+
+def _rounds(blocks: DataFrame, k: int, p: Params) -> DataFrame:
+    """(model_key, n_rows, state) of the models of ``blocks``: a step of all open models each round."""
+    eps, alpha, most = p.huber_epsilon, p.huber_alpha, p.huber_max_iter
+    sums = pa.schema([("model_key", pa.string()), ("sums", pa.list_(pa.float64()))])
+    state = "model_key string, n_rows long, state array<double>, open boolean"
+
+    def begin(batches):
+        for b in batches:
+            x = b.to_pydict()
+            yield pa.RecordBatch.from_pylist(
+                [{"model_key": m, "n_rows": n, "state": newton.State(k, y).values(), "open": True} for m, n, y in zip(x["model_key"], x["n_rows"], x["most"])],
+                schema=pa.schema([("model_key", pa.string()), ("n_rows", pa.int64()), ("state", pa.list_(pa.float64())), ("open", pa.bool_())]))
+
+    def largest(batches):
+        for b in batches:
+            x = b.to_pydict()
+            yield pa.RecordBatch.from_pylist(
+                [{"model_key": m, "n_rows": n, "most": float(np.abs(np.frombuffer(v).reshape(-1, k)[:, -1]).max())}
+                 for m, n, v in zip(x["model_key"], x["n_rows"], x["block"])],
+                schema=pa.schema([("model_key", pa.string()), ("n_rows", pa.int64()), ("most", pa.float64())]))
+
+    def partial(batches):
+        total: dict[str, np.ndarray] = {}
+        for b in batches:
+            for at in range(b.num_rows):
+                row = b.slice(at, 1).to_pydict()
+                key = row["model_key"][0]
+                A, y = _design(np.frombuffer(row["block"][0]).reshape(-1, k))
+                v = newton.State.of(row["state"][0]).sums(A, y, eps)
+                total[key] = total[key] + v if key in total else v
+        yield pa.RecordBatch.from_pylist([{"model_key": m, "sums": v.tolist()} for m, v in total.items()], schema=sums)
+
+    def step(batches):
+        for b in batches:
+            x, out = b.to_pydict(), []
+            for m, n, values, total in zip(x["model_key"], x["n_rows"], x["state"], x["total"]):
+                s = newton.State.of(values)
+                s.advance(np.array([t["v"] for t in total]), eps, alpha, most)
+                out.append({"model_key": m, "n_rows": n, "state": s.values(), "open": not s.done})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
+                [("model_key", pa.string()), ("n_rows", pa.int64()), ("state", pa.list_(pa.float64())), ("open", pa.bool_())]))
+
+    start = blocks.mapInArrow(largest, "model_key string, n_rows long, most double").groupBy("model_key").agg(
+        F.max("n_rows").alias("n_rows"), F.max("most").alias("most"))
+    now = materialize(start.mapInArrow(begin, state), "huber_states")
+    done = []
+    while True:
+        to_do = now.where("open").select("model_key", "state")
+        parts = blocks.join(to_do, "model_key").select("model_key", "block", "state").mapInArrow(partial, "model_key string, sums array<double>")
+        total = (parts.select("model_key", F.posexplode("sums").alias("at", "v")).groupBy("model_key", "at").agg(F.sum("v").alias("v"))
+                 .groupBy("model_key").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("total")))
+        done.append(now.where("not open").drop("open"))
+        seen = Observation("huber_open")
+        stepped = now.where("open").drop("open").join(total, "model_key").mapInArrow(step, state)
+        now = materialize(stepped, "huber_states", (seen, F.sum(F.col("open").cast("long")).alias("open")))
+        if not seen.get["open"]:
+            break
+    out = now.drop("open")
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _dot(coef: str, intercept: str, cols: list[str]) -> Column:
+    e = F.col(intercept)
+    for i, c in enumerate(cols):
+        e = e + F.col(coef)[i] * F.col(c)
+    return e
+
+
+def _rho(r: Column, scale: Column, eps: float) -> Column:
+    a = F.abs(r)
+    return scale + F.when(a <= eps * scale, a * a / scale).otherwise(2 * eps * a - eps * eps * scale)
+
+
+def _model_table(rows: DataFrame, states: DataFrame, p: Params) -> DataFrame:
+    """States as models, with their objective and R-squared over the rows (one aggregation)."""
+    cols = _norm_cols(p)
+    k = len(cols)
+    names = "model_key string, n_rows long, coef array<double>, intercept double, scale double, n_iter int, converged boolean, cert array<double>"
+
+    def read(batches):
+        schema = pa.schema([("model_key", pa.string()), ("n_rows", pa.int64()), ("coef", pa.list_(pa.float64())), ("intercept", pa.float64()),
+                            ("scale", pa.float64()), ("n_iter", pa.int32()), ("converged", pa.bool_()), ("cert", pa.list_(pa.float64()))])
+        for b in batches:
+            x, out = b.to_pydict(), []
+            for m, n, values in zip(x["model_key"], x["n_rows"], x["state"]):
+                s = newton.State.of(values)
+                beta, sigma = s.model()
+                out.append({"model_key": m, "n_rows": n, "coef": beta[:k].tolist(), "intercept": float(beta[k]), "scale": sigma,
+                            "n_iter": s.steps, "converged": s.converged, "cert": s.x.tolist()})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    m = materialize(states.mapInArrow(read, names), "huber_points")
+    j = rows.join(m.select("model_key", "coef", "intercept", "scale"), "model_key")
+    r = F.col("y") - _dot("coef", "intercept", cols)
+    fit = j.groupBy("model_key").agg(
+        F.sum(_rho(r, F.col("scale"), p.huber_epsilon)).alias("_loss"), F.sum(r * r).alias("_ssr"), F.avg("y").alias("_mean"),
+        F.var_pop("y").alias("_var"), F.count(F.lit(1)).alias("_n"))
+    squares = F.aggregate("coef", F.lit(0.0), lambda a, w: a + w * w)
+    total = F.col("_var") * F.col("_n")
+    return m.join(fit, "model_key").select(
+        "model_key", "intercept", "coef", "scale", "n_rows",
+        F.when(total <= 1e-12, F.when(F.col("_ssr") <= 1e-9, 1.0).otherwise(0.0)).otherwise(1 - F.col("_ssr") / total).alias("r2"),
+        "n_iter", (F.col("_loss") + p.huber_alpha * squares).alias("objective"), "converged", "cert")
+
+
+def certificate(train: DataFrame, models: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """How far each Huber model can be from the optimum: model_key, n_rows, objective, gap, grad_coef, grad_intercept,
+    grad_scale.
+
+    With v = clip(2 r / sigma, -2 eps, 2 eps) at the point ``cert``, duality bounds the objective of
+    every model from below.  Compared with the objective at ``cert`` the bound is lower by
+    |X'v - 2 alpha w|^2 / (4 alpha), by what the scale's condition S = sum(1 - v^2 / 4) leaves, and by
+    ``reach`` |sum v| for intercepts within ``reach`` (the range of y plus 1) of the point's and scales up
+    to it.  ``gap`` is the model's objective less the bound, computed anew from the rows."""
+    cols = _norm_cols(p)
+    k, eps, alpha = len(cols), p.huber_epsilon, p.huber_alpha
+    m = models.select("model_key", "coef", "intercept", "scale", "cert")
+    j = train.join(m, "model_key").select("*", F.col("cert")[k].alias("_b"), F.col("cert")[k + 1].alias("_s"))
+    at = F.col("y") - _dot("cert", "_b", cols)
+    v = F.greatest(F.least(2 * at / F.col("_s"), F.lit(2 * eps)), F.lit(-2 * eps))
+    j = j.withColumns({"_v": v, "_at": _rho(at, F.col("_s"), eps),
+                       "_own": _rho(F.col("y") - _dot("coef", "intercept", cols), F.col("scale"), eps)})
+    g = j.groupBy("model_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("_at").alias("_at"), F.sum("_own").alias("_own"), F.sum("_v").alias("_vs"),
+        F.sum(1 - F.col("_v") * F.col("_v") / 4).alias("_S"), (F.max("y") - F.min("y") + 1).alias("reach"),
+        *[F.sum(F.col("_v") * F.col(c)).alias(f"_g{i}") for i, c in enumerate(cols)]).join(m, "model_key")
+    squares = lambda name: F.aggregate(F.slice(name, 1, k), F.lit(0.0), lambda a, w: a + w * w)
+    grads = [F.col(f"_g{i}") - 2 * alpha * F.col("cert")[i] for i in range(k)]
+    s = F.col("cert")[k + 1]
+    below = (sum((x * x for x in grads), F.lit(0.0)) / (4 * alpha) + F.greatest(F.col("_S"), F.lit(0.0)) * (s - SIGMA_FLOOR)
+             + F.greatest(-F.col("_S"), F.lit(0.0)) * F.greatest(F.col("reach") - s, F.lit(0.0)) + F.col("reach") * F.abs("_vs"))
+    own, here = F.col("_own") + alpha * squares("coef"), F.col("_at") + alpha * squares("cert")
+    return g.select("model_key", "n_rows", own.alias("objective"), (own - here + below).alias("gap"),
+                    F.greatest(*[F.abs(x) for x in grads]).alias("grad_coef"), F.abs("_vs").alias("grad_intercept"),
+                    F.col("_S").alias("grad_scale"))
+
+
+def _suff_stats(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """Per model sums of products, as one partial aggregation."""
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy")]
     k = len(cols)
     for i in range(k):
-        aggs.append(F.sum(wcol * F.col(cols[i])).alias(f"sx{i}"))
-        aggs.append(F.sum(wcol * F.col(cols[i]) * F.col("y")).alias(f"sxy{i}"))
+        aggs.append(F.sum(cols[i]).alias(f"sx{i}"))
+        aggs.append(F.sum(F.col(cols[i]) * F.col("y")).alias(f"sxy{i}"))
         for j in range(i, k):
-            aggs.append(F.sum(wcol * F.col(cols[i]) * F.col(cols[j])).alias(f"sxx{i}_{j}"))
+            aggs.append(F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"sxx{i}_{j}"))
     return rows.groupBy("model_key").agg(*aggs)
 
 
-def _normal_eqs(pdf: pd.DataFrame, k: int):
-    """Stacks of A^T W A and A^T W y with A = [X, 1], one for each row of sufficient statistics."""
-    M = np.zeros((len(pdf), k + 1, k + 1))
-    for i in range(k):
-        for j in range(i, k):
-            M[:, i, j] = M[:, j, i] = pdf[f"sxx{i}_{j}"]
-        M[:, i, k] = M[:, k, i] = pdf[f"sx{i}"]
-    M[:, k, k] = pdf["sw"]
-    rhs = np.stack([*[pdf[f"sxy{i}"].to_numpy(float) for i in range(k)], pdf["sy"].to_numpy(float)], axis=1)
-    return M, rhs
+def ldl_steps(k: int, matrix, rhs, fraction=lambda a, b: f"({a}) / ({b})") -> list[dict[str, str]]:
+    """Solving a symmetric positive definite k x k system M w = c by LDL^T, as SQL expressions in steps: each step's
+    names may be used by the later ones.  ``matrix(i, j)`` (i >= j) and ``rhs(i)`` name the inputs; the result is w0 ..."""
+    steps = []
+    for j in range(k):
+        less = "".join(f" - l{j}_{t} * l{j}_{t} * d{t}" for t in range(j))
+        steps.append({f"d{j}": f"{matrix(j, j)}{less}"})
+        below = {}
+        for i in range(j + 1, k):
+            less = "".join(f" - l{i}_{t} * l{j}_{t} * d{t}" for t in range(j))
+            below[f"l{i}_{j}"] = fraction(f"{matrix(i, j)}{less}", f"d{j}")
+        if below:
+            steps.append(below)
+    for i in range(k):                                      # L z = c
+        steps.append({f"z{i}": rhs(i) + "".join(f" - l{i}_{t} * z{t}" for t in range(i))})
+    for i in reversed(range(k)):                            # L' w = z / d
+        steps.append({f"w{i}": fraction(f"z{i}", f"d{i}") + "".join(f" - l{t}_{i} * w{t}" for t in range(i + 1, k))})
+    return steps
 
 
 def fit_ridge(train: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """M5: ridge per model from sufficient statistics (no row ever leaves its task)."""
+    """M5: ridge per model with an unpenalised intercept, from sums of products: the centred normal equations are
+    solved by LDL^T in column expressions."""
     cols = _norm_cols(p)
     k = len(cols)
-    stats = _suff_stats(train, cols)
-    alpha = p.ridge_alpha
-
-    def solve(it):
-        for pdf in it:
-            M, rhs = _normal_eqs(pdf, k)
-            n = pdf["sw"].to_numpy(float)[:, None]
-            xm, ym = M[:, :k, k] / n, rhs[:, k:] / n
-            S = M[:, :k, :k] - n[:, :, None] * xm[:, :, None] * xm[:, None, :] + alpha * np.eye(k)
-            w = np.linalg.solve(S, (rhs[:, :k] - n * xm * ym)[:, :, None])[:, :, 0]
-            beta = np.concatenate([w, ym - (xm * w).sum(1, keepdims=True)], axis=1)
-            syy = pdf["syy"].to_numpy(float)
-            ss_res = syy - 2 * (beta * rhs).sum(1) + np.einsum("ni,nij,nj->n", beta, M, beta)
-            ss_tot = syy - n[:, 0] * ym[:, 0] ** 2
-            flat = np.abs(ss_tot) < 1e-12
-            r2 = np.where(flat, (np.abs(ss_res) < 1e-9).astype(float), 1 - ss_res / np.where(flat, 1.0, ss_tot))
-            yield pd.DataFrame({"model_key": pdf["model_key"], "intercept": beta[:, k], "coef": w.tolist(), "scale": np.nan,
-                                "n_rows": pdf["n"].astype("int64"), "r2": r2, "n_iter": 1, "objective": np.nan})
-
-    return stats.mapInPandas(solve, MODEL_SCHEMA)
-
-
-def fit_huber_distributed(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """M4 for groups too large for one task.
-
-    Every iteration is one partial aggregation of weighted sufficient
-    statistics (majorised IRLS step) plus the scale fixed point
-    sigma^2 = sum_in r^2 / (n - eps^2 n_out); the small parameter table is
-    written to the shared folder each round (cuts lineage), and the loop
-    stops once the largest relative parameter change, observed during that
-    write, is below ``huber_tol``; not getting there in ``huber_max_iter`` rounds
-    is an error, never a result.  Starts from least squares (the objective is
-    convex, so the start does not change the model).
-    """
-    cols = _norm_cols(p)
-    k = len(cols)
-    eps, alpha = p.huber_epsilon, p.huber_alpha
-    spark = rows.sparkSession
-
-    def pred(prm):
-        e = F.col("b0")
-        for i, c in enumerate(cols):
-            e = e + F.col("w")[i] * F.col(c)
-        return e
-
-    def solve(it):
-        for pdf in it:
-            M, rhs = _normal_eqs(pdf, k)
-            sig = pdf["sigma"].to_numpy(float)
-            M[:, np.arange(k), np.arange(k)] += alpha * sig[:, None]
-            # least-squares solutions of the symmetric systems, singular ones included
-            beta = (np.linalg.pinv(M, hermitian=True) @ rhs[:, :, None])[:, :, 0]
-            new, delta = sig, np.full(len(pdf), np.inf)
-            if "b_in" in pdf:
-                a, b_in = pdf["n"].to_numpy(float) - eps * eps * pdf["n_out"].to_numpy(float), pdf["b_in"].to_numpy(float)
-                new = np.where((a > 0) & (b_in > 0), np.sqrt(np.maximum(b_in, 0) / np.where(a > 0, a, 1.0)),
-                               np.where(a <= 0, 2 * sig, SIGMA_FLOOR))
-                old = np.column_stack([np.stack(pdf["w_old"].to_numpy()), pdf["b0_old"].to_numpy(float)])
-                delta = np.maximum(np.abs(beta - old).max(1) / np.maximum(1.0, np.abs(old).max(1)),
-                                   np.abs(new - sig) / np.maximum(1.0, sig))
-            yield pd.DataFrame({"model_key": pdf["model_key"], "w": beta[:, :k].tolist(), "b0": beta[:, k],
-                                "sigma": np.maximum(new, SIGMA_FLOOR), "n": pdf["n"].astype("int64"), "delta": delta})
-
-    prm_schema = "model_key string, w array<double>, b0 double, sigma double, n long, delta double"
-    prm = _suff_stats(rows, cols).withColumn("sigma", F.lit(1.0)).mapInPandas(solve, prm_schema)
-    prm = materialize(prm, "huber_params")
-    done = 0
-    while True:
-        if done >= p.huber_max_iter:
-            raise RuntimeError(f"a Huber model has not converged after {done} rounds")
-        j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key")
-        r = F.abs(F.col("y") - pred(None))
-        inl = r <= F.lit(eps) * F.col("sigma")
-        v = F.when(inl, F.lit(1.0)).otherwise(F.lit(eps) * F.col("sigma") / F.greatest(r, F.lit(SIGMA_FLOOR)))
-        j = j.withColumn("_v", v).withColumn("_r", r).withColumn("_in", inl)
-        st = _suff_stats(j, cols, F.col("_v"))
-        extra = j.groupBy("model_key").agg(
-            F.first("sigma").alias("sigma"), F.first("w").alias("w_old"), F.first("b0").alias("b0_old"),
-            F.sum(F.when(F.col("_in"), F.col("_r") * F.col("_r")).otherwise(0.0)).alias("b_in"),
-            F.sum(F.when(F.col("_in"), 0).otherwise(1)).alias("n_out"))
-        # the largest parameter change is observed while the round is written
-        obs = Observation("huber_delta")
-        prm = materialize(st.join(extra, "model_key").mapInPandas(solve, prm_schema), "huber_params",
-                          (obs, F.max("delta").alias("d")))
-        done += 1
-        d = obs.get["d"]
-        if d is not None and d <= p.huber_tol:
-            break
-    # final statistics for the model table
-    j = rows.join(prm.select("model_key", "w", "b0", "sigma"), "model_key").withColumn("_p", pred(None))
-    r = F.abs(F.col("y") - F.col("_p"))
-    s = F.col("sigma")
-    rho = F.when(r <= eps * s, r * r / s).otherwise(2 * eps * r - eps * eps * s)
-    fin = j.groupBy("model_key").agg(
-        F.first("w").alias("coef"), F.first("b0").alias("intercept"), F.first("sigma").alias("scale"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum((F.col("y") - F.col("_p")) ** 2).alias("_ssr"),
-        F.sum(F.col("y")).alias("_sy"), F.sum(F.col("y") * F.col("y")).alias("_syy"),
-        F.sum(s + rho).alias("_obj"))
-    ss_tot = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n_rows")
-    return fin.select(
-        "model_key", "intercept", "coef", "scale", "n_rows",
-        F.when(ss_tot <= 1e-12, F.when(F.col("_ssr") <= 1e-9, 1.0).otherwise(0.0))
-         .otherwise(1 - F.col("_ssr") / ss_tot).alias("r2"),
-        F.lit(done).alias("n_iter"),
-        (F.col("_obj") + F.lit(alpha) * F.aggregate("coef", F.lit(0.0), lambda a, x: a + x * x)).alias("objective"))
+    x = _suff_stats(train, cols)
+    centred = {f"m{i}_{j}": F.col(f"sxx{j}_{i}") - F.col(f"sx{i}") * F.col(f"sx{j}") / F.col("n") + (p.ridge_alpha if i == j else 0.0)
+               for i in range(k) for j in range(i + 1)}
+    x = x.withColumns(centred | {f"c{i}": F.col(f"sxy{i}") - F.col(f"sx{i}") * F.col("sy") / F.col("n") for i in range(k)})
+    for step in ldl_steps(k, lambda i, j: f"m{i}_{j}", lambda i: f"c{i}"):
+        x = x.withColumns({name: F.expr(e) for name, e in step.items()})
+    b0 = (F.col("sy") - sum((F.col(f"w{i}") * F.col(f"sx{i}") for i in range(k)), F.lit(0.0))) / F.col("n")
+    # With M = centred products + alpha I and M w = c:  w'Mw = w'c, so the residual sum is  SStot - w'c - alpha w'w.
+    wc = sum((F.col(f"w{i}") * F.col(f"c{i}") for i in range(k)), F.lit(0.0))
+    ww = sum((F.col(f"w{i}") * F.col(f"w{i}") for i in range(k)), F.lit(0.0))
+    total = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    residual = total - wc - p.ridge_alpha * ww
+    r2 = F.when(F.abs(total) < 1e-9, F.when(F.abs(residual) < 1e-9, 1.0).otherwise(0.0)).otherwise(1 - residual / total)
+    return x.select("model_key", b0.alias("intercept"), F.array(*[F.col(f"w{i}") for i in range(k)]).alias("coef"),
+                    F.lit(None).cast("double").alias("scale"), F.col("n").alias("n_rows"), r2.alias("r2"), F.lit(1).alias("n_iter"),
+                    F.lit(None).cast("double").alias("objective"), F.lit(True).alias("converged"),
+                    F.lit(None).cast("array<double>").alias("cert"))
 
 
 def fit_models(train: DataFrame, p: Params = DEFAULT, model: str = "LR") -> DataFrame:
@@ -342,8 +354,9 @@ def predict_expr(p: Params = DEFAULT):
 
 
 def score(rows: DataFrame, models: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """M6 + J11: rows scored by the model of their pair (a join, then a dot product)."""
-    m = models.select("model_key", "intercept", "coef")
+    """M6 + J11: rows scored by the model of their pair (a join, then a dot product).  A model that has not
+    converged gives no estimate: its pairs are left to the all-pair rule."""
+    m = models.where("converged").select("model_key", "intercept", "coef")
     return rows.join(m, "model_key").withColumn("y_predict", predict_expr(p)).drop("intercept", "coef")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 def month_index(year: int, month: int) -> int:
@@ -27,7 +27,6 @@ class Params:
     huber_epsilon: float = 1.01
     huber_alpha: float = 1e-4
     huber_max_iter: int = 20_000
-    huber_tol: float = 1e-4
     ridge_alpha: float = 0.1
     margin_percent: float = 0.0
     name_keys: tuple = ("insuli", "patient")
@@ -39,10 +38,8 @@ class Params:
     window_months: int = 12
     # Profile of a pair with one removal month: 1 (script) or 0 (notebook).
     single_month_frequency: float = 1.0
-    # Largest model group fitted inside one task; bigger groups go through
-    # the distributed solver.
-    max_rows_per_task: int = 200_000
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    # Rows of a model that one task holds: larger groups are dealt into chunks, whose sums are added up.
+    rows_per_chunk: int = 100_000
 
     @property
     def test_month(self) -> int:

@@ -262,18 +262,102 @@ def q_model_r2(t):
 
 
 MODEL_SPEC = "model_key:s intercept:d scale:d n_rows:l r2:d n_iter:l objective:d n_coef:l"
+K = len(FEATS)
+
+
+def ridge_views(train: str) -> dict[str, str]:
+    """Ridge models of the table ``train`` (scaled rows): the LDL^T steps of the library, one view for each step."""
+    x = [f"{f}_norm" for f in FEATS]
+    sums = ", ".join([f"sum({x[i]}) as sx{i}, sum({x[i]} * y) as sxy{i}" for i in range(K)]
+                     + [f"sum({x[j]} * {x[i]}) as sxx{j}_{i}" for i in range(K) for j in range(i + 1)])
+    centred = ", ".join([f"sxx{j}_{i} - sx{i} * sx{j} / n{f' + {P.ridge_alpha}' if i == j else ''} as m{i}_{j}"
+                         for i in range(K) for j in range(i + 1)] + [f"sxy{i} - sx{i} * sy / n as c{i}" for i in range(K)])
+    views = {"ridge_sums": f"select model_key, count(*) as n, sum(y) as sy, sum(y * y) as syy, {sums} from {train} group by model_key",
+             "ridge_0": f"select *, {centred} from ridge_sums"}
+    for n, step in enumerate(md.ldl_steps(K, lambda i, j: f"m{i}_{j}", lambda i: f"c{i}")):
+        views[f"ridge_{n + 1}"] = f"select *, {', '.join(f'{e} as {name}' for name, e in step.items())} from ridge_{n}"
+    dot = lambda a, b: " + ".join(f"{a}{i} * {b}{i}" for i in range(K))
+    views["ridge_parts"] = f"""
+select *, (sy - ({dot('w', 'sx')})) / n as intercept, syy - sy * sy / n as total,
+       syy - sy * sy / n - ({dot('w', 'c')}) - {P.ridge_alpha} * ({dot('w', 'w')}) as residual from ridge_{len(views) - 2}"""
+    views["ridge_m"] = f"""
+select model_key, intercept, {', '.join(f'w{i}' for i in range(K))}, n as n_rows,
+       case when abs(total) < 1e-9 then case when abs(residual) < 1e-9 then 1.0 else 0.0 end else 1 - residual / total end as r2
+from ridge_parts"""
+    return views
+
+
+RV = MV | ridge_views("train_scaled") | {
+    "ridge_scored": f"""
+select x.*, m.intercept + {' + '.join(f'm.w{i} * x.{f}_norm' for i, f in enumerate(FEATS))} as y_predict
+from test_scaled x join ridge_m m using (model_key)"""}
+
+# Training rows of every window.
+AV = {
+    "every_window": """
+select clientkey as skclientkey, mi - 12 as train_start
+from (select clientkey, mi, count(*) over (partition by clientkey) - 13 as n,
+             row_number() over (partition by clientkey order by mi desc) as rk
+      from (select distinct clientkey, cast(floor(year_month / 100) * 12 + year_month % 100 - 1 as integer) as mi
+            from monthly_usage)) where rk <= n""",
+    "every_row": """
+select w.train_start, r.* from removal_panel r join every_window w
+  on w.skclientkey = r.skclientkey and r.month between w.train_start and w.train_start + 11""",
+    "every_train": """
+select concat_ws('|', train_start, case when c.count > 5 then concat_ws('|', 'pair', skclientkey, medid, device_naturalkey)
+                                        else concat_ws('|', 'pool', skclientkey, c.count) end) as model_key, e.*
+from every_row e join (
+  select train_start, hdp_shardid, skclientkey, medid, device_naturalkey, count(*) as count from every_row
+  group by all having count(*) > 1) c using (train_start, hdp_shardid, skclientkey, medid, device_naturalkey)""",
+}
+# The gap that a model may have to the bound on its objective, relative to 1 plus the objective.
+CERTIFIED = 1e-5
 
 
 @register("huber_models", MODEL_SPEC)
 def q_huber(t):
-    """M4: Huber models (rows-only check; solver has its own tests)."""
+    """M4: Huber models (the coefficients are checked by ``huber_certificate``)."""
     return bt(t).models.withColumn("n_coef", F.size("coef"))
 
 
-@register("ridge_models", MODEL_SPEC)
+def certified(train, models):
+    c = md.certificate(train, models, P)
+    return c.withColumn("certified", (F.col("gap") <= CERTIFIED * (1 + F.col("objective"))) & (F.col("gap") >= -1e-8 * (1 + F.col("objective"))))
+
+
+@register("huber_certificate", "model_key:s n_rows:l certified:b converged:b", """
+select model_key, count(*) as n_rows, true as certified, true as converged from train_rows group by model_key""", MV)
+def q_huber_certificate(t):
+    """M4: every model's objective is within the certified gap of the optimum."""
+    b = bt(t)
+    return certified(b.train_scaled, b.models).join(b.models.select("model_key", "converged"), "model_key")
+
+
+@register("huber_objectives", "model_key:s n_rows:l objective:d gap:d grad_coef:d grad_intercept:d grad_scale:d")
+def q_huber_objectives(t):
+    """M4: objective, duality gap and what the optimality conditions leave, for each model (rows-only check)."""
+    b = bt(t)
+    return md.certificate(b.train_scaled, b.models, P)
+
+
+@register("ridge_models", "model_key:s intercept:d " + " ".join(f"w{i}:d" for i in range(K)) + " n_rows:l r2:d", "select * from ridge_m", RV)
 def q_ridge(t):
-    """M5 via sufficient statistics."""
-    return bt(t, model="Ridge").models.withColumn("n_coef", F.size("coef"))
+    """M5: ridge from sums of products, LDL^T in column expressions; M8's other choice."""
+    m = bt(t, model="Ridge").models
+    return m.select("model_key", "intercept", *[F.col("coef")[i].alias(f"w{i}") for i in range(K)], "n_rows", "r2")
+
+
+@register("ridge_scored_rows", TEST_SPEC + " y_predict:d", "select * from ridge_scored", RV)
+def q_ridge_scored(t):
+    """M6 + J11: test rows scored by a fitted model."""
+    return bt(t, model="Ridge").scored
+
+
+@register("ridge_training_r2", "model_key:s n:l r2:d", "select model_key, n_rows as n, r2 from ridge_m", RV)
+def q_ridge_r2(t):
+    """M7 from a fitted model's predictions of its training rows; equals the models' own."""
+    b = bt(t, model="Ridge")
+    return md.model_r2(md.score(b.train_scaled, b.models, P))
 
 
 @register("scored_rows", TEST_SPEC + " y_predict:d")
@@ -292,13 +376,23 @@ def q_grouped_rows(t):
     return wn.grouped_rows(b.removal_rows, b.pairs, S, P.window_months)
 
 
+def every_window(t, model="LR"):
+    from dosecast.operators.backtest import WindowedBackTest
+    b = bt(t)
+    return WindowedBackTest(b.inputs, wn.training_months(ex.monthly_usage(t), P.window_months), P, model)
+
+
 @register("all_window_models", "train_start:l " + MODEL_SPEC)
 def q_all_window_models(t):
     """Huber models of every client and training window in one job (rows-only check)."""
-    b = bt(t)
-    windows = wn.training_months(ex.monthly_usage(t), P.window_months)
-    train = wn.all_window_training(b.removal_rows, windows, P)
-    scaled = wn.apply_scaler(train, wn.scaler(train, P), P)
-    m = md.fit_huber(scaled, P)
-    return (m.withColumn("n_coef", F.size("coef"))
-             .withColumn("train_start", F.split("model_key", r"\|").getItem(0).cast("long")))
+    return (every_window(t).models.withColumn("n_coef", F.size("coef"))
+            .withColumn("train_start", F.split("model_key", r"\|").getItem(0).cast("long")))
+
+
+@register("all_window_certificate", "model_key:s n_rows:l certified:b converged:b", """
+select model_key, count(*) as n_rows, true as certified, true as converged from every_train group by model_key""", AV)
+def q_all_window_certificate(t):
+    """M10 + M4: the certificate of every model of every window."""
+    w = every_window(t)
+    return (certified(wn.apply_scaler(w.train, w.scaler, P), w.models)
+            .join(w.models.select("model_key", "converged"), "model_key"))

@@ -2,8 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from dosecast.operators import models as md
+from dosecast.operators import newton
 from dosecast.params import Params
 
 
@@ -40,11 +43,12 @@ def test_objective_not_above_starts():
     X = rng.random((25, 5))
     y = np.floor(rng.random(25) * 20)
     p = Params()
-    coef, b0, sigma, _, obj = md.huber_fit(X, y, p.huber_epsilon, p.huber_alpha)
+    coef, b0, sigma, _, obj, converged = md.huber_fit(X, y, p.huber_epsilon, p.huber_alpha)
     A = np.hstack([X, np.ones((25, 1))])
+    assert converged
     for beta in (np.linalg.lstsq(A, y, rcond=None)[0], _lad_start(X, y)):
-        s = md.sigma_step(np.abs(y - A @ beta), p.huber_epsilon)
-        assert obj <= md.huber_objective(A, y, beta, s, p.huber_epsilon, p.huber_alpha, 5) + 1e-9
+        for s in np.geomspace(1e-9, 50, 400):
+            assert obj <= md.huber_objective(A, y, beta, s, p.huber_epsilon, p.huber_alpha, 5) + 1e-9
 
 
 def test_tiny_group_is_deterministic():
@@ -55,14 +59,62 @@ def test_tiny_group_is_deterministic():
     assert np.allclose(a[0], b[0]) and a[1] == b[1]
 
 
-def test_sigma_step_matches_grid():
-    rng = np.random.default_rng(3)
-    r = np.abs(rng.normal(0, 2, 50))
-    eps = 1.35
-    s = md.sigma_step(r, eps)
-    grid = np.linspace(1e-3, 10, 20001)
-    f = [np.sum(g + np.where(r <= eps * g, r * r / g, 2 * eps * r - eps * eps * g)) for g in grid]
-    assert abs(s - grid[int(np.argmin(f))]) < 2e-3
+def _random_group(rng):
+    n = int(rng.choice([2, 3, 6, 9, 15, 40, 120, 400]))
+    X = rng.random((n, 5))
+    kind = rng.integers(0, 4)
+    if kind == 1:
+        X[:, 2], X[:, 3] = 0, rng.integers(0, 2, n)          # a constant and a flag
+    if kind == 2:
+        X = np.round(X * 4) / 4                              # ties
+    y = np.floor(rng.exponential(4, n)) if rng.random() < 0.7 else X @ rng.normal(0, 2, 5) + rng.normal(0, 1, n)
+    return X, y
+
+
+def _gap(A, y, s, eps, alpha):
+    """The duality gap of a solved state, by its definition."""
+    k = A.shape[1] - 1
+    beta, sigma = s.model()
+    own = md.huber_objective(A, y, beta, sigma, eps, alpha, k)
+    v = np.clip(2 * (y - A @ s.x[:-1]) / s.x[-1], -2 * eps, 2 * eps)
+    reach, xv, S = np.ptp(y) + 1, v @ A[:, :k], np.sum(1 - v * v / 4)
+    dual = (v @ y + SIGMA * max(S, 0) + reach * min(S, 0) - xv @ xv / (4 * alpha) - s.x[k] * v.sum() - reach * abs(v.sum()))
+    return own, own - dual
+
+
+SIGMA = md.SIGMA_FLOOR
+
+
+@pytest.mark.parametrize("eps", [1.01, 1.35])
+def test_gap_and_agreement_over_partitions(eps):
+    """Random groups with ties, flags and constants: closed gap, and the same model however the rows are dealt."""
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        X, y = _random_group(rng)
+        A = np.hstack([X, np.ones((len(y), 1))])
+        one = newton.solve([(A, y)], eps, 1e-4)
+        own, gap = _gap(A, y, one, eps, 1e-4)
+        assert one.converged and one.steps < 400 and -1e-8 <= gap / (1 + own) <= 1e-5
+        parts = [(A[c], y[c]) for c in np.array_split(rng.permutation(len(y)), min(len(y), 50))]
+        many = newton.solve(parts, eps, 1e-4)
+        assert np.allclose(one.model()[0], many.model()[0], atol=1e-8) and abs(one.model()[1] - many.model()[1]) < 1e-8
+
+
+def test_state_survives_its_row():
+    rng = np.random.default_rng(2)
+    X, y = rng.random((50, 5)), np.floor(rng.exponential(4, 50))
+    A = np.hstack([X, np.ones((50, 1))])
+    s = newton.State(6, 9.0)
+    for _ in range(7):
+        s.advance(s.sums(A, y, 1.01), 1.01, 1e-4, 100)
+    t = newton.State.of(s.values())
+    assert t.values() == s.values() and len(s.sums(A, y, 1.01)) == len(t.sums(A, y, 1.01))
+
+
+def test_steps_run_out():
+    X = np.random.default_rng(3).random((50, 5))
+    *_, steps, _, converged = md.huber_fit(X, X[:, 0] * 9, max_iter=2)
+    assert steps == 2 and not converged
 
 
 def _train_frame(spark, n_big=60):
@@ -87,15 +139,73 @@ def test_spark_huber_and_ridge(spark):
     sub = pdf[pdf.model_key == "b"]
     w, b0 = md.ridge_fit(sub.iloc[:, 1:6].to_numpy(), sub.y.to_numpy(), 0.1)
     assert np.allclose(r["b"].coef, w, atol=1e-8) and abs(r["b"].intercept - b0) < 1e-8
+    assert abs(r["b"].r2 - md.r2_score(sub.y, sub.iloc[:, 1:6].to_numpy() @ w + b0)) < 1e-9
+
 
+def test_ridge_stays_in_the_jvm(spark):
+    plan = md.fit_ridge(_train_frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
-def test_distributed_path_for_big_groups(spark):
-    df = _train_frame(spark, n_big=300)
-    p = Params(max_rows_per_task=100)
-    h = {r.model_key: r for r in md.fit_huber(df, p).collect()}
-    assert set(h) == {"a", "b"}
-    assert np.allclose(h["b"].coef, [1.0, 2.0, 0.0, -1.0, 0.5], atol=1e-3)
-    assert h["b"].n_rows == 300
+
+def test_ridge_on_hard_groups(spark):
+    """Constant features, one row, constant target, strong collinearity: as numpy solves them."""
+    rng = np.random.default_rng(5)
+    groups = {"constant": (np.zeros((9, 5)), rng.random(9)), "single": (rng.random((1, 5)), np.array([4.0])),
+              "flat": (rng.random((7, 5)), np.full(7, 3.0)), "collinear": (np.repeat(rng.random((30, 1)), 5, axis=1), rng.random(30))}
+    cols = [f"{f}_norm" for f in Params().features]
+    df = spark.createDataFrame(pd.concat([pd.DataFrame(X, columns=cols).assign(model_key=k, y=y) for k, (X, y) in groups.items()]))
+    got = {r.model_key: r for r in md.fit_ridge(df).collect()}
+    for k, (X, y) in groups.items():
+        w, b0 = md.ridge_fit(X, y, 0.1)
+        assert np.allclose(got[k].coef, w, atol=1e-9) and abs(got[k].intercept - b0) < 1e-9
+        assert abs(got[k].r2 - md.r2_score(y, X @ w + b0)) < 1e-9
+
+
+def _noisy_frame(spark, sizes):
+    rng = np.random.default_rng(7)
+    frames = []
+    for k, n in sizes.items():
+        X = rng.random((n, 5))
+        y = np.floor(np.abs(X @ np.array([1.0, 2.0, 0.0, -1.0, 0.5]) * 4 + rng.normal(0, 2, n)))
+        frames.append(pd.DataFrame(X, columns=[f"{f}_norm" for f in Params().features]).assign(model_key=k, y=y))
+    return spark.createDataFrame(pd.concat(frames))
+
+
+def test_one_chunk_and_many_give_the_same_models(spark):
+    """At the default epsilon: each model from one task, and from rounds over 1 to 50 chunks."""
+    df = _noisy_frame(spark, {"small": 20, "middle": 260, "large": 1000})
+    one = {r.model_key: r for r in md.fit_huber(df).collect()}
+    many = {r.model_key: r for r in md.fit_huber(df.repartition(9), Params(rows_per_chunk=20)).collect()}
+    assert set(one) == set(many) == {"small", "middle", "large"}
+    for k, a in one.items():
+        b = many[k]
+        assert a.converged and b.converged and a.n_rows == b.n_rows
+        assert np.allclose(a.coef, b.coef, atol=1e-8) and abs(a.intercept - b.intercept) < 1e-8 and abs(a.scale - b.scale) < 1e-8
+        assert abs(a.objective - b.objective) <= 1e-9 * a.objective
+    for p, m in ((Params(), one), (Params(rows_per_chunk=20), many)):
+        models = spark.createDataFrame(list(m.values()))
+        for r in md.certificate(df, models, p).collect():
+            assert -1e-8 <= r.gap / (1 + r.objective) <= 1e-5 and abs(r.objective - m[r.model_key].objective) <= 1e-9 * r.objective
+
+
+def test_certificate_tells_a_worse_model(spark):
+    df = _noisy_frame(spark, {"a": 200, "b": 12})
+    models = md.fit_huber(df)
+    worse = models.withColumn("intercept", F.col("intercept") + 0.05)
+    good = {r.model_key: r for r in md.certificate(df, models).collect()}
+    bad = {r.model_key: r for r in md.certificate(df, worse).collect()}
+    for k in good:
+        assert bad[k].gap > 1e-3 > 100 * good[k].gap
+        assert abs((bad[k].objective - good[k].objective) - (bad[k].gap - good[k].gap)) < 1e-9
+
+
+def test_a_model_that_does_not_converge_stops_no_other(spark):
+    df = _noisy_frame(spark, {"a": 200, "b": 12})
+    for chunk in (1000, 30):
+        p = Params(huber_max_iter=5, rows_per_chunk=chunk)
+        m = md.fit_huber(df, p)
+        assert {r.model_key: r.converged for r in m.collect()} == {"a": False, "b": False}
+        assert md.score(df, m, p).count() == 0
 
 
 def test_model_selector_falls_back_to_huber(spark):

@@ -4,13 +4,10 @@ import os
 import subprocess
 import sys
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from dosecast.operators import components as co
 from dosecast.operators import geometry as ge
-from dosecast.operators import models as md
 from dosecast.operators import rules as ru
 from dosecast.operators import windows as wn
 from dosecast.params import Params
@@ -81,17 +78,3 @@ def test_release_deletes_what_was_materialized(spark):
     path = df.inputFiles()[0].removeprefix("file://")
     assert df.count() == 3 and os.path.exists(path)
     assert release(spark) >= 1 and not os.path.exists(path)
-
-
-def test_noisy_group_by_both_paths(spark):
-    """The distributed path ends at the in-task solver's objective on noisy rows."""
-    rng = np.random.default_rng(7)
-    X = rng.random((120, 5))
-    y = X @ np.array([1.0, 2.0, 0.0, -1.0, 0.5]) + 3 + rng.normal(0, 1, 120)
-    cols = [f"{f}_norm" for f in Params().features]
-    df = spark.createDataFrame(pd.DataFrame(X, columns=cols).assign(model_key="k", y=y))
-    p = Params(huber_epsilon=1.35, huber_tol=1e-5)
-    one = md.fit_huber(df, p).first()
-    many = md.fit_huber_distributed(df, p).first()
-    assert abs(one.objective - many.objective) <= 1e-5 * one.objective
-    assert np.allclose(one.coef, many.coef, atol=1e-2) and abs(one.scale - many.scale) <= 1e-2 * one.scale

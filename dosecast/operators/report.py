@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dosecast.operators.quantiles import quantiles, with_quantiles
 from dosecast.params import DEFAULT, Params
+from dosecast.session import materialize
 
 
 def long_metrics(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
@@ -19,30 +21,25 @@ def long_metrics(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame
 
 
 def describe(df: DataFrame, by: list[str]) -> DataFrame:
-    """Count, mean, sample std, min, exact linear quartiles, max per group.
-
-    ``percentile`` keeps a value->count map per group, so its memory is the
-    number of distinct values (small for dose errors), not the group size.
-    """
+    """Count, mean, sample std, min, exact linear quartiles, max per group, whatever the group's size."""
     v = F.col("value")
-    return df.groupBy(*by).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.percentile(v, 0.25).alias("q25"), F.percentile(v, 0.5).alias("q50"),
-        F.percentile(v, 0.75).alias("q75"), F.max(v).alias("max"))
+    g = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                            F.min(v).alias("min"), F.max(v).alias("max"))
+    q = quantiles(df, by, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return with_quantiles(g, q, by).select(*by, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def box_stats(df: DataFrame, by: list[str]) -> DataFrame:
     """Quartiles, mean, 1.5 IQR whiskers (most extreme points inside) and outlier count."""
     v = F.col("value")
-    q = df.groupBy(*by).agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
-                            F.percentile(v, 0.75).alias("q3"), F.avg(v).alias("mean"))
-    q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = df.join(q.select(*by, "lo_fence", "hi_fence"), by)
+    q = materialize(quantiles(df, by, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}), "box_quartiles")
+    fences = q.select(*by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
+                      (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
+    j = with_quantiles(df.select(*by, "value"), fences, by)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    w = j.groupBy(*by).agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-                           F.count(F.when(~inside, 1)).alias("n_outliers"))
-    return q.join(w, by).drop("lo_fence", "hi_fence")
+    w = j.groupBy(*by).agg(F.avg(v).alias("mean"), F.min(F.when(inside, v)).alias("whisker_lo"),
+                           F.max(F.when(inside, v)).alias("whisker_hi"), F.count(F.when(~inside, 1)).alias("n_outliers"))
+    return with_quantiles(w, q, by).select(*by, "q1", "median", "q3", "mean", "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def strict_keep(p: Params = DEFAULT) -> dict:
@@ -111,10 +108,10 @@ def ratio_outliers(res: DataFrame) -> DataFrame:
 
 
 def score_histogram(scores: DataFrame, col: str = "y_predict", bins: int = 10) -> DataFrame:
-    """Equal-width histogram of the non-negative scores (bounds as scalar subqueries)."""
+    """Equal-width histogram of the non-negative scores (the bounds are one row of one aggregation)."""
     s = scores.where(F.col(col) >= 0)
-    lo = s.select(F.min(col)).scalar()
-    hi = s.select(F.max(col)).scalar()
+    bounds = s.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("b")).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = F.when(hi > lo, (hi - lo) / bins).otherwise(F.lit(1.0))
     b = F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1)).cast("int")
     return s.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"),

@@ -26,8 +26,12 @@ size; classes link when their sets' similarity reaches the threshold.
    in which it has candidates, not once to each pair.  Blocks hold about
    ``BLOCK`` shingles.
 
-All links between different sets are found (``links``); rows of a class are not
-expanded into pairs.
+``Join.links`` gives all links between different sets; rows of a class are not
+expanded into pairs.  Components (``digest``) need fewer: a group of g near copies
+has up to g * g / 2 links.  ``Join.connecting`` verifies pairs of neighbours among each
+shingle's rows first, in number as the rows, and then every candidate pair
+whose classes are not connected yet, so no link between components is lost and
+none within one is looked for twice.
 
 Defined cases: a text of fewer words than a shingle has one, the whole
 sequence; null and empty texts have none, link with nothing and are a component
@@ -198,28 +202,56 @@ def _differ(a: str, b: str) -> Column:
     return total
 
 
-def candidates(prefix: DataFrame, nodes: DataFrame, percent: int = PERCENT, dense: int = DENSE) -> DataFrame:
-    """Pairs (a, b) of classes, a < b, that share a prefix shingle and pass the filters; each once."""
+def shared_rows(prefix: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Prefix rows of shingles that two classes share, once for each class, with ``_ranges`` and the class's shared
+    shingles before (before1, before2): a written table."""
     shared = prefix.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(
         F.col("lo") < F.col("hi")).select("key")
     rows = prefix.join(shared, "key", "left_semi").distinct()
     rows = rows.join(nodes.select("node", "r0", "r1", "r2", "r3"), "node")
     by = Window.partitionBy("node").orderBy("pos")
-    rows = materialize(rows.withColumn("before1", F.lag("key", 1).over(by)).withColumn("before2", F.lag("key", 2).over(by)), "ngram_rows")
-    left, right = dealt(rows, "key", "node", dense)
-    a, b = left.alias("a"), right.alias("b")
+    return materialize(rows.withColumn("before1", F.lag("key", 1).over(by)).withColumn("before2", F.lag("key", 2).over(by)), "ngram_rows")
+
+
+def _filters(percent: int) -> Column:
+    """Length, position and suffix filter of a match of rows a and b."""
     need_ = needed(F.col("a.n"), F.col("b.n"), percent)
     rest = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
+    return ((100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) & (rest >= need_)
+            & (_differ("a", "b") <= F.col("a.n") + F.col("b.n") - 2 * need_))
+
+
+def neighbours(rows: DataFrame, percent: int = PERCENT, dense: int = DENSE) -> DataFrame:
+    """Candidate pairs (a, b) of a shingle's rows that are next to each other by size, and in a random order: in
+    number as the rows.  A shingle with more than ``dense`` rows is cut into parts."""
+    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / dense).cast("long").alias("parts")).where("parts > 1")
+    r = rows.join(parts, "key", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
+    row = F.struct("node", "n", "pos", "r0", "r1", "r2", "r3")
+    found = []
+    for order in (["n", "node"], [F.xxhash64("node", "key")]):
+        next_ = F.lead(row).over(Window.partitionBy("key", "part").orderBy(*order))
+        pair = r.select(row.alias("a"), next_.alias("b")).where(F.col("b").isNotNull() & _filters(percent))
+        found.append(pair.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")))
+    return found[0].unionByName(found[1]).distinct()
+
+
+def candidates(rows: DataFrame, percent: int = PERCENT, dense: int = DENSE, labels: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of classes, a < b, that share a prefix shingle and pass the filters; each once.  With ``labels``
+    (node, label; others are labelled by themselves): only pairs of different labels."""
+    if labels is not None:
+        rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        open_ = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
+        rows = materialize(rows.join(open_, "key", "left_semi"), "ngram_open")
+    left, right = dealt(rows, "key", "node", dense)
+    a, b = left.alias("a"), right.alias("b")
     met = F.lit(False)
     for i in (1, 2):
         for j in (1, 2):
             met = met | F.coalesce(F.col(f"a.before{i}") == F.col(f"b.before{j}"), F.lit(False))
     on = ((F.col("a.key") == F.col("b.key")) & (F.col("a.cell_r") == F.col("b.cell_r")) & (F.col("a.cell_c") == F.col("b.cell_c"))
-          & (F.col("a.node") < F.col("b.node"))
-          & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))            # length
-          & (rest >= need_)                                                                # position
-          & ~met
-          & (_differ("a", "b") <= F.col("a.n") + F.col("b.n") - 2 * need_))                # suffix
+          & (F.col("a.node") < F.col("b.node")) & ~met & _filters(percent))
+    if labels is not None:
+        on = on & (F.col("a.label") != F.col("b.label"))
     return a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
@@ -285,9 +317,10 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
 
 class Join:
     """``rows``: doc_id, row1, row2, n, node of each row; ``nodes``: classes with node, n, copies, row1, row2 (of one of
-    its rows); ``links``: all pairs (a, b) of classes that link."""
+    its rows); ``shared``: the prefix rows that can match."""
 
     def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT):
+        self.docs, self.shingle, self.percent = docs, shingle, percent
         found = materialize(class_table(docs, shingle), "ngram_classes")
         self.rows = found.where(F.col("bucket").isNull()).drop("bucket", "seen")
         own = self.rows.where("n > 0").groupBy("node").agg(
@@ -295,29 +328,45 @@ class Join:
             F.count(F.lit(1)).alias("copies"), F.min(F.struct(*ROW)).alias("row"))
         self.nodes = materialize(own.select("*", "row.*").drop("row"), "ngram_nodes")
         prefix = materialize(prefixes(docs, bucket_counts(found), shingle, percent), "ngram_prefixes")
-        pairs = materialize(candidates(prefix, self.nodes, percent), "ngram_pairs")
-        self.links = materialize(verified(docs, self.nodes, pairs, shingle, percent), "ngram_links")
+        self.shared = shared_rows(prefix, self.nodes)
 
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        return materialize(verified(self.docs, self.nodes, pairs, self.shingle, self.percent), "ngram_links")
 
-def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Join:
-    return Join(docs, shingle, percent)
+    def links(self) -> DataFrame:
+        """All pairs (a, b) of classes that link: their number can be the square of a group's."""
+        return self._verified(materialize(candidates(self.shared, self.percent), "ngram_pairs"))
+
+    def connecting(self) -> DataFrame:
+        """Links that give the same components as all of them.  Neighbours among a shingle's rows are verified
+        first; then all candidates whose classes are not connected by those.  No other link can join two components."""
+        near = materialize(neighbours(self.shared, self.percent), "ngram_near")
+        first = self._verified(near)
+        rest = candidates(self.shared, self.percent, labels=components(first)).join(near, ["a", "b"], "left_anti")
+        return first.unionByName(self._verified(materialize(rest, "ngram_pairs")))
 
 
 def digest(join: Join) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (rows that a row links with, its copies included) of each row."""
-    both = join.links.unionByName(join.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(join.nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    labelled = (join.nodes.select("node", "copies").join(others.withColumnRenamed("a", "node"), "node", "left")
-                .join(components(join.links), "node", "left")
-                .select("node", F.coalesce("label", "node").alias("label"),
-                        (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    """doc_id, n_shingles, component_id of each row."""
+    labelled = (join.nodes.select("node").join(components(join.connecting()), "node", "left")
+                .select("node", F.coalesce("label", "node").alias("label")))
     first = join.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     labelled = labelled.join(first, "node")
     named = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_node = materialize(labelled.join(named, "label").select("node", "component_id", "n_links"), "ngram_components")
+    by_node = materialize(labelled.join(named, "label").select("node", "component_id"), "ngram_components")
     alone = F.col("n") == 0
     # Rows without words are kept apart from the classes, by a key that no class has.
     rows = join.rows.select("doc_id", "n", F.when(~alone, F.col("node")).alias("node"))
     return rows.join(by_node, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def counted(join: Join) -> DataFrame:
+    """doc_id, n_links of each row: the rows that it links with, those of its own class included."""
+    links = join.links()
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(join.nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    n = join.nodes.join(others.withColumnRenamed("a", "node"), "node", "left").select(
+        "node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    rows = join.rows.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    return rows.join(n, "node", "left").select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

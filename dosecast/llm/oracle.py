@@ -127,10 +127,9 @@ common as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh
 link as (
   select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
 reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join link l on l.a = r.b),
-comp as (select a, min(b) as component_id from reach group by 1),
-degree as (select a, count(*) as n_links from link group by 1)
-select d.doc_id, coalesce(size.n, 0)::bigint as n_shingles, comp.component_id, coalesce(degree.n_links, 0)::bigint as n_links
-from documents d left join size using (doc_id) left join comp on comp.a = d.doc_id left join degree on degree.a = d.doc_id"""
+comp as (select a, min(b) as component_id from reach group by 1)
+select d.doc_id, coalesce(size.n, 0)::bigint as n_shingles, comp.component_id
+from documents d left join size using (doc_id) left join comp on comp.a = d.doc_id"""
 
 # CRC-32 of a list of bytes, by its table.
 _CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end))"

@@ -68,7 +68,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.digest(ngram_join.links(read_table(spark, sf_dir, "documents")))
+    return ngram_join.digest(ngram_join.Join(read_table(spark, sf_dir, "documents")))
 
 
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

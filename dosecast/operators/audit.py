@@ -7,29 +7,34 @@ from pyspark.sql import functions as F
 
 
 def join_audit(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """One full outer join yields the row counts of every join type.
+    """The row counts of every join type from one pass over each side.
 
+    The keys of both sides are tagged, united and counted by key (combined map-side, so a key with a
+    third of all rows is one row); a key with l and r rows has l * r joined rows.  Null keys join nothing.
     ``row_rule_ok`` applies the reference's rule for ``how``: a left (right)
     join keeps the left (right) row count, an inner join is no larger than
     either side, a cross join has left x right rows.
     """
-    lk = left.select(*keys).withColumn("_l", F.lit(1))
-    rk = right.select(*keys).withColumn("_r", F.lit(1))
-    j = lk.join(rk, keys, "full")
-    n_left = left.select(F.count(F.lit(1))).scalar()
-    n_right = right.select(F.count(F.lit(1))).scalar()
-    both = F.count_if(F.col("_l").isNotNull() & F.col("_r").isNotNull())
-    a = j.agg(both.alias("both_sides"),
-              F.count_if(F.col("_r").isNull()).alias("left_only"),
-              F.count_if(F.col("_l").isNull()).alias("right_only"))
-    a = a.select("*", n_left.alias("left_rows"), n_right.alias("right_rows"))
+    tagged = [df.select(*keys, F.lit(l).alias("_l"), F.lit(1 - l).alias("_r")) for df, l in ((left, 1), (right, 0))]
+    by_key = tagged[0].unionByName(tagged[1]).groupBy(*keys).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    joins = F.lit(True)
+    for k in keys:
+        joins = joins & F.col(k).isNotNull()
+    r, l = F.when(joins, F.col("r")).otherwise(0), F.when(joins, F.col("l")).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    a = by_key.agg(total(F.when(joins, F.col("l") * F.col("r")).otherwise(0)).alias("both_sides"),
+                   total(F.when(r == 0, F.col("l")).otherwise(0)).alias("left_only"),
+                   total(F.when(l == 0, F.col("r")).otherwise(0)).alias("right_only"),
+                   total(F.col("l")).alias("left_rows"), total(F.col("r")).alias("right_rows"))
     a = a.withColumns({"left_join_rows": F.col("both_sides") + F.col("left_only"),
                        "right_join_rows": F.col("both_sides") + F.col("right_only"),
-                       "outer_join_rows": F.col("both_sides") + F.col("left_only") + F.col("right_only")})
+                       "outer_join_rows": F.col("both_sides") + F.col("left_only") + F.col("right_only"),
+                       "cross_join_rows": F.col("left_rows").cast("decimal(38,0)") * F.col("right_rows")})
     rule = {"left": F.col("left_join_rows") == F.col("left_rows"),
             "right": F.col("right_join_rows") == F.col("right_rows"),
             "inner": (F.col("both_sides") <= F.col("left_rows")) & (F.col("both_sides") <= F.col("right_rows")),
-            "outer": F.col("outer_join_rows") >= F.greatest("left_rows", "right_rows")}[how]
+            "outer": F.col("outer_join_rows") >= F.greatest("left_rows", "right_rows"),
+            "cross": F.col("cross_join_rows") == F.col("left_rows").cast("decimal(38,0)") * F.col("right_rows")}[how]
     return a.withColumn("how", F.lit(how)).withColumn("row_rule_ok", rule)
 
 

@@ -96,7 +96,7 @@ class WindowedBackTest:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return materialize(pn.eligible(pn.build_panel(self.inputs), self.p), "eligible")
+        return self.inputs.eligible
 
     @cached_property
     def removal_rows(self) -> DataFrame:

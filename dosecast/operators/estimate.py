@@ -30,7 +30,7 @@ class BackTest:
         deterministic stand-in so the rule stages can be checked exactly;
         ``grouped=False`` gives every pair its own model (M9)."""
         self.t, self.p, self.model, self.predictions, self.grouped = t, p, model, predictions, grouped
-        self.inputs = pn.Inputs(t, p)
+        self.inputs = pn.Inputs.shared(t, p)
 
     @cached_property
     def panel(self) -> DataFrame:
@@ -38,9 +38,7 @@ class BackTest:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        # consumed by pairs, training rows, test rows, profiles and the
-        # all-pair rule: computed once, read by every branch
-        return materialize(pn.eligible(self.panel, self.p), "eligible")
+        return self.inputs.eligible
 
     @cached_property
     def removal_rows(self) -> DataFrame:

@@ -224,8 +224,8 @@ def snap_points(pts: DataFrame, targets: DataFrame, radius: float = SNAP_RADIUS)
     j = p.join(t, ["tile", "cx", "cy"])
     d = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2)
     j = j.withColumn("d", d).where(F.col("d") < radius)
-    w = Window.partitionBy("tile", "id").orderBy("d", "tx", "ty")
-    best = j.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("tile", "id", "tx", "ty", "d")
+    # the least struct: combined map-side, no sort of a point's candidates
+    best = j.groupBy("tile", "id").agg(F.min(F.struct("d", "tx", "ty")).alias("near")).select("tile", "id", "near.tx", "near.ty")
     out = pts.join(best, ["tile", "id"], "left")
     return out.select("tile", "id", "x", "y",
                       F.coalesce(F.col("tx"), F.col("x")).alias("adj_x"),

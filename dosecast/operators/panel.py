@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from dosecast.functions.months import mi_of, mi_of_yyyymm
 from dosecast.operators import extract as ex
 from dosecast.operators.extract import PAIR, PAIR4
 from dosecast.params import DEFAULT, Params
+from dosecast.session import SHARED, materialize_all, materialize_by
 from dosecast.sources import fixtures as fx
 from dosecast.sources.tables import Tables
 
@@ -83,12 +86,14 @@ COST_COLS = ["hdp_shardid", "skclientkey", "medid", "unitcost"]
 
 
 class Inputs:
-    """The four extracts and the names of one run, built once and shared.
+    """The extracts and the names of one run, each built when first read, once, and shared.
 
     Like the reference's extraction CTAS tables, the removal transactions,
-    monthly usage, snapshot features and latest costs are materialized once
+    monthly usage, snapshot features and latest costs are materialized
     in the shared checkpoint folder: each feeds several branches (removals
-    and both name tables; the panel and the test-month features).
+    and both name tables; the panel and the test-month features).  Usage,
+    snapshots and removals have one row for each pair and month and are bucketed by
+    pair, so joining them, and everything by pair on the panel, needs no shuffle.
     ``materialize=False`` keeps everything lazy.
     """
 
@@ -99,6 +104,14 @@ class Inputs:
                     "snap": lambda: snap_features(fx.snap(t)),
                     "cost": lambda: ex.latest_cost(t).select(*COST_COLS)}, p, materialize)
 
+    @classmethod
+    def shared(cls, t: Tables, p: Params = DEFAULT) -> Inputs:
+        """One instance for all queries of an application over one folder, until ``session.release``."""
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, p)
+        if key not in SHARED:
+            SHARED[key] = cls(t, p)
+        return SHARED[key]
+
     @classmethod
     def from_frames(cls, tx: DataFrame, usage: DataFrame, snap: DataFrame, cost: DataFrame, p: Params = DEFAULT,
                     materialize: bool = True, med_names: DataFrame | None = None,
@@ -120,16 +133,58 @@ class Inputs:
         return i
 
     def _load(self, parts: dict, p: Params, materialize: bool) -> None:
-        from dosecast.session import materialize_all
-        self.p = p
-        if materialize:
-            parts = materialize_all(parts)   # four independent jobs, built and run concurrently
+        self.p, self._parts, self._materialize, self._built = p, parts, materialize, {}
+
+    def build(self, *names: str) -> list[DataFrame]:
+        """The named extracts; those not there yet are built as concurrent jobs."""
+        new = {n: self._parts[n] for n in names if n not in self._built}
+        if self._materialize:
+            self._built |= materialize_all(new, {n: PAIR for n in ("usage", "snap")})
         else:
-            parts = {k: f() for k, f in parts.items()}
-        self.rtx, self.usage, self.snap, self.cost = parts["rtx"], parts["usage"], parts["snap"], parts["cost"]
-        self.removals = ex.monthly_removals(self.rtx, p)
-        self.med_names = latest_med_name(self.rtx)
-        self.device_names = latest_device_name(self.rtx)
+            self._built |= {n: f() for n, f in new.items()}
+        return [self._built[n] for n in names]
+
+    @property
+    def rtx(self) -> DataFrame:
+        return self.build("rtx")[0]
+
+    @property
+    def usage(self) -> DataFrame:
+        return self.build("usage")[0]
+
+    @property
+    def snap(self) -> DataFrame:
+        return self.build("snap")[0]
+
+    @property
+    def cost(self) -> DataFrame:
+        return self.build("cost")[0]
+
+    @cached_property
+    def removals(self) -> DataFrame:
+        r = ex.monthly_removals(self.rtx, self.p)
+        return materialize_by(r, PAIR, "removals") if self._materialize else r
+
+    @cached_property
+    def med_names(self) -> DataFrame:
+        return latest_med_name(self.rtx)
+
+    @cached_property
+    def device_names(self) -> DataFrame:
+        return latest_device_name(self.rtx)
+
+    @cached_property
+    def eligible(self) -> DataFrame:
+        """F12 on the panel: read by pairs, training rows, test rows, profiles and the all-pair rule."""
+        e = eligible(build_panel(self), self.p)
+        return materialize_by(e, PAIR, "eligible") if self._materialize else e
+
+
+def pair_months(i: Inputs) -> DataFrame:
+    """Snapshots with the usage and removals of their pair and month: all three are bucketed by pair."""
+    u = i.usage.select(*KEY5, "avgdailyusage30", "usage100")
+    r = i.removals.select(*KEY5, "transactionquantity", "actualbegincount")
+    return i.snap.select(*SNAP_COLS).join(u, KEY5, "left").join(r, KEY5, "left")
 
 
 def build_panel(i: Inputs) -> DataFrame:
@@ -138,12 +193,9 @@ def build_panel(i: Inputs) -> DataFrame:
     All joins are left joins on keys that are unique on the right, so the
     panel keeps the snapshot's grain; 4 numeric columns are filled with 0.
     """
-    u = i.usage.select(*KEY5, "avgdailyusage30", "usage100")
-    r = i.removals.select(*KEY5, "transactionquantity", "actualbegincount")
-    j = (i.snap.select(*SNAP_COLS)
-         .join(u, KEY5, "left")
+    i.build("rtx", "usage", "snap", "cost")
+    j = (pair_months(i)
          .join(i.cost, ["hdp_shardid", "skclientkey", "medid"], "left")
-         .join(r, KEY5, "left")
          .join(i.med_names, ["skclientkey", "medid"], "left")
          .join(i.device_names, ["skclientkey", "device_naturalkey"], "left"))
     return (j.fillna(0, subset=["avgdailyusage30", "usage100", "unitcost", "transactionquantity"])

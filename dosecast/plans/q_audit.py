@@ -17,9 +17,9 @@ P = DEFAULT
 
 
 @register("join_audit", """both_sides:l left_only:l right_only:l left_rows:l right_rows:l left_join_rows:l right_join_rows:l
-outer_join_rows:l how:s row_rule_ok:b""", """
+outer_join_rows:l cross_join_rows:l how:s row_rule_ok:b""", """
 select both_sides, left_only, right_only, left_rows, right_rows, both_sides + left_only as left_join_rows,
-       both_sides + right_only as right_join_rows, both_sides + left_only + right_only as outer_join_rows, 'left' as how,
+       both_sides + right_only as right_join_rows, both_sides + left_only + right_only as outer_join_rows, left_rows * right_rows as cross_join_rows, 'left' as how,
        both_sides + left_only = left_rows as row_rule_ok
 from (select count_if(l.m is not null and r.m is not null) as both_sides, count_if(r.m is null) as left_only,
              count_if(l.m is null) as right_only,
@@ -29,7 +29,7 @@ from (select count_if(l.m is not null and r.m is not null) as both_sides, count_
       using (hdp_shardid, skclientkey, medid, device_naturalkey, month))""")
 def q_join_audit(t):
     """J16 on the panel's snapshot-usage join."""
-    i = pn.Inputs(t, P)
+    i = pn.Inputs.shared(t, P)
     return au.join_audit(i.snap.select(*KEY5), i.usage.select(*KEY5), KEY5, "left")
 
 

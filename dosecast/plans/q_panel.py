@@ -17,7 +17,7 @@ any_expiry_removal:b"""
 
 
 def panel_of(t):
-    return pn.build_panel(pn.Inputs(t, P))
+    return pn.build_panel(pn.Inputs.shared(t, P))
 
 
 @register("derived_columns", KEYS + " dispensingdevicename:s avgdailyusage30:d usage100:l",
@@ -121,7 +121,7 @@ left join snap_feat s on s.hdp_shardid = r.hdp_shardid and s.skclientkey = r.skc
 @register("tx_panel", TXP_SPEC, "select * from tx_panel", TXP_VIEW)
 def q_tx_panel(t):
     """Transaction-driven panel."""
-    return pn.tx_panel(pn.Inputs(t, P))
+    return pn.tx_panel(pn.Inputs.shared(t, P))
 
 
 @register("drop_null_inv", TXP_SPEC, """
@@ -133,7 +133,7 @@ select * from tx_panel where hdp_shardid is not null and skclientkey is not null
   and devicetypekey is not null and meditemflag is not null""", TXP_VIEW)
 def q_drop_null_inv(t):
     """F16: rows without nulls in the model columns."""
-    return pn.drop_null_inv(pn.tx_panel(pn.Inputs(t, P)))[0]
+    return pn.drop_null_inv(pn.tx_panel(pn.Inputs.shared(t, P)))[0]
 
 
 @register("null_inventory_report",
@@ -142,7 +142,7 @@ select skclientkey, medid, device_naturalkey, month, transactionquantity, invent
 from tx_panel where inventoryquantity is null""", TXP_VIEW)
 def q_null_inv_report(t):
     """F16: report of rows with a null inventory."""
-    return pn.drop_null_inv(pn.tx_panel(pn.Inputs(t, P)))[1]
+    return pn.drop_null_inv(pn.tx_panel(pn.Inputs.shared(t, P)))[1]
 
 
 LMS_VIEW = {"last_status": f"""
@@ -166,7 +166,7 @@ join last_status s on s.hdp_shardid = p.hdp_shardid and s.skclientkey = p.skclie
 where s.isinactive <> 1""", {**TXP_VIEW, **LMS_VIEW})
 def q_not_unloaded(t):
     """Transaction panel rows of pairs not unloaded in their last training month."""
-    i = pn.Inputs(t, P)
+    i = pn.Inputs.shared(t, P)
     return pn.not_unloaded(pn.tx_panel(i), i.snap, P.train_start, P.window_months)
 
 

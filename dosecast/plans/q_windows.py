@@ -112,7 +112,7 @@ TRES_SPEC = WRES_SPEC.replace(" source:s", "")
 
 def back_test(t, **kw) -> bk.WindowedBackTest:
     windows = wn.training_months(ex.monthly_usage(t), P.window_months)
-    return bk.WindowedBackTest(pn.Inputs(t, P), windows, P, **kw)
+    return bk.WindowedBackTest(pn.Inputs.shared(t, P), windows, P, **kw)
 
 
 def stand_in(t) -> bk.WindowedBackTest:

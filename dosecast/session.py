@@ -9,8 +9,11 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
-# Paths of materialized tables by application, for ``release``.
+# Paths of materialized tables by application, and the names of those in the catalog, for ``release``.
 _WRITTEN: dict[str, list[str]] = {}
+_NAMED: dict[str, list[str]] = {}
+# Frames over materialized tables that queries of one application share; forgotten by ``release``.
+SHARED: dict[tuple, object] = {}
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
@@ -103,6 +106,22 @@ def materialize(df, name: str = "table", observe=None):
     return spark.read.parquet(path)
 
 
+def materialize_by(df, keys: list[str], name: str = "table"):
+    """``materialize`` as a table bucketed and sorted by ``keys``: joins, aggregations and windows by these keys (or
+    more) read it without a shuffle.  For tables in which no key holds many rows."""
+    import uuid
+    spark = df.sparkSession
+    # A join on more keys than the buckets' is co-partitioned too.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    table = f"dosecast_{name}_{uuid.uuid4().hex}"
+    path, n = scratch_path(spark, table), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, *keys).write.format("parquet").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(table))
+    app = spark.sparkContext.applicationId
+    _WRITTEN.setdefault(app, []).append(path)
+    _NAMED.setdefault(app, []).append(table)
+    return spark.table(table)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables that ``materialize`` has written in this application; how many there were.
 
@@ -110,6 +129,9 @@ def release(spark: SparkSession) -> int:
     are kept until then, because a DataFrame may still read them.
     """
     jvm = spark.sparkContext._jvm
+    SHARED.clear()
+    for table in _NAMED.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {table}")
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -117,8 +139,8 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
-def materialize_all(dfs: dict) -> dict:
-    """Materialize independent DataFrames as concurrent Spark jobs.
+def materialize_all(dfs: dict, by: dict[str, list[str]] | None = None) -> dict:
+    """Materialize independent DataFrames as concurrent Spark jobs; those named in ``by`` bucketed by these keys.
 
     The jobs share nothing, so submitting them from driver threads lets the
     scheduler overlap their stages instead of running them back to back.
@@ -130,7 +152,8 @@ def materialize_all(dfs: dict) -> dict:
         return {}
 
     def run(k, v):
-        return materialize(v() if callable(v) else v, k)
+        df = v() if callable(v) else v
+        return materialize_by(df, by[k], k) if by and k in by else materialize(df, k)
 
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
         futs = {k: pool.submit(run, k, v) for k, v in dfs.items()}

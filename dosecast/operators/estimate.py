@@ -16,6 +16,7 @@ from dosecast.operators import panel as pn
 from dosecast.operators import rules as ru
 from dosecast.operators import windows as wn
 from dosecast.operators.extract import PAIR
+from dosecast.operators.features import FeatureSet
 from dosecast.params import DEFAULT, Params
 from dosecast.session import materialize
 from dosecast.sources import fixtures as fx
@@ -25,12 +26,14 @@ from dosecast.functions.months import brand_no
 
 class BackTest:
     def __init__(self, t: Tables, p: Params = DEFAULT, model: str = "LR", predictions: str = "model",
-                 grouped: bool = True):
+                 grouped: bool = True, features: FeatureSet | None = None):
         """``predictions='stand_in'`` replaces model scores by the fixture's
         deterministic stand-in so the rule stages can be checked exactly;
-        ``grouped=False`` gives every pair its own model (M9)."""
-        self.t, self.p, self.model, self.predictions, self.grouped = t, p, model, predictions, grouped
+        ``grouped=False`` gives every pair its own model (M9); ``features``
+        replaces the numeric feature list of ``p``."""
         self.inputs = pn.Inputs.shared(t, p)
+        self.features = features or FeatureSet(p.features)
+        self.t, self.p, self.model, self.predictions, self.grouped = t, self.features.params(p), model, predictions, grouped
 
     @cached_property
     def panel(self) -> DataFrame:
@@ -42,7 +45,7 @@ class BackTest:
 
     @cached_property
     def removal_rows(self) -> DataFrame:
-        return pn.removal_panel(self.eligible)
+        return self.features.add(pn.removal_panel(self.eligible))
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -74,8 +77,8 @@ class BackTest:
     @cached_property
     def test(self) -> DataFrame:
         p = self.p
-        return ru.test_features(self.removal_rows, self.inputs.snap, self.inputs.usage, self.assignment,
-                                p.test_month, p)
+        return ru.test_features(self.removal_rows, self.features.add(self.inputs.snap), self.inputs.usage, self.assignment,
+                                p.test_month, p, self.features.names)
 
     @cached_property
     def scored(self) -> DataFrame:

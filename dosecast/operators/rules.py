@@ -12,8 +12,8 @@ from dosecast.params import DEFAULT, Params
 
 
 def test_features(rem: DataFrame, snap: DataFrame, usage: DataFrame, assign: DataFrame,
-                  test_month: int, p: Params = DEFAULT) -> DataFrame:
-    """Features of every trained pair in the test month.
+                  test_month: int, p: Params = DEFAULT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Features of every trained pair in the test month; ``carry`` columns come along.
 
     A removal row of the month wins; otherwise the snapshot row with usage
     (zero when missing) and target 0; a pair with neither stays unscored.
@@ -22,14 +22,14 @@ def test_features(rem: DataFrame, snap: DataFrame, usage: DataFrame, assign: Dat
     a = assign.select(*PAIR4, "model_key", "months_w_removals")
     feats = [F.col(f).cast("double").alias(f) for f in p.features]
     r = (rem.where(F.col("month") == test_month).join(a, PAIR4)
-            .select("model_key", *PAIR4, "month", "months_w_removals", *feats,
+            .select("model_key", *PAIR4, "month", "months_w_removals", *carry, *feats,
                     F.col("transactionquantity").alias("y"), F.lit("removal").alias("source")))
     u = usage.where(F.col("month") == test_month).select(*PAIR4, "usage100")
     s = (snap.where(F.col("month") == test_month).join(a, PAIR4)
              .join(r.select(*PAIR4), PAIR4, "left_anti")
              .join(u, PAIR4, "left")
              .fillna(0, subset=["usage100"])
-             .select("model_key", *PAIR4, "month", "months_w_removals", *feats,
+             .select("model_key", *PAIR4, "month", "months_w_removals", *carry, *feats,
                      F.lit(0.0).alias("y"), F.lit("snapshot").alias("source")))
     return r.unionByName(s)
 
@@ -60,13 +60,17 @@ def modified_predictions(res: DataFrame, p: Params = DEFAULT, cutoff: DataFrame
 
 
 def dashboard_estimate(res: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Baseline floor(45 % of inventory) when 0 <= dist_eed <= 120, else 0."""
-    d = F.col("dist_eed")
-    dash = F.when((d <= p.baseline_days) & (d >= 0),
-                  F.floor(F.lit(p.baseline_pct) * F.col("inventoryquantity")).cast("double")).otherwise(0.0)
+    """Baseline floor(45 % of inventory) when 0 <= dist_eed <= 120, else 0.  Results without ``dist_eed`` take the
+    category ``dist_eed_120``: 1 within the days (the baseline holds), 2 past the EED (the model's estimate stays)."""
+    if "dist_eed" in res.columns:
+        d = F.col("dist_eed")
+        due, near = (d <= p.baseline_days) & (d >= 0), d <= p.baseline_days
+    else:
+        d = F.col("dist_eed_120")
+        due, near = d == 1, d.isin(1, 2)
+    dash = F.when(due, F.floor(F.lit(p.baseline_pct) * F.col("inventoryquantity")).cast("double")).otherwise(0.0)
     return (res.withColumn("dashboard_estimate", dash)
-               .withColumn("modified_y_predict_120",
-                           F.when(d <= p.baseline_days, F.col("modified_y_predict")).otherwise(0.0))
+               .withColumn("modified_y_predict_120", F.when(near, F.col("modified_y_predict")).otherwise(0.0))
                .withColumn("MSE_Dashboard", (F.col("dashboard_estimate") - F.col("y_df")) ** 2)
                .withColumn("MAE_Dashboard", F.abs(F.col("dashboard_estimate") - F.col("y_df"))))
 

@@ -175,17 +175,6 @@ def grouped_rows(rows: DataFrame, pairs: DataFrame, start: int, months: int = 12
     return w.join(pairs.select(*PAIR, "count"), PAIR)
 
 
-def one_hot(df: DataFrame, cols=("dist_eed_120", "standardstockwithindispensingdeviceflag"),
-            levels=((0, 1, 2), (0, 1))) -> DataFrame:
-    """Fixed-level dummy columns, so training and test rows always have the same
-    columns (dummies built from the data could add or drop one between them)."""
-    out = {}
-    for c, lv in zip(cols, levels):
-        for v in lv:
-            out[f"{c}_{v}"] = (F.col(c) == v).cast("double")
-    return df.withColumns(out)
-
-
 def debug_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
     """T4: a small deterministic subset of pairs for debugging runs (an option, never a default)."""
     return pairs.orderBy(*PAIR).limit(n)

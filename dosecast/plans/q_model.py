@@ -9,6 +9,7 @@ from dosecast.operators import models as md
 from dosecast.operators import panel as pn
 from dosecast.operators import windows as wn
 from dosecast.operators.estimate import BackTest
+from dosecast.operators.features import BY_CATEGORY
 from dosecast.params import DEFAULT
 from dosecast.plans.catalog import register
 
@@ -17,6 +18,39 @@ S, E, T = P.train_start, P.train_end, P.test_month
 FEATS = list(P.features)
 PAIR4_SPEC = "hdp_shardid:l skclientkey:l medid:s device_naturalkey:l"
 
+def feature_views(feats: list[str], of=None, carry: str = "", suffix: str = "") -> dict[str, str]:
+    """Training rows, scaler and test rows of a feature list; ``of(feature, r)`` is a feature on the row named r."""
+    of = of or (lambda f, r: "u.usage100" if (f, r) == ("usage100", "s") else f"{r}.{f}")
+    row = lambda r: ", ".join(f"cast(coalesce({of(f, r)}, 0) as double) as {f}" if (f, r) == ("usage100", "s")
+                              else f"cast({of(f, r)} as double) as {f}" for f in feats)
+    same = lambda r: " and ".join(f"a.{k} = {r}.{k}" for k in ("hdp_shardid", "skclientkey", "medid", "device_naturalkey"))
+    scaled = lambda t: "select x.*, " + ", ".join(
+        f"(x.{f} - s.{f}_min) / case when s.{f}_max - s.{f}_min = 0 then 1.0 else s.{f}_max - s.{f}_min end"
+        f" as {f}_norm" for f in feats) + f" from {t}{suffix} x join scaler_v{suffix} s using (model_key)"
+    keys = lambda r: f"a.model_key, {r}.hdp_shardid, {r}.skclientkey, {r}.medid, {r}.device_naturalkey, {r}.month, a.months_w_removals"
+    more = lambda r: "".join(f", {r}.{c}" for c in carry.split())
+    return {
+        f"train_rows{suffix}": f"""
+select {keys('r')}, {row('r')}, r.transactionquantity as y
+from removal_panel r join assign a on {same('r')} where r.month between {S} and {E}""",
+        f"scaler_v{suffix}": "select model_key, " + ", ".join(f"min({f}) as {f}_min, max({f}) as {f}_max" for f in feats)
+                             + f" from train_rows{suffix} group by model_key",
+        f"train_scaled{suffix}": scaled("train_rows"),
+        f"test_feat{suffix}": f"""
+select {keys('r')}{more('r')}, {row('r')}, r.transactionquantity as y, 'removal' as source
+from removal_panel r join assign a on {same('r')} where r.month = {T}
+union all
+select {keys('s')}{more('s')}, {row('s')}, 0.0, 'snapshot'
+from snap_feat s join assign a on {same('s')}
+left join usage_feat u on u.hdp_shardid = s.hdp_shardid and u.skclientkey = s.skclientkey and u.medid = s.medid
+ and u.device_naturalkey = s.device_naturalkey and u.month = s.month
+where s.month = {T} and not exists (select 1 from removal_panel r where r.month = {T}
+ and r.hdp_shardid = s.hdp_shardid and r.skclientkey = s.skclientkey and r.medid = s.medid
+ and r.device_naturalkey = s.device_naturalkey)""",
+        f"test_scaled{suffix}": scaled("test_feat"),
+    }
+
+
 # Oracle views of the model stage (window 1996-03 .. 1997-02, test 1997-03).
 MV = {
     "pairs_w": f"""
@@ -27,37 +61,7 @@ select *, concat_ws('|', {S}, case when count > 5 then concat_ws('|', 'pair', sk
                                    else concat_ws('|', 'pool', skclientkey, count) end) as model_key,
        case when count > 5 then 'own' else 'pool' end as tier, count as months_w_removals
 from pairs_w where count >= 2""",
-    "train_rows": f"""
-select a.model_key, r.hdp_shardid, r.skclientkey, r.medid, r.device_naturalkey, r.month, a.months_w_removals,
-       {', '.join(f'cast(r.{f} as double) as {f}' for f in FEATS)}, r.transactionquantity as y
-from removal_panel r join assign a on a.hdp_shardid = r.hdp_shardid and a.skclientkey = r.skclientkey
- and a.medid = r.medid and a.device_naturalkey = r.device_naturalkey
-where r.month between {S} and {E}""",
-    "scaler_v": "select model_key, " + ", ".join(f"min({f}) as {f}_min, max({f}) as {f}_max" for f in FEATS)
-                + " from train_rows group by model_key",
-    "train_scaled": "select x.*, " + ", ".join(
-        f"(x.{f} - s.{f}_min) / case when s.{f}_max - s.{f}_min = 0 then 1.0 else s.{f}_max - s.{f}_min end"
-        f" as {f}_norm" for f in FEATS) + " from train_rows x join scaler_v s using (model_key)",
-    "test_feat": f"""
-select a.model_key, r.hdp_shardid, r.skclientkey, r.medid, r.device_naturalkey, r.month, a.months_w_removals,
-       {', '.join(f'cast(r.{f} as double) as {f}' for f in FEATS)}, r.transactionquantity as y, 'removal' as source
-from removal_panel r join assign a on a.hdp_shardid = r.hdp_shardid and a.skclientkey = r.skclientkey
- and a.medid = r.medid and a.device_naturalkey = r.device_naturalkey
-where r.month = {T}
-union all
-select a.model_key, s.hdp_shardid, s.skclientkey, s.medid, s.device_naturalkey, s.month, a.months_w_removals,
-       cast(coalesce(u.usage100, 0) as double), cast(s.inventoryquantity as double), cast(s.dist_eed as double),
-       cast(s.max_par_level as double), cast(s.standardstockwithindispensingdeviceflag as double), 0.0, 'snapshot'
-from snap_feat s join assign a on a.hdp_shardid = s.hdp_shardid and a.skclientkey = s.skclientkey
- and a.medid = s.medid and a.device_naturalkey = s.device_naturalkey
-left join usage_feat u on u.hdp_shardid = s.hdp_shardid and u.skclientkey = s.skclientkey and u.medid = s.medid
- and u.device_naturalkey = s.device_naturalkey and u.month = s.month
-where s.month = {T} and not exists (select 1 from removal_panel r where r.month = {T}
- and r.hdp_shardid = s.hdp_shardid and r.skclientkey = s.skclientkey and r.medid = s.medid
- and r.device_naturalkey = s.device_naturalkey)""",
-    "test_scaled": "select x.*, " + ", ".join(
-        f"(x.{f} - s.{f}_min) / case when s.{f}_max - s.{f}_min = 0 then 1.0 else s.{f}_max - s.{f}_min end"
-        f" as {f}_norm" for f in FEATS) + " from test_feat x join scaler_v s using (model_key)",
+    **feature_views(FEATS),
     "scored_si": """
 select *, cast((device_naturalkey * 3 + cast(substr(medid, 7) as integer) * 7 + month) % 40 - 5 as double)
           as y_predict from test_scaled""",
@@ -265,9 +269,9 @@ MODEL_SPEC = "model_key:s intercept:d scale:d n_rows:l r2:d n_iter:l objective:d
 K = len(FEATS)
 
 
-def ridge_views(train: str) -> dict[str, str]:
+def ridge_views(train: str, feats: list[str] = FEATS) -> dict[str, str]:
     """Ridge models of the table ``train`` (scaled rows): the LDL^T steps of the library, one view for each step."""
-    x = [f"{f}_norm" for f in FEATS]
+    x, K = [f"{f}_norm" for f in feats], len(feats)
     sums = ", ".join([f"sum({x[i]}) as sx{i}, sum({x[i]} * y) as sxy{i}" for i in range(K)]
                      + [f"sum({x[j]} * {x[i]}) as sxx{j}_{i}" for i in range(K) for j in range(i + 1)])
     centred = ", ".join([f"sxx{j}_{i} - sx{i} * sx{j} / n{f' + {P.ridge_alpha}' if i == j else ''} as m{i}_{j}"
@@ -320,8 +324,8 @@ def q_huber(t):
     return bt(t).models.withColumn("n_coef", F.size("coef"))
 
 
-def certified(train, models):
-    c = md.certificate(train, models, P)
+def certified(train, models, p=P):
+    c = md.certificate(train, models, p)
     return c.withColumn("certified", (F.col("gap") <= CERTIFIED * (1 + F.col("objective"))) & (F.col("gap") >= -1e-8 * (1 + F.col("objective"))))
 
 
@@ -376,6 +380,65 @@ def q_grouped_rows(t):
     return wn.grouped_rows(b.removal_rows, b.pairs, S, P.window_months)
 
 
+def by_category(f: str, r: str) -> str:
+    """A feature of ``BY_CATEGORY`` in SQL, on the row named r."""
+    if f in BY_CATEGORY.numeric:
+        return "u.usage100" if (f, r) == ("usage100", "s") else f"{r}.{f}"
+    name, level = f.rsplit("_", 1)
+    return f"coalesce({r}.{name} = {level}, false)"
+
+
+CATS = list(BY_CATEGORY.columns)
+CV = MV | feature_views(CATS, by_category, " ".join(BY_CATEGORY.names), "_cat") | ridge_views("train_scaled_cat", CATS)
+CAT_SPEC = "model_key:s " + PAIR4_SPEC + " month:l months_w_removals:l " + " ".join(f"{f}:d" for f in CATS) + " y:d"
+
+
+def bt_cat(t, **kw):
+    return bt(t, features=BY_CATEGORY, **kw)
+
+
+@register("training_rows_onehot", CAT_SPEC, "select * from train_rows_cat", CV)
+def q_training_onehot(t):
+    """M2 + X17: training rows with the EED category and the stock flag as 0/1 columns."""
+    return bt_cat(t).train
+
+
+@register("test_features_onehot", CAT_SPEC + " dist_eed_120:l standardstockwithindispensingdeviceflag:l source:s",
+          "select * from test_feat_cat", CV)
+def q_test_onehot(t):
+    """P9 + X17."""
+    return bt_cat(t).test
+
+
+@register("ridge_models_onehot", "model_key:s intercept:d " + " ".join(f"w{i}:d" for i in range(len(CATS))) + " n_rows:l r2:d",
+          "select * from ridge_m", CV)
+def q_ridge_onehot(t):
+    """M3 + M5 + X17: models on categorical features."""
+    m = bt_cat(t, model="Ridge").models
+    return m.select("model_key", "intercept", *[F.col("coef")[i].alias(f"w{i}") for i in range(len(CATS))], "n_rows", "r2")
+
+
+@register("huber_certificate_onehot", "model_key:s n_rows:l certified:b converged:b", """
+select model_key, count(*) as n_rows, true as certified, true as converged from train_rows_cat group by model_key""", CV)
+def q_huber_certificate_onehot(t):
+    """M4 + X17."""
+    b = bt_cat(t)
+    return certified(b.train_scaled, b.models, b.p).join(b.models.select("model_key", "converged"), "model_key")
+
+
+@register("dashboard_estimate_120", "skclientkey:l medid:s device_naturalkey:l dist_eed_120:l inventoryquantity:d y_predict:d "
+          "dashboard_estimate:d modified_y_predict_120:d MSE_Dashboard:d MAE_Dashboard:d", """
+select skclientkey, medid, device_naturalkey, dist_eed_120, inventoryquantity, y_predict, dash as dashboard_estimate,
+       case when dist_eed_120 in (1, 2) then least(greatest(0.0, floor(y_predict)), inventoryquantity) else 0.0 end as modified_y_predict_120,
+       (dash - y) ** 2 as MSE_Dashboard, abs(dash - y) as MAE_Dashboard
+from (select *, case when dist_eed_120 = 1 then floor(0.45 * inventoryquantity) else 0.0 end as dash,
+             cast((device_naturalkey * 3 + cast(substr(medid, 7) as integer) * 7 + month) % 40 - 5 as double) as y_predict
+      from test_feat_cat)""", CV)
+def q_dashboard_120(t):
+    """P7, second form: results that hold the EED category instead of the distance (stand-in scores)."""
+    return bt_cat(t, predictions="stand_in").result(pair_cap=False)
+
+
 def every_window(t, model="LR"):
     from dosecast.operators.backtest import WindowedBackTest
     b = bt(t)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dosecast.operators import components as co
 from dosecast.operators import geometry as ge
 from dosecast.operators import rules as ru
+from dosecast.operators.features import BY_CATEGORY
 from dosecast.operators import windows as wn
 from dosecast.params import Params
 from dosecast.session import materialize, release
@@ -61,7 +62,7 @@ def test_one_hot_has_fixed_levels_and_debug_pairs_are_few(spark):
     df = spark.createDataFrame([(1, "a", 1, 1, 0), (1, "b", 1, 0, 1)],
                                "skclientkey long, medid string, device_naturalkey long, dist_eed_120 int, "
                                "standardstockwithindispensingdeviceflag int")
-    r = wn.one_hot(df).orderBy("medid").collect()
+    r = BY_CATEGORY.add(df).orderBy("medid").collect()
     assert (r[0].dist_eed_120_1, r[0].dist_eed_120_2, r[1].standardstockwithindispensingdeviceflag_1) == (1.0, 0.0, 1.0)
     assert [x.medid for x in wn.debug_pairs(df, 1).collect()] == ["a"]
 

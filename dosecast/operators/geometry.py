@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosecast.operators import scan
+
 # Fixed values of the reference's geometry routines.
 EPS_PRIMARY = 2.0       # DBSCAN eps / KD radius on the primary axis
 EPS_SECONDARY = 3.0     # end-to-start gap joining segments of a primary group
@@ -31,36 +33,29 @@ def classify(seg: DataFrame) -> DataFrame:
     return s.withColumn("kind", kind)
 
 
-ISLAND_BUCKET = 64.0     # width of the coordinate buckets of the island sweep
-
-
-def sweep_islands(df: DataFrame, lo: str, hi, part, out: str, bucket: float = ISLAND_BUCKET) -> DataFrame:
+def sweep_islands(df: DataFrame, lo: str, hi, part, out: str) -> DataFrame:
     """Islands of a sorted sweep: a row opens a new island when ``lo`` exceeds the
     largest ``hi`` of all rows with a smaller ``lo``; ids are 1, 2, ... per part.
 
     Rows with the same ``lo`` share an island, so the sweep runs over the distinct
     coordinates with their largest ``hi`` (a partial aggregation): a coordinate that
     holds a third of all rows is one row there, and the join back is an equi-join whose
-    skewed side AQE splits.  The coordinates are dealt into buckets of width ``bucket``;
-    each bucket takes over the largest ``hi`` and the number of islands of the earlier
-    ones from a summary with one row for each bucket.
+    skewed side AQE splits.  The coordinates are swept in stretches (``scan``); each
+    takes over the largest ``hi`` and the number of islands of the earlier ones.
     """
     part = list(part)
     hi_c = F.col(hi) if isinstance(hi, str) else hi
     x = df.withColumns({"_lo": F.col(lo), "_hi": hi_c})
-    d = x.groupBy(*part, "_lo").agg(F.max("_hi").alias("_hi")).withColumn("_b", F.floor(F.col("_lo") / bucket))
-    wb = Window.partitionBy(*part).orderBy("_b")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (d.groupBy(*part, "_b").agg(F.max("_hi").alias("_m"))
-              .select(*part, "_b", F.max("_m").over(before).alias("_carry")))
-    wr = Window.partitionBy(*part, "_b").orderBy("_lo")
+    d = scan.stretches(x.groupBy(*part, "_lo").agg(F.max("_hi").alias("_hi")), part, ["_lo"])
+    run = [*part, scan.STRETCH]
+    carry = scan.carried(d.groupBy(*run).agg(F.max("_hi").alias("_m")), part, {"_carry": F.max("_m")})
+    wr = Window.partitionBy(*run).orderBy("_lo")
     prev = F.greatest(F.max("_hi").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
-    d = (d.join(carry, [*part, "_b"])
+    d = (d.join(carry, run)
           .withColumn("_s", F.when(prev.isNull() | (F.col("_lo") > prev), 1).otherwise(0))
           .withColumn("_local", F.sum("_s").over(wr.rowsBetween(Window.unboundedPreceding, 0))))
-    offs = (d.groupBy(*part, "_b").agg(F.sum("_s").alias("_n"))
-             .select(*part, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    ids = d.join(offs, [*part, "_b"]).select(*part, "_lo", (F.col("_off") + F.col("_local")).cast("long").alias(out))
+    offs = scan.carried(d.groupBy(*run).agg(F.sum("_s").alias("_n")), part, {"_off": F.sum("_n")})
+    ids = d.join(offs, run).select(*part, "_lo", (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("long").alias(out))
     return x.join(ids, [*part, "_lo"]).select(*df.columns, out)
 
 
@@ -243,11 +238,9 @@ def split_vertical_at_crossings(v: DataFrame, cross: DataFrame) -> DataFrame:
                         F.col("h_id").cast("double").alias("ord"))
     allp = starts.unionByName(mids).unionByName(ends)
     # start first, crossings by y, end last
-    w = Window.partitionBy("tile", "v_id").orderBy("k", "pos", "ord")
-    pieces = (allp.withColumn("y_to", F.lead("pos").over(w))
-                  .withColumn("piece", F.row_number().over(w) - 1))
-    return pieces.where(F.col("y_to").isNotNull()).select(
-        "tile", "v_id", "piece", F.col("x"), F.col("pos").alias("y_from"), "y_to")
+    pieces = scan.sequence(allp, ["tile", "v_id"], ["k", "pos", "ord"], ["pos"])
+    return pieces.where(F.col("next_pos").isNotNull()).select(
+        "tile", "v_id", F.col("_idx").alias("piece"), F.col("x"), F.col("pos").alias("y_from"), F.col("next_pos").alias("y_to"))
 
 
 def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float = SPLIT_BAND,
@@ -281,10 +274,8 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
     base = s.select("tile", "id", F.col("lo").alias("pos"), F.lit(0).alias("k"), *keep)
     endp = s.select("tile", "id", F.col("hi").alias("pos"), F.lit(2).alias("k"), *keep)
     allp = base.unionByName(cuts).unionByName(endp)
-    w = Window.partitionBy("tile", "id").orderBy("k", "pos")
-    j = (allp.withColumn("to", F.lead("pos").over(w)).withColumn("to_k", F.lead("k").over(w))
-             .withColumn("piece", F.row_number().over(w) - 1)
-             .where(F.col("to").isNotNull()))
+    j = (scan.sequence(allp, ["tile", "id"], ["k", "pos"], ["pos", "k"])
+         .withColumnsRenamed({"next_pos": "to", "next_k": "to_k", "_idx": "piece"}).where(F.col("to").isNotNull()))
     # inner pieces stay on the start line; the last piece ends at the segment's end point
     is_last = F.col("to_k") == 2
     if vertical:

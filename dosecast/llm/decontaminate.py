@@ -11,7 +11,9 @@ are merged.
 A window can only occur inside a run of words that all occur in the
 benchmark, so a shard's sequence holds those runs that are as long as the
 shortest window; each run ends in a separator of its own.  The benchmark is the
-stated query set: its windows go to every task in blocks of bounded size.
+stated query set: its windows go to every task in blocks of bounded size.  One
+block is searched in the pass that returns the rows; several are searched one
+after the other, each in a written job, and their spans are united by row.
 
 Defined cases: a null text has no words; benchmark items without words have no
 window; documents and items may repeat or have null ids (a null item id is
@@ -30,7 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import need
+from dosecast.llm.common import ROW, need, row_key, sealed, unsealed
+from dosecast.session import materialize
 
 WINDOW = 10
 SAMPLE = 32
@@ -227,47 +230,96 @@ def _shards(batch: pa.RecordBatch, column: int):
         yield batch.slice(int(a), int(b - a))
 
 
-def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list:
-    """The query set as broadcasts of at most about ``block_chars`` characters each."""
-    spark = benchmark.sparkSession
+def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
+    """The query set in parts of about ``block_chars`` characters each, by hash; one at least."""
     items = need(benchmark, "item_id", "text").where(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))
-    out = []
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        out.append(spark.sparkContext.broadcast(Phrases([("" if r[0] is None else str(r[0]), r[1]) for r in part.collect()])))
+    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)] if n > 1 else [items]
+
+
+def _sent(block: DataFrame):
+    """The windows of a part of the query set as a broadcast."""
+    rows = [("" if r[0] is None else str(r[0]), r[1]) for r in block.collect()]
+    return block.sparkSession.sparkContext.broadcast(Phrases(rows))
+
+
+def _found(blocks: list[DataFrame], docs: DataFrame) -> DataFrame:
+    """row1, row2, items, spans of the rows of ``docs`` in which a window of several blocks occurs.  Each block
+    is a written job of its own that gives its broadcast back, so no more than one block is held at a time,
+    whatever the size of the query set."""
+    rows = need(docs, "doc_id", "text").select(*row_key(), "text")
+    hits = []
+    for block in blocks:
+        sent = _sent(block)
+
+        def run(batches, sent=sent):
+            for b in batches:
+                for part in _shards(b, 2):
+                    found = shard_hits([split_words(t) for t in part.column(2).to_pylist()], sent.value)
+                    at = [i for i, (m, _) in enumerate(found) if len(m)]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(at, pa.int64())), part.column(1).take(pa.array(at, pa.int64())),
+                         pa.array([sorted(found[i][1]) for i in at], pa.list_(pa.string())),
+                         pa.array([[{"first": x, "last": y} for x, y in spans_of(found[i][0])] for i in at], _SPANS)],
+                        names=[*ROW, "items", "spans"])
+
+        hits.append(materialize(rows.mapInArrow(run, "row1 long, row2 long, items array<string>, spans array<struct<first:int,last:int>>"),
+                                "benchmark_hits"))
+        sent.destroy()
+    every = hits[0]
+    for h in hits[1:]:
+        every = every.unionByName(h)
+    # Rows that agree in id and text have the same hits.
+    return every.distinct().groupBy(*ROW).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+                                   F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+
+def union_of(spans: list[dict]) -> list[tuple[int, int]]:
+    """Merged spans from sorted ones that may overlap or touch."""
+    out: list[tuple[int, int]] = []
+    for s in spans:
+        if out and s["first"] <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], s["last"]))
+        else:
+            out.append((s["first"], s["last"]))
     return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted), spans (merged, in words) for each row of ``docs``."""
-    blocks = benchmark_blocks(benchmark)
+    blocks = benchmark_blocks(benchmark, block_chars)
+    names = ["doc_id", "n_words", "n_hit", "items", "spans"]
 
-    def run(batches):
-        for b in batches:
-            for part in _shards(b, 1):
-                words = [split_words(t) for t in part.column(1).to_pylist()]
-                rows = merged(words, blocks)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array([len(w) for w in words], pa.int64()),
-                     pa.array([int(m.sum()) for m, _ in rows], pa.int64()), pa.array([sorted(i) for _, i in rows], pa.list_(pa.string())),
-                     pa.array([[{"first": x, "last": y} for x, y in spans_of(m)] for m, _ in rows],
-                              pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))],
-                    names=["doc_id", "n_words", "n_hit", "items", "spans"])
+    def batch(part, words, items, spans):
+        return pa.RecordBatch.from_arrays(
+            [part.column(0).cast(pa.int64()), pa.array([len(w) for w in words], pa.int64()),
+             pa.array([sum(y - x for x, y in s) for s in spans], pa.int64()), pa.array(items, pa.list_(pa.string())),
+             pa.array([[{"first": x, "last": y} for x, y in s] for s in spans], _SPANS)], names=names)
 
-    return need(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
+    if len(blocks) == 1:
+        sent = _sent(blocks[0])
 
+        def run(batches):
+            for b in batches:
+                for part in _shards(b, 1):
+                    words = [split_words(t) for t in part.column(1).to_pylist()]
+                    rows = shard_hits(words, sent.value)
+                    yield batch(part, words, [sorted(i) for _, i in rows], [spans_of(m) for m, _ in rows])
 
-def merged(words: list[list[bytes]], blocks: list) -> list[tuple[np.ndarray, set[str]]]:
-    """``shard_hits`` of all blocks of the query set together."""
-    rows = shard_hits(words, blocks[0].value)
-    for block in blocks[1:]:
-        for d, (mask, items) in enumerate(shard_hits(words, block.value)):
-            if len(mask):
-                old, found = rows[d]
-                rows[d] = (mask | old if len(old) else mask, found | items)
-    return rows
+        return need(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
+
+    def joined(batches):
+        for b in batches:
+            for part in _shards(b, 1):
+                items, spans = part.column(2).to_pylist(), part.column(3).to_pylist()
+                yield batch(part, [split_words(t) for t in part.column(1).to_pylist()], [i or [] for i in items], [union_of(s or []) for s in spans])
+
+    rows = need(docs, "doc_id", "text").select("doc_id", "text", *row_key()).join(_found(blocks, docs), list(ROW), "left")
+    return rows.select("doc_id", "text", "items", "spans").mapInArrow(joined, SCHEMA)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -287,27 +339,41 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with the occurrences of benchmark windows cut out of ``text`` (and ``n_chars``, if there,
     set to the new length); documents without a hit are as they were."""
-    blocks = benchmark_blocks(benchmark)
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    at, n_chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
-
-    def run(batches):
+    blocks = benchmark_blocks(benchmark, block_chars)
+    own = ("doc_id", "text")
+    d = sealed(docs, *own)
+    at = d.columns.index("text")
+    n_chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
+    schema, names = d.schema, d.columns
+
+    def cut(part, spans):
+        cols = list(part.columns[:len(names)])
+        if any(spans):
+            texts = [without_spans(t, s) if s else t for t, s in zip(cols[at].to_pylist(), spans)]
+            if n_chars >= 0:
+                cols[n_chars] = pa.array([len(t) if s else o for t, s, o in zip(texts, spans, cols[n_chars].to_pylist())], cols[n_chars].type)
+            cols[at] = pa.array(texts, cols[at].type)
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
+    if len(blocks) == 1:
+        sent = _sent(blocks[0])
+
+        def run(batches):
+            for b in batches:
+                for part in _shards(b, at):
+                    rows = shard_hits([split_words(t) for t in part.column(at).to_pylist()], sent.value)
+                    yield cut(part, [spans_of(m) if len(m) else [] for m, _ in rows])
+
+        return unsealed(d.mapInArrow(run, schema), docs, *own)
+
+    def joined(batches):
         for b in batches:
             for part in _shards(b, at):
-                texts = part.column(at).to_pylist()
-                rows = merged([split_words(t) for t in texts], blocks)
-                cols = list(part.columns)
-                if any(len(m) for m, _ in rows):
-                    texts = [without_spans(t, spans_of(m)) if len(m) else t for t, (m, _) in zip(texts, rows)]
-                    cols[at] = pa.array(texts, cols[at].type)
-                    if n_chars >= 0:
-                        old = cols[n_chars].to_pylist()
-                        cols[n_chars] = pa.array([len(t) if len(m) else o for t, o, (m, _) in zip(texts, old, rows)], cols[n_chars].type)
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    renamed = docs.toDF(*names)
-    return renamed.mapInArrow(run, renamed.schema).toDF(*docs.columns)
+                yield cut(part, [union_of(s or []) for s in part.column(len(names)).to_pylist()])
 
+    found = _found(blocks, docs).select(*ROW, F.col("spans").alias("found_spans"))
+    rows = d.select("*", *row_key()).join(found, list(ROW), "left").select(*names, "found_spans")
+    return unsealed(rows.mapInArrow(joined, schema), docs, *own)

@@ -164,14 +164,14 @@ def digest(classes: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """One row of each group: the one with the smallest id, of rows that share it the first by the hashes of
-    id and text.  Of a group's rows without an id one stays as well, chosen by the hashes."""
+    id and text.  A row without an id stays only in a group that has none, chosen by the hashes."""
     own = ("doc_id", "text")
     keyed = need(docs, *own).select(*own, *row_key())
     prints = materialize(fingerprints(keyed, shingle, *ROW), "simhash_prints")
     by_print = materialize(_labelled(prints, bits).select("fp", "label"), "simhash_classes")
     # First by fingerprint, so that copies of a text meet the join as one row.
-    first = prints.groupBy("fp", F.col("doc_id").isNull().alias("no_id")).agg(F.min(F.struct("doc_id", *ROW)).alias("first"))
-    keep = first.join(by_print, "fp").groupBy("label", "no_id").agg(F.min("first").alias("first")).select(
+    first = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW)).alias("first"))
+    keep = first.join(by_print, "fp").groupBy("label").agg(F.min("first").alias("first")).select(
         *[F.col(f"first.{k}").alias(k) for k in ROW])
     d = sealed(docs, *own).select("*", *row_key()).join(keep, list(ROW), "left_semi")
     return unsealed(d.dropDuplicates(list(ROW)), docs, *own)

@@ -83,6 +83,12 @@ def window_flags(elig: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> Da
         "two_or_more_windows", F.coalesce(F.col("two_or_more_windows").cast("array<int>"), none))
 
 
+def window_last_status(snap: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """J7 for every window: each pair's snapshot status in its last month of the window."""
+    e = wn.window_rows(snap.select(*PAIR4, "month", "isinactive"), windows, p.window_months)
+    return e.groupBy(*WPAIR4).agg(F.max("month").alias("last_month"), F.max_by("isinactive", "month").alias("isinactive"))
+
+
 class WindowedBackTest:
     """The stages of a back-test for every client and window.
 
@@ -111,6 +117,18 @@ class WindowedBackTest:
     def assignment(self) -> DataFrame:
         return self.train.select(*WPAIR4, "model_key", "months_w_removals").distinct()
 
+    @cached_property
+    def unscored(self) -> DataFrame:
+        """J10 for every window: trained pairs without a test row (or without a model)."""
+        return self.assignment.join(self.scored.select(*WPAIR4), WPAIR4, "left_anti")
+
+    @cached_property
+    def pair_counts(self) -> DataFrame:
+        """A21 and J10 for every window: trained pairs of a client, and those of them without an estimate."""
+        seen = self.scored.select(*WPAIR4, F.lit(1).alias("_s"))
+        return (self.assignment.join(seen, WPAIR4, "left").groupBy("skclientkey", "train_start")
+                .agg(F.count(F.lit(1)).alias("modeled_pairs"), F.count_if(F.col("_s").isNull()).alias("unscored_pairs")))
+
     @cached_property
     def scaler(self) -> DataFrame:
         return wn.scaler(self.train, self.p)

@@ -195,7 +195,7 @@ def dollar_values(res: DataFrame, cost: DataFrame) -> DataFrame:
     key = ["hdp_shardid", "skclientkey", "medid"]
     j = res.join(cost.select(*key, "unitcost"), key, "left")
     c = F.coalesce(F.col("unitcost"), F.lit(0.0))
-    return j.select(*PAIR, "unitcost",
+    return j.select(*[k for k in ("train_start", *PAIR) if k in res.columns], "unitcost",
                     (c * F.col("modified_y_predict_less_cons")).alias("estimate_value"),
                     (c * F.col("dashboard_estimate")).alias("baseline_value"),
                     (c * F.col("y_df")).alias("actual_value"))

@@ -58,8 +58,9 @@ def pair_count_by_client(pairs: DataFrame) -> DataFrame:
 def removal_histogram(pairs: DataFrame, max_bin: int = 12) -> DataFrame:
     """Pairs per right-closed bin (k-1, k] of removal months, k = 1..12, per client."""
     c = F.col("count")
+    keys = ["skclientkey"] + (["train_start"] if "train_start" in pairs.columns else [])
     return (pairs.where((c > 0) & (c <= max_bin))
-                 .groupBy("skclientkey", F.ceil(c).cast("int").alias("bin"))
+                 .groupBy(*keys, F.ceil(c).cast("int").alias("bin"))
                  .agg(F.count(F.lit(1)).alias("pairs")))
 
 

@@ -40,7 +40,7 @@ def register(name: str, spec: str, sql: str | None = None, views: dict | None =
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from dosecast.plans import q_extract, q_panel, q_model, q_rules, q_windows  # noqa: F401
-    from dosecast.plans import q_geometry, q_pixels, q_audit  # noqa: F401
+    from dosecast.plans import q_geometry, q_pixels, q_audit, q_reports  # noqa: F401
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dosecast.operators import panel as pn
 from dosecast.operators import windows as wn
 from dosecast.operators.audit import with_row_count
-from dosecast.operators.backtest import WPAIR, WindowedBackTest
+from dosecast.operators.backtest import WPAIR, WindowedBackTest, window_last_status
 from dosecast.params import DEFAULT, Params
 from dosecast.session import ship_package
 from dosecast.sources import io
@@ -43,6 +43,8 @@ def run_folders(spark: SparkSession, root: str, out: str, p: Params = DEFAULT, m
     steps = {
         "panel": panel,
         "excluded": pn.excluded_rows(panel, p),
+        "unloaded": window_last_status(inputs.snap, b.windows, p).where(F.col("isinactive") == 1),
+        "null_inventory": pn.drop_null_inv(pn.tx_panel(inputs))[1],
         "eligible": b.eligible,
         "removals": b.removal_rows,
         "training_results": b.training_results.select("*", month),
@@ -52,6 +54,9 @@ def run_folders(spark: SparkSession, root: str, out: str, p: Params = DEFAULT, m
         "group_results": b.group_result.select("*", month),
         "final": b.final.select("*", month),
         "errors": b.errors,
+        "models": b.models.withColumn("skclientkey", F.split("model_key", r"\|")[2].cast("long")),
+        "pair_counts": b.pair_counts,
+        "unscored": b.unscored,
     }
     rows = {}
     for name, df in steps.items():

@@ -49,7 +49,9 @@ def test_client_folders_give_the_results_of_the_fixture(spark):
     root, out = tempfile.mkdtemp(prefix="dosecast-in-"), tempfile.mkdtemp(prefix="dosecast-out-")
     write_folders(t, root, clients)
     rows = run_folders(spark, root, out, model="Ridge")
-    assert all(rows.values()) and set(rows) >= {"panel", "excluded", "final", "errors", "training_results"}
+    # Every pair has a snapshot in the fixture.
+    assert {k for k, n in rows.items() if not n} == {"null_inventory", "unscored"}
+    assert set(rows) >= {"panel", "excluded", "final", "errors", "training_results", "models", "pair_counts", "unloaded"}
     b = bk.WindowedBackTest(pn.Inputs(t, P), wn.training_months(usage), P, "Ridge")
     cols = ["train_start", "skclientkey", "medid", "device_naturalkey", "y_df", "y_removal_group", "MAE_Group_Model"]
     want = rows_of(b.final.where(F.col("skclientkey").isin(clients)), cols)

@@ -65,8 +65,8 @@ DENSE = 2048
 BLOCK = 1 << 20
 _KNOWN = 100_000            # word hashes that a worker keeps
 _FLUSH = 1 << 18            # shingles or words handled at once
-_MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
-                         0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
+# Odd, one for each place in a shingle.
+_MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 # ------------------------------------------------------------ sets
@@ -97,8 +97,8 @@ def shingle_set(text: str | None, known: dict, shingle: int = SHINGLE) -> np.nda
     n = len(words) - k + 1
     out = np.full(n, k, np.uint64)
     for i in range(k):
-        out = _mix(out * _MULTIPLIERS[i % 6] + h[i:i + n])
-    return np.unique(out)
+        out += h[i:i + n] * _MULTIPLIERS[i]
+    return np.unique(_mix(out))
 
 
 def needed(a: Column, b: Column, percent: int = PERCENT) -> Column:

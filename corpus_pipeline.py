@@ -17,6 +17,10 @@ from dosecast.llm.queries import tokenizer_path
 from dosecast.session import materialize
 
 
+# Units that a worker of the last stage keeps: its workers also hold what the stages before have left.
+TOKEN_UNITS = 400_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filter_documents(docs)
 
@@ -34,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return records.digest(docs, tokenizer_path())
+    return records.digest(docs, tokenizer_path(), units=TOKEN_UNITS)
 
 
 STAGES = [

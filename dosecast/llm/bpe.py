@@ -41,12 +41,12 @@ def _one_piece(word: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < "\u0250")
 
 
-def load(spec: str):
+def load(spec: str, units: int | None = None):
     """The worker's one ``UnitTokenizer`` for a tokenizer definition (the JSON text)."""
-    key = hash(spec)
+    key = hash((spec, units))
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = UnitTokenizer(spec)
+        _LOADED[key] = UnitTokenizer(spec, units)
     return _LOADED[key]
 
 
@@ -59,7 +59,8 @@ def read_spec(path: str, max_bytes: int = 64 << 20) -> str:
 
 
 class UnitTokenizer:
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, units: int | None = None):
+        self.units = units or MAX_UNITS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_str(spec)
@@ -116,8 +117,8 @@ class UnitTokenizer:
     def _learn(self, words: set[str]) -> None:
         """Store the values of words: units ``' ' + word``, or those that a mark says begin a line or the
         text.  A full store keeps its older half, in which the frequent units are."""
-        if len(self.known) + len(words) > MAX_UNITS:
-            for w in list(self.known)[MAX_UNITS // 2:]:
+        if len(self.known) + len(words) > self.units:
+            for w in list(self.known)[self.units // 2:]:
                 del self.known[w]
             self.odd.intersection_update(self.known)
         new = [w for w in words if w not in self.known]
@@ -134,7 +135,7 @@ class UnitTokenizer:
     def other(self, unit: str) -> bytes:
         got = self.others.get(unit)
         if got is None:
-            if len(self.others) > MAX_UNITS // 8:
+            if len(self.others) > self.units // 8:
                 self.others.clear()
             got = self.others[unit] = self.values([unit])[0]
         return got
@@ -168,7 +169,7 @@ class UnitTokenizer:
         if new:
             if "" in new or _LINE in new or _FIRST in new or any(w[-1] in SPACES for w in new):
                 return self.irregular(text + last)
-            if len(self.known) + len(new) > MAX_UNITS:
+            if len(self.known) + len(new) > self.units:
                 new = distinct
             self._learn(new - {_STOP, _COMMA})
         vals = list(map(self.known.__getitem__, words))

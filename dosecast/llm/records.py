@@ -77,14 +77,14 @@ def qualified(spark: SparkSession, path: str) -> str:
     return "file:///" + full[5:].lstrip("/") if full.startswith("file:") else full
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, units: int | None = None) -> DataFrame:
     """Encode and write ``docs`` (doc_id, text); the committed shard table (shard, path, counts)."""
     spark = docs.sparkSession
     folder = qualified(spark, folder or scratch_path(spark, f"records-{uuid.uuid4().hex}"))
     spec = spark.sparkContext.broadcast(bpe.read_spec(tokenizer_path))
 
     def run(batches):
-        tokenizer = bpe.load(spec.value)
+        tokenizer = bpe.load(spec.value, units)
         end = np.array([end_id], tokenizer.dtype).tobytes()
         width = tokenizer.dtype.itemsize
         shard = TaskContext.get().partitionId()
@@ -177,8 +177,8 @@ def positions(shards: DataFrame, records: DataFrame) -> DataFrame:
     return own.join(base, "shard").withColumn("start", F.col("base") + F.col("own")).drop("base", "own")
 
 
-def digest(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
+def digest(docs: DataFrame, tokenizer_path: str, end_id: int = 2, units: int | None = None) -> DataFrame:
     """Write ``docs``, read the files back, and give each record's place, length and checksum of ids."""
-    shards = write_shards(docs, tokenizer_path, end_id)
+    shards = write_shards(docs, tokenizer_path, end_id, units=units)
     read = read_shards(shards, zlib.crc32, "ids_crc32 long")
     return positions(shards, read).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosecast.operators import scan
+from dosecast.session import large
 
 # Fixed values of the reference's geometry routines.
 EPS_PRIMARY = 2.0       # DBSCAN eps / KD radius on the primary axis
@@ -51,12 +52,12 @@ def sweep_islands(df: DataFrame, lo: str, hi, part, out: str) -> DataFrame:
     carry = scan.carried(d.groupBy(*run).agg(F.max("_hi").alias("_m")), part, {"_carry": F.max("_m")})
     wr = Window.partitionBy(*run).orderBy("_lo")
     prev = F.greatest(F.max("_hi").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
-    d = (d.join(carry, run)
+    d = (d.join(large(carry), run)
           .withColumn("_s", F.when(prev.isNull() | (F.col("_lo") > prev), 1).otherwise(0))
           .withColumn("_local", F.sum("_s").over(wr.rowsBetween(Window.unboundedPreceding, 0))))
     offs = scan.carried(d.groupBy(*run).agg(F.sum("_s").alias("_n")), part, {"_off": F.sum("_n")})
-    ids = d.join(offs, run).select(*part, "_lo", (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("long").alias(out))
-    return x.join(ids, [*part, "_lo"]).select(*df.columns, out)
+    ids = d.join(large(offs), run).select(*part, "_lo", (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("long").alias(out))
+    return x.join(large(ids), [*part, "_lo"]).select(*df.columns, out)
 
 
 def gap_islands(df: DataFrame, coord: str, eps: float = EPS_PRIMARY, part=("tile",), out: str = "pgroup") -> DataFrame:

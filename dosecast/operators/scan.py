@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosecast.session import materialize
+from dosecast.session import large, materialize
 
 STRETCH = "_stretch"
 
@@ -39,5 +39,5 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], ahead: list[str])
     by = Window.partitionBy(*keys).orderBy(STRETCH)
     runs = runs.select(*keys, STRETCH, F.coalesce(F.sum("_n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
                        F.lead("_first").over(by).alias("_behind"))
-    j = s.join(runs, [*keys, STRETCH]).withColumn("_next", F.coalesce("_next", "_behind"))
+    j = s.join(large(runs), [*keys, STRETCH]).withColumn("_next", F.coalesce("_next", "_behind"))
     return j.select(*df.columns, (F.col("_off") + F.col("_i")).alias("_idx"), *[F.col(f"_next.{c}").alias(f"next_{c}") for c in ahead])

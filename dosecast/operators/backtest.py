@@ -21,7 +21,7 @@ from dosecast.operators import rules as ru
 from dosecast.operators import windows as wn
 from dosecast.operators.extract import PAIR, PAIR4
 from dosecast.params import DEFAULT, Params
-from dosecast.session import materialize
+from dosecast.session import large, materialize, materialize_by
 from dosecast.sources import fixtures as fx
 
 WPAIR = ["train_start", *PAIR]
@@ -36,9 +36,9 @@ def window_test_features(rem: DataFrame, snap: DataFrame, usage: DataFrame, assi
     key = [*PAIR4, "month"]
     out = ["model_key", *WPAIR4, "month", "months_w_removals"]
     feats = [F.col(f).cast("double").alias(f) for f in p.features]
-    r = rem.join(a, key).select(*out, *feats, F.col("transactionquantity").alias("y"), F.lit("removal").alias("source"))
-    s = (snap.join(a.join(rem.select(*key), key, "left_anti"), key)
-             .join(usage.select(*key, "usage100"), key, "left")
+    r = rem.join(large(a), key).select(*out, *feats, F.col("transactionquantity").alias("y"), F.lit("removal").alias("source"))
+    s = (snap.join(large(a.join(large(rem.select(*key)), key, "left_anti")), key)
+             .join(large(usage.select(*key, "usage100")), key, "left")
              .fillna(0, subset=["usage100"])
              .select(*out, *feats, F.lit(0.0).alias("y"), F.lit("snapshot").alias("source")))
     return r.unionByName(s)
@@ -65,7 +65,7 @@ def window_all_pairs(elig: DataFrame, windows: DataFrame, p: Params = DEFAULT) -
     """P13 / J14 for every window: eligible rows of each test month with their training count (0 if none)."""
     c = months_before(elig, PAIR4, p.window_months)
     w = windows.select("skclientkey", "train_start", F.col("test_month").alias("month")).distinct()
-    return c.join(w, ["skclientkey", "month"]).fillna(0, subset=["transactionquantity"])
+    return c.join(F.broadcast(w), ["skclientkey", "month"]).fillna(0, subset=["transactionquantity"])
 
 
 def window_flags(elig: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -79,7 +79,7 @@ def window_flags(elig: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> Da
     two = e.groupBy(*WPAIR).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2)
     flags = two.groupBy(*PAIR).agg(F.sort_array(F.collect_list("train_start")).alias("two_or_more_windows"))
     none = F.array().cast("array<int>")
-    return elig.join(flags, PAIR, "left").withColumn(
+    return elig.join(large(flags), PAIR, "left").withColumn(
         "two_or_more_windows", F.coalesce(F.col("two_or_more_windows").cast("array<int>"), none))
 
 
@@ -110,8 +110,8 @@ class WindowedBackTest:
 
     @cached_property
     def train(self) -> DataFrame:
-        # read by the scaler, the models, the profile and the training results
-        return materialize(wn.all_window_training(self.removal_rows, self.windows, self.p), "train")
+        # read by the scaler, the models, the profile and the training results; by pair like the rows it comes from
+        return materialize_by(wn.all_window_training(self.removal_rows, self.windows, self.p), PAIR, "train")
 
     @cached_property
     def assignment(self) -> DataFrame:
@@ -120,18 +120,18 @@ class WindowedBackTest:
     @cached_property
     def unscored(self) -> DataFrame:
         """J10 for every window: trained pairs without a test row (or without a model)."""
-        return self.assignment.join(self.scored.select(*WPAIR4), WPAIR4, "left_anti")
+        return self.assignment.join(large(self.scored.select(*WPAIR4)), WPAIR4, "left_anti")
 
     @cached_property
     def pair_counts(self) -> DataFrame:
         """A21 and J10 for every window: trained pairs of a client, and those of them without an estimate."""
         seen = self.scored.select(*WPAIR4, F.lit(1).alias("_s"))
-        return (self.assignment.join(seen, WPAIR4, "left").groupBy("skclientkey", "train_start")
+        return (self.assignment.join(large(seen), WPAIR4, "left").groupBy("skclientkey", "train_start")
                 .agg(F.count(F.lit(1)).alias("modeled_pairs"), F.count_if(F.col("_s").isNull()).alias("unscored_pairs")))
 
     @cached_property
     def scaler(self) -> DataFrame:
-        return wn.scaler(self.train, self.p)
+        return large(wn.scaler(self.train, self.p))
 
     @cached_property
     def models(self) -> DataFrame:
@@ -157,7 +157,7 @@ class WindowedBackTest:
 
     def results(self, pair_cap: bool = True) -> DataFrame:
         """P10, test side."""
-        cut = window_cutoff(self.inputs.removals, self.windows, self.p) if pair_cap else None
+        cut = large(window_cutoff(self.inputs.removals, self.windows, self.p)) if pair_cap else None
         return ru.result_table(self.scored, self.p, cut)
 
     @cached_property

@@ -13,6 +13,7 @@ from dosecast.params import DEFAULT
 from dosecast.plans.catalog import register
 from dosecast.plans.q_model import AV, K, PAIR4_SPEC, ridge_views
 from dosecast.plans.q_windows import KEY4, NORM, WKEY, WKEY4, WRES_SPEC, WV, back_test, stand_in
+from dosecast.session import large
 
 P = DEFAULT
 METRICS = ["MAE_Dashboard", "MAE_Estimator_Model"]
@@ -152,4 +153,4 @@ def q_not_unloaded(t):
     """J8 for every window: training rows of pairs that are not unloaded in their last month."""
     b = back_test(t)
     last = window_last_status(b.inputs.snap, b.windows, P).where(F.col("isinactive") != 1).select(*WPAIR4)
-    return b.train.join(last, WPAIR4, "left_semi")
+    return b.train.join(large(last), WPAIR4, "left_semi")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosecast.operators import scan
-from dosecast.session import large
+from dosecast.session import deal, large
 
 # Fixed values of the reference's geometry routines.
 EPS_PRIMARY = 2.0       # DBSCAN eps / KD radius on the primary axis
@@ -108,14 +108,12 @@ def merge_groups(seg: DataFrame, axis: str = "y") -> DataFrame:
 def _nearest_levels(ends: DataFrame, levels: DataFrame, end_col: str, side: str, gap: float) -> DataFrame:
     """Nearest level strictly before (``side='below'``: after) an end within ``gap``.
 
-    Levels are distinct per (tile, value) and bucketed by ``gap``; an end looks
-    at its own and the neighbouring bucket only.
+    Levels are distinct per (tile, value) and bucketed by ``gap``; a level is put into its own
+    and the neighbouring buckets, so that an end, of which there are more, is sent once.
     """
-    lv = levels.select("tile", F.col("level")).distinct() \
-               .withColumn("b", F.floor(F.col("level") / gap))
-    e = ends.withColumn("b", F.explode(F.array(F.floor(F.col(end_col) / gap) - 1, F.floor(F.col(end_col) / gap),
-                                               F.floor(F.col(end_col) / gap) + 1)))
-    j = e.join(lv, ["tile", "b"])
+    at = F.floor(F.col("level") / gap)
+    lv = levels.select("tile", F.col("level")).distinct().withColumn("b", F.explode(F.array(at - 1, at, at + 1)))
+    j = ends.withColumn("b", F.floor(F.col(end_col) / gap)).join(large(lv), ["tile", "b"])
     if side == "above":
         j = j.where((F.col("level") < F.col(end_col)) & (F.col(end_col) - F.col("level") <= gap))
         return j.groupBy("tile", "id").agg(F.max("level").alias("new_end"))
@@ -138,7 +136,7 @@ def extend_to_perpendicular(seg: DataFrame, other: DataFrame, vertical: bool, ga
         a, b = "x1", "x2"
     up = _nearest_levels(seg.select("tile", "id", a), lv, a, "above", gap).withColumnRenamed("new_end", "_na")
     dn = _nearest_levels(seg.select("tile", "id", b), lv, b, "below", gap).withColumnRenamed("new_end", "_nb")
-    j = seg.join(up, ["tile", "id"], "left").join(dn, ["tile", "id"], "left")
+    j = seg.join(large(up), ["tile", "id"], "left").join(large(dn), ["tile", "id"], "left")
     return (j.withColumn(a, F.coalesce(F.col("_na"), F.col(a)))
              .withColumn(b, F.coalesce(F.col("_nb"), F.col(b)))
              .drop("_na", "_nb"))
@@ -152,17 +150,19 @@ def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0) -> DataFrame:
     """Vertical x horizontal crossings: v.x lies between h's ends and h.y between v's.
 
     v covers cells (cx(v.x), cy(y1)..cy(y2)); h covers (cx(x1)..cx(x2), cy(h.y)).
-    A crossing pair meets in exactly one cell, (cx(v.x), cy(h.y)).
+    A crossing pair meets in exactly one cell, (cx(v.x), cy(h.y)).  Both are dealt by tile and cy, and h
+    is put into its cells behind the shuffle.
     """
     vv = (v.select("tile", F.col("id").alias("v_id"), F.col("x").alias("vx"), F.col("y1").alias("vy1"),
                    F.col("y2").alias("vy2"))
            .withColumn("cx", F.floor(F.col("vx") / cell))
            .withColumn("cy", F.explode(_cells(F.least("vy1", "vy2"), F.greatest("vy1", "vy2"), cell))))
-    hh = (h.select("tile", F.col("id").alias("h_id"), F.col("x1").alias("hx1"), F.col("x2").alias("hx2"),
-                   F.col("y").alias("hy"))
-           .withColumn("cy", F.floor(F.col("hy") / cell))
+    vv = deal(vv, "tile", "cy")
+    hh = (deal(h.select("tile", F.col("id").alias("h_id"), F.col("x1").alias("hx1"), F.col("x2").alias("hx2"),
+                        F.col("y").alias("hy"))
+                .withColumn("cy", F.floor(F.col("hy") / cell)), "tile", "cy")
            .withColumn("cx", F.explode(_cells(F.least("hx1", "hx2"), F.greatest("hx1", "hx2"), cell))))
-    j = vv.join(hh, ["tile", "cx", "cy"])
+    j = vv.join(large(hh), ["tile", "cx", "cy"])
     # either end of a segment may come first
     j = j.where(F.col("vx").between(F.least("hx1", "hx2"), F.greatest("hx1", "hx2"))
                 & F.col("hy").between(F.least("vy1", "vy2"), F.greatest("vy1", "vy2")))
@@ -212,17 +212,18 @@ def snap_points(pts: DataFrame, targets: DataFrame, radius: float = SNAP_RADIUS)
     Targets sit in cells of side ``radius``; a point probes its 3 x 3 cells.
     Ties are broken by target coordinates.  ``matched`` marks moved points.
     """
-    t = (targets.select("tile", F.col("x").alias("tx"), F.col("y").alias("ty")).distinct()
+    t = (targets.select("tile", F.col("x").alias("tx"), F.col("y").alias("ty"))
                 .withColumn("cx", F.floor(F.col("tx") / radius)).withColumn("cy", F.floor(F.col("ty") / radius)))
+    t = deal(t, "tile", "cy").distinct()
     offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    p = (pts.withColumn("cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("x") / radius) + o)))
-            .withColumn("cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("y") / radius) + o))))
-    j = p.join(t, ["tile", "cx", "cy"])
+    p = pts.withColumn("cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("y") / radius) + o)))
+    p = deal(p, "tile", "cy").withColumn("cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("x") / radius) + o)))
+    j = p.join(large(t), ["tile", "cx", "cy"])
     d = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2)
     j = j.withColumn("d", d).where(F.col("d") < radius)
     # the least struct: combined map-side, no sort of a point's candidates
     best = j.groupBy("tile", "id").agg(F.min(F.struct("d", "tx", "ty")).alias("near")).select("tile", "id", "near.tx", "near.ty")
-    out = pts.join(best, ["tile", "id"], "left")
+    out = pts.join(large(best), ["tile", "id"], "left")
     return out.select("tile", "id", "x", "y",
                       F.coalesce(F.col("tx"), F.col("x")).alias("adj_x"),
                       F.coalesce(F.col("ty"), F.col("y")).alias("adj_y"),
@@ -248,26 +249,27 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
                     cell: float = 16.0) -> DataFrame:
     """Split horizontals (verticals) at points within ``band`` of the line, ordered along it.
 
-    Points are bucketed by the perpendicular coordinate; a segment probes the
+    Segments are bucketed by the perpendicular coordinate; a point is put into the
     buckets of its band.
     """
     if vertical:
-        perp, along_lo, along_hi = "x1", "y1", "y2"
+        perp, far, along_lo, along_hi = "x1", "x2", "y1", "y2"
         pp, pa = "x", "y"
     else:
-        perp, along_lo, along_hi = "y1", "x1", "x2"
+        perp, far, along_lo, along_hi = "y1", "y2", "x1", "x2"
         pp, pa = "y", "x"
-    # points: (perpendicular band bucket, along-axis cell); a segment probes the
-    # band buckets around its line and the along-axis cells it spans, so a
-    # segment-point pair meets only in the point's own cell
+    # segments: (perpendicular band bucket, along-axis cells they span); a point goes to the
+    # band buckets around it and to its along-axis cell, so a segment-point pair meets only
+    # in the segment's bucket and the point's cell.  Both are dealt by tile and bucket, and a
+    # segment is put into its cells behind the shuffle.
     pb = (pts.select("tile", F.col(pp).alias("pp"), F.col(pa).alias("pa"))
-             .withColumn("b", F.floor(F.col("pp") / band)).withColumn("xc", F.floor(F.col("pa") / cell)))
-    s = seg.select("tile", "id", F.col(perp).alias("sp"), F.col(along_lo).alias("lo"), F.col(along_hi).alias("hi"),
-                   *[F.col(c) for c in ("x1", "y1", "x2", "y2")])
-    sb = (s.withColumn("b", F.explode(_cells(F.col("sp") - band, F.col("sp") + band, band)))
-           .withColumn("xc", F.explode(_cells(F.least("lo", "hi"), F.greatest("lo", "hi"), cell))))
-    keep = ["sp", "x1", "y1", "x2", "y2"]
-    cuts = (sb.join(pb, ["tile", "b", "xc"])
+             .withColumn("b", F.explode(_cells(F.col("pp") - band, F.col("pp") + band, band))))
+    pb = deal(pb, "tile", "b").withColumn("xc", F.floor(F.col("pa") / cell))
+    s = seg.select("tile", "id", F.col(perp).alias("sp"), F.col(far).alias("sp2"), F.col(along_lo).alias("lo"), F.col(along_hi).alias("hi"))
+    sb = (deal(s.withColumn("b", F.floor(F.col("sp") / band)), "tile", "b")
+          .withColumn("xc", F.explode(_cells(F.least("lo", "hi"), F.greatest("lo", "hi"), cell))))
+    keep = ["sp", "sp2"]
+    cuts = (sb.join(large(pb), ["tile", "b", "xc"])
               .where((F.abs(F.col("pp") - F.col("sp")) <= band) & (F.col("lo") <= F.col("pa"))
                      & (F.col("pa") <= F.col("hi")))
               .select("tile", "id", F.col("pa").alias("pos"), F.lit(1).alias("k"), *keep))
@@ -281,9 +283,9 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
     is_last = F.col("to_k") == 2
     if vertical:
         return j.select("tile", "id", "piece", F.col("sp").alias("x1"), F.col("pos").alias("y1"),
-                        F.when(is_last, F.col("x2")).otherwise(F.col("sp")).alias("x2"), F.col("to").alias("y2"))
+                        F.when(is_last, F.col("sp2")).otherwise(F.col("sp")).alias("x2"), F.col("to").alias("y2"))
     return j.select("tile", "id", "piece", F.col("pos").alias("x1"), F.col("sp").alias("y1"),
-                    F.col("to").alias("x2"), F.when(is_last, F.col("y2")).otherwise(F.col("sp")).alias("y2"))
+                    F.col("to").alias("x2"), F.when(is_last, F.col("sp2")).otherwise(F.col("sp")).alias("y2"))
 
 
 def rebase(seg: DataFrame, tiles_per_row: int = 10, width: float = 1000.0, height: float = 200.0) -> DataFrame:

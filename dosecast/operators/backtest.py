@@ -92,13 +92,17 @@ def window_last_status(snap: DataFrame, windows: DataFrame, p: Params = DEFAULT)
 class WindowedBackTest:
     """The stages of a back-test for every client and window.
 
-    ``inputs`` is a ``panel.Inputs`` (from the fixture or from given frames).
+    ``inputs`` is a ``panel.Inputs`` (from the fixture or from given frames); its windows are taken where none are given.
     ``predictions='stand_in'`` replaces model scores by the fixture's formula.
     """
 
-    def __init__(self, inputs: pn.Inputs, windows: DataFrame, p: Params = DEFAULT, model: str = "LR",
+    def __init__(self, inputs: pn.Inputs, windows: DataFrame | None = None, p: Params = DEFAULT, model: str = "LR",
                  predictions: str = "model"):
-        self.inputs, self.windows, self.p, self.model, self.predictions = inputs, windows, p, model, predictions
+        self.inputs, self.given, self.p, self.model, self.predictions = inputs, windows, p, model, predictions
+
+    @property
+    def windows(self) -> DataFrame:
+        return self.inputs.windows if self.given is None else self.given
 
     @cached_property
     def eligible(self) -> DataFrame:

@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dosecast.operators import backtest as bk
-from dosecast.operators import extract as ex
 from dosecast.operators import panel as pn
-from dosecast.operators import windows as wn
 from dosecast.params import DEFAULT
 from dosecast.plans.catalog import register
 from dosecast.plans.q_model import FEATS, PAIR4_SPEC
@@ -111,8 +109,7 @@ TRES_SPEC = WRES_SPEC.replace(" source:s", "")
 
 
 def back_test(t, **kw) -> bk.WindowedBackTest:
-    windows = wn.training_months(ex.monthly_usage(t), P.window_months)
-    return bk.WindowedBackTest(pn.Inputs.shared(t, P), windows, P, **kw)
+    return bk.WindowedBackTest(pn.Inputs.shared(t, P), None, P, **kw)
 
 
 def stand_in(t) -> bk.WindowedBackTest:

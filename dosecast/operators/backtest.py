@@ -115,7 +115,8 @@ class WindowedBackTest:
     @cached_property
     def train(self) -> DataFrame:
         # read by the scaler, the models, the profile and the training results; by pair like the rows it comes from
-        return materialize_by(wn.all_window_training(self.removal_rows, self.windows, self.p), PAIR, "train")
+        rows = wn.all_window_training(self.removal_rows, self.windows, self.p)
+        return materialize_by(rows, PAIR, "train", self.inputs.partitions)
 
     @cached_property
     def assignment(self) -> DataFrame:

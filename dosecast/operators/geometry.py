@@ -146,7 +146,7 @@ def _cells(lo, hi, size):
     return F.sequence(F.floor(lo / size), F.floor(hi / size))
 
 
-def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0) -> DataFrame:
+def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0, partitions: int | None = None) -> DataFrame:
     """Vertical x horizontal crossings: v.x lies between h's ends and h.y between v's.
 
     v covers cells (cx(v.x), cy(y1)..cy(y2)); h covers (cx(x1)..cx(x2), cy(h.y)).
@@ -157,10 +157,10 @@ def crossings(v: DataFrame, h: DataFrame, cell: float = 16.0) -> DataFrame:
                    F.col("y2").alias("vy2"))
            .withColumn("cx", F.floor(F.col("vx") / cell))
            .withColumn("cy", F.explode(_cells(F.least("vy1", "vy2"), F.greatest("vy1", "vy2"), cell))))
-    vv = deal(vv, "tile", "cy")
+    vv = deal(vv, "tile", "cy", partitions=partitions)
     hh = (deal(h.select("tile", F.col("id").alias("h_id"), F.col("x1").alias("hx1"), F.col("x2").alias("hx2"),
                         F.col("y").alias("hy"))
-                .withColumn("cy", F.floor(F.col("hy") / cell)), "tile", "cy")
+                .withColumn("cy", F.floor(F.col("hy") / cell)), "tile", "cy", partitions=partitions)
            .withColumn("cx", F.explode(_cells(F.least("hx1", "hx2"), F.greatest("hx1", "hx2"), cell))))
     j = vv.join(large(hh), ["tile", "cx", "cy"])
     # either end of a segment may come first
@@ -206,7 +206,7 @@ def segment_intersections(a: DataFrame, b: DataFrame, cell: float = 16.0, tol: f
              .distinct())
 
 
-def snap_points(pts: DataFrame, targets: DataFrame, radius: float = SNAP_RADIUS) -> DataFrame:
+def snap_points(pts: DataFrame, targets: DataFrame, radius: float = SNAP_RADIUS, partitions: int | None = None) -> DataFrame:
     """Each point moves to its nearest target closer than ``radius`` (k = 1), else stays.
 
     Targets sit in cells of side ``radius``; a point probes its 3 x 3 cells.
@@ -214,10 +214,10 @@ def snap_points(pts: DataFrame, targets: DataFrame, radius: float = SNAP_RADIUS)
     """
     t = (targets.select("tile", F.col("x").alias("tx"), F.col("y").alias("ty"))
                 .withColumn("cx", F.floor(F.col("tx") / radius)).withColumn("cy", F.floor(F.col("ty") / radius)))
-    t = deal(t, "tile", "cy").distinct()
+    t = deal(t, "tile", "cy", partitions=partitions).distinct()
     offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     p = pts.withColumn("cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("y") / radius) + o)))
-    p = deal(p, "tile", "cy").withColumn("cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("x") / radius) + o)))
+    p = deal(p, "tile", "cy", partitions=partitions).withColumn("cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("x") / radius) + o)))
     j = p.join(large(t), ["tile", "cx", "cy"])
     d = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2)
     j = j.withColumn("d", d).where(F.col("d") < radius)
@@ -246,7 +246,7 @@ def split_vertical_at_crossings(v: DataFrame, cross: DataFrame) -> DataFrame:
 
 
 def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float = SPLIT_BAND,
-                    cell: float = 16.0) -> DataFrame:
+                    cell: float = 16.0, partitions: int | None = None) -> DataFrame:
     """Split horizontals (verticals) at points within ``band`` of the line, ordered along it.
 
     Segments are bucketed by the perpendicular coordinate; a point is put into the
@@ -264,9 +264,9 @@ def split_at_points(seg: DataFrame, pts: DataFrame, vertical: bool, band: float
     # segment is put into its cells behind the shuffle.
     pb = (pts.select("tile", F.col(pp).alias("pp"), F.col(pa).alias("pa"))
              .withColumn("b", F.explode(_cells(F.col("pp") - band, F.col("pp") + band, band))))
-    pb = deal(pb, "tile", "b").withColumn("xc", F.floor(F.col("pa") / cell))
+    pb = deal(pb, "tile", "b", partitions=partitions).withColumn("xc", F.floor(F.col("pa") / cell))
     s = seg.select("tile", "id", F.col(perp).alias("sp"), F.col(far).alias("sp2"), F.col(along_lo).alias("lo"), F.col(along_hi).alias("hi"))
-    sb = (deal(s.withColumn("b", F.floor(F.col("sp") / band)), "tile", "b")
+    sb = (deal(s.withColumn("b", F.floor(F.col("sp") / band)), "tile", "b", partitions=partitions)
           .withColumn("xc", F.explode(_cells(F.least("lo", "hi"), F.greatest("lo", "hi"), cell))))
     keep = ["sp", "sp2"]
     cuts = (sb.join(large(pb), ["tile", "b", "xc"])

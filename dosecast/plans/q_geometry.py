@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dosecast.operators import geometry as ge
 from dosecast.plans.catalog import register
+from dosecast.session import partitions_for
 from dosecast.sources import fixtures as fx
 
 
@@ -19,6 +20,12 @@ def v_full(t):
     return v.withColumns({"x1": F.col("x"), "x2": F.col("x")})
 
 
+def parts(t) -> int:
+    """Partitions of the joins by cell: a line item, order or event is a segment or a point, which lies in a few cells.
+    The counts come from the files' footers."""
+    return partitions_for(t.spark, t.lineitem.count() + t.orders.count() + t.events.count())
+
+
 GV = {
     "cross_v": """
 select v.tile, v.id as v_id, h.id as h_id, v.x, h.y from vseg v join hseg h
@@ -111,7 +118,7 @@ def q_extend_h(t):
 @register("crossings", "tile:l v_id:l h_id:l x:d y:d", "select * from cross_v", GV)
 def q_crossings(t):
     """Range join through grid cells."""
-    return ge.crossings(fx.vseg(t), fx.hseg(t))
+    return ge.crossings(fx.vseg(t), fx.hseg(t), partitions=parts(t))
 
 
 @register("segment_intersections", "tile:l id:l px:d py:d", """
@@ -134,8 +141,9 @@ def q_intersections(t):
 @register("snap_points", "tile:l id:l x:d y:d adj_x:d adj_y:d matched:b", "select * from snap_v", GV)
 def q_snap(t):
     """Vias to the nearest crossing within radius 4."""
-    cr = ge.crossings(fx.vseg(t), fx.hseg(t))
-    return ge.snap_points(fx.via(t), cr.select("tile", "x", "y"))
+    n = parts(t)
+    cr = ge.crossings(fx.vseg(t), fx.hseg(t), partitions=n)
+    return ge.snap_points(fx.via(t), cr.select("tile", "x", "y"), partitions=n)
 
 
 @register("split_at_crossings", "tile:l v_id:l piece:l x:d y_from:d y_to:d", """
@@ -149,7 +157,7 @@ where y_to is not null""", GV)
 def q_split_cross(t):
     """W4."""
     v = fx.vseg(t)
-    return ge.split_vertical_at_crossings(v, ge.crossings(v, fx.hseg(t)))
+    return ge.split_vertical_at_crossings(v, ge.crossings(v, fx.hseg(t), partitions=parts(t)))
 
 
 def _split_sql(vertical: bool) -> str:
@@ -181,19 +189,21 @@ _VS, _VSEG = _split_sql(True)
 @register("split_h_at_points", "tile:l id:l piece:l x1:d y1:d x2:d y2:d", _HS, {**GV, "segs_h": _HSEG})
 def q_split_h(t):
     """W5 on horizontals, at the snapped via points."""
-    cr = ge.crossings(fx.vseg(t), fx.hseg(t))
-    sp = ge.snap_points(fx.via(t), cr.select("tile", "x", "y")).where("matched") \
+    n = parts(t)
+    cr = ge.crossings(fx.vseg(t), fx.hseg(t), partitions=n)
+    sp = ge.snap_points(fx.via(t), cr.select("tile", "x", "y"), partitions=n).where("matched") \
            .select("tile", F.col("adj_x").alias("x"), F.col("adj_y").alias("y"))
-    return ge.split_at_points(h_full(t), sp, vertical=False)
+    return ge.split_at_points(h_full(t), sp, vertical=False, partitions=n)
 
 
 @register("split_v_at_points", "tile:l id:l piece:l x1:d y1:d x2:d y2:d", _VS, {**GV, "segs_v": _VSEG})
 def q_split_v(t):
     """W5 on verticals, at the snapped via points."""
-    cr = ge.crossings(fx.vseg(t), fx.hseg(t))
-    sp = ge.snap_points(fx.via(t), cr.select("tile", "x", "y")).where("matched") \
+    n = parts(t)
+    cr = ge.crossings(fx.vseg(t), fx.hseg(t), partitions=n)
+    sp = ge.snap_points(fx.via(t), cr.select("tile", "x", "y"), partitions=n).where("matched") \
            .select("tile", F.col("adj_x").alias("x"), F.col("adj_y").alias("y"))
-    return ge.split_at_points(v_full(t), sp, vertical=True)
+    return ge.split_at_points(v_full(t), sp, vertical=True, partitions=n)
 
 
 @register("rebase_tiles", "tile:l id:l x1:d x2:d y:d", """

@@ -100,6 +100,41 @@ def test_gap_and_agreement_over_partitions(eps):
         assert np.allclose(one.model()[0], many.model()[0], atol=1e-8) and abs(one.model()[1] - many.model()[1]) < 1e-8
 
 
+@pytest.mark.parametrize("n", [1, 2, 6, 9, 12, 40, 300])
+def test_many_groups_at_once_take_the_steps_of_each(n):
+    """The state of every group to the last bit: random ones, ties, flags, constants, a flat target, and steps that run out."""
+    rng = np.random.default_rng(n)
+    b = max(3, 600 // n)
+    A, y = np.ones((b, n, 6)), np.floor(rng.exponential(4, (b, n)))
+    A[:, :, :5] = rng.random((b, n, 5))
+    A[1::5, :, 2], A[1::5, :, 3] = 0, rng.integers(0, 2, A[1::5, :, 3].shape)
+    A[2::5, :, :5] = np.round(A[2::5, :, :5] * 4) / 4
+    y[0::5] = A[0::5] @ np.array([1.0, 2.0, 0.0, -1.0, 0.5, 3.0])
+    y[4::5] = 3.0
+    for most in (20_000, 7):
+        many = newton.solve_many(A, y, 1.01, 1e-4, most)
+        for a, v, got in zip(A, y, many):
+            s = newton.solve([(a, v)], 1.01, 1e-4, most)
+            assert got.tolist() == s.values()
+            coef, scale = newton.models(got[None])
+            assert coef[0].tolist() == s.model()[0].tolist() and scale[0] == s.model()[1]
+
+
+def test_groups_of_many_sizes_are_fitted_like_each_alone(spark, monkeypatch):
+    """More rows than a task holds at once; keys side by side with the same and with other numbers of rows."""
+    monkeypatch.setattr(md, "OF_A_SIZE", 40)
+    monkeypatch.setattr(md, "OF_ALL", 100)
+    df = _noisy_frame(spark, {f"g{i:03d}": 2 + i % 11 for i in range(90)}).coalesce(1)
+    got = {r.model_key: r for r in md.fit_huber(df).collect()}
+    assert len(got) == 90
+    cols = [f"{f}_norm" for f in Params().features]
+    for key, g in df.toPandas().groupby("model_key"):
+        g = g.sort_values([*cols, "y"])
+        coef, intercept, scale, steps, _, converged = md.huber_fit(g[cols].to_numpy(), g.y.to_numpy())
+        r = got[key]
+        assert (r.n_rows, r.converged) == (len(g), converged) and np.allclose(r.coef, coef, atol=1e-8) and abs(r.intercept - intercept) < 1e-8
+
+
 def test_state_survives_its_row():
     rng = np.random.default_rng(2)
     X, y = rng.random((50, 5)), np.floor(rng.exponential(4, 50))

@@ -24,24 +24,27 @@ from dosecast.params import DEFAULT, Params
 from dosecast.session import large, materialize, materialize_by
 from dosecast.sources import fixtures as fx
 
-WPAIR = ["train_start", *PAIR]
-WPAIR4 = ["train_start", *PAIR4]
+WPAIR = [*PAIR, "train_start"]
+WPAIR4 = [*PAIR4, "train_start"]
 
 
 def window_test_features(rem: DataFrame, snap: DataFrame, usage: DataFrame, assign: DataFrame,
                          p: Params = DEFAULT) -> DataFrame:
     """P9 for every window: the pair's removal row of the window's test month, else its snapshot row with usage."""
-    a = assign.select(*WPAIR4, "model_key", "months_w_removals",
-                      (F.col("train_start") + p.window_months).alias("month"))
     key = [*PAIR4, "month"]
-    out = ["model_key", *WPAIR4, "month", "months_w_removals"]
-    feats = [F.col(f).cast("double").alias(f) for f in p.features]
-    r = rem.join(large(a), key).select(*out, *feats, F.col("transactionquantity").alias("y"), F.lit("removal").alias("source"))
-    s = (snap.join(large(a.join(large(rem.select(*key)), key, "left_anti")), key)
-             .join(large(usage.select(*key, "usage100")), key, "left")
-             .fillna(0, subset=["usage100"])
-             .select(*out, *feats, F.lit(0.0).alias("y"), F.lit("snapshot").alias("source")))
-    return r.unionByName(s)
+    a = assign.select(*WPAIR4, "model_key", "months_w_removals", (F.col("train_start") + p.window_months).alias("month"))
+    # One pass over the pairs: those with a removal row match no snapshot or usage row, as their ``_open`` is null.
+    r = rem.select(*key, F.struct(*p.features, F.col("transactionquantity").alias("y")).alias("_r"))
+    s = snap.select(*key, F.lit(1).alias("_open"), F.struct(*[f for f in p.features if f != "usage100"]).alias("_s"))
+    u = usage.select(*key, F.lit(1).alias("_open"), "usage100")
+    j = (a.join(large(r), key, "left").withColumn("_open", F.when(F.col("_r").isNull(), 1))
+          .join(large(s), [*key, "_open"], "left").where(F.col("_r").isNotNull() | F.col("_s").isNotNull())
+          .join(large(u), [*key, "_open"], "left"))
+    removal = F.col("_r").isNotNull()
+    feats = [F.when(removal, F.col(f"_r.{f}")).otherwise(F.coalesce("usage100", F.lit(0)) if f == "usage100" else F.col(f"_s.{f}"))
+             .cast("double").alias(f) for f in p.features]
+    return j.select("model_key", *WPAIR4, "month", "months_w_removals", *feats,
+                    F.when(removal, F.col("_r.y")).otherwise(0.0).alias("y"), F.when(removal, "removal").otherwise("snapshot").alias("source"))
 
 
 def window_cutoff(removals: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -84,9 +87,19 @@ def window_flags(elig: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> Da
 
 
 def window_last_status(snap: DataFrame, windows: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """J7 for every window: each pair's snapshot status in its last month of the window."""
-    e = wn.window_rows(snap.select(*PAIR4, "month", "isinactive"), windows, p.window_months)
-    return e.groupBy(*WPAIR4).agg(F.max("month").alias("last_month"), F.max_by("isinactive", "month").alias("isinactive"))
+    """J7 for every window: each pair's snapshot status in its last month of the window.
+
+    A row is its pair's last one in the windows that hold it and end before the pair's next row: for a
+    pair with a row for each month that is one window, so rows are not put into all that hold them.
+    """
+    rows = snap.select(*PAIR4, "month", "isinactive").where(F.col("month").isNotNull())
+    next_month = F.lead("month").over(Window.partitionBy(*PAIR4).orderBy("month"))
+    rows = rows.withColumn("_next", next_month).withColumns({
+        "_from": F.col("month") - (p.window_months - 1), "_to": F.least("month", F.col("_next") - p.window_months)})
+    e = rows.where(F.col("_from") <= F.col("_to")).withColumn("train_start", F.explode(F.sequence("_from", "_to")))
+    ws = windows.select("skclientkey", "train_start").distinct()
+    return (e.join(F.broadcast(ws), ["skclientkey", "train_start"])   # clients x months
+             .select(*WPAIR4, F.col("month").alias("last_month"), "isinactive"))
 
 
 class WindowedBackTest:

@@ -13,7 +13,7 @@ from dosecast.params import DEFAULT
 from dosecast.plans.catalog import register
 from dosecast.plans.q_model import AV, K, PAIR4_SPEC, ridge_views
 from dosecast.plans.q_windows import KEY4, NORM, WKEY, WKEY4, WRES_SPEC, WV, back_test, stand_in
-from dosecast.session import large
+from dosecast.session import large, materialize
 
 P = DEFAULT
 METRICS = ["MAE_Dashboard", "MAE_Estimator_Model"]
@@ -24,7 +24,9 @@ RIDGE |= ridge_views("aw_train_norm")
 
 
 def long_errors(b):
-    return rp.long_metrics(b.results(True), ["train_start", "skclientkey", "months_w_removals"], METRICS)
+    ids = ["train_start", "skclientkey", "months_w_removals"]
+    # read by several passes, which take two of the results' columns: written once
+    return rp.long_metrics(materialize(b.results(True).select(*ids, *METRICS), "errors"), ids, METRICS)
 
 
 @register("all_window_describe", "train_start:l months_w_removals:l metric:s count:l mean:d std:d min:d q25:d q50:d q75:d max:d", f"""
